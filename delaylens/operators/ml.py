@@ -1,13 +1,26 @@
-"""Feature preparation and model fitting (J-family) on Spark ML."""
+"""Feature preparation and model fitting (J-family) on Spark ML.
+
+Splits are decided per row from a hash of all columns and a seed, so they
+are repeatable under any partitioning and need no shuffle or global sort.
+Training is distributed by Spark ML (tree induction aggregates split
+statistics across executors); only model parameters reach the driver."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.ml.feature import StringIndexer
-from pyspark.sql import DataFrame
+from pyspark.ml import Estimator, Model
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import (GBTRegressor, IsotonicRegression, LinearRegression,
+                                   RandomForestRegressor)
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from delaylens.functions.guards import numeric_columns
+
 
 def label_encode(df: DataFrame, cols: Sequence[str], suffix: str = "_Encoded",
                  fit_on: DataFrame | None = None) -> DataFrame:
@@ -28,3 +41,197 @@ def label_encode(df: DataFrame, cols: Sequence[str], suffix: str = "_Encoded",
     out = model.transform(src).drop(*filled)
     return out.withColumns({f"{c}{suffix}": F.col(f"{c}{suffix}").alias(f"{c}{suffix}", metadata={})
                             for c in cols})
+
+
+# ---- J1-J6: assembly, splits, scaling, weights ------------------------------
+
+def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
+    """J1 (+B8): nulls -> 0 in the feature columns, then one vector column."""
+    feats = list(features)
+    num = set(numeric_columns(df))
+    filled = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in feats if c in num})
+    return VectorAssembler(inputCols=feats, outputCol=out, handleInvalid="error").transform(filled)
+
+
+def hash_unit(df: DataFrame, seed: int, cols: Sequence[str] | None = None) -> Column:
+    """A uniform number in [0, 1) from a hash of the row and a seed."""
+    cols = list(cols) if cols else [c for c, t in df.dtypes if not t.startswith("vector")]
+    return F.pmod(F.xxhash64(*[F.col(c) for c in cols], F.lit(seed)), F.lit(1_000_000)) / 1_000_000.0
+
+
+def time_split(df: DataFrame, train_years: Sequence[int], test_years: Sequence[int], year: str = "Year",
+               out: str = "split") -> DataFrame:
+    """J2: 'train' / 'test' by year; rows in neither are dropped."""
+    y = F.col(year)
+    return (df.withColumn(out, F.when(y.isin(*train_years), "train").when(y.isin(*test_years), "test"))
+            .where(F.col(out).isNotNull()))
+
+
+def random_split(df: DataFrame, frac: float = 0.8, seed: int = 42, out: str = "split",
+                 cols: Sequence[str] | None = None) -> DataFrame:
+    """Hash split, ``frac`` train."""
+    return df.withColumn(out, F.when(hash_unit(df, seed, cols) < frac, "train").otherwise("test"))
+
+
+def stratified_split(df: DataFrame, label: str, frac: float = 0.8, seed: int = 42, out: str = "split",
+                     cols: Sequence[str] | None = None) -> DataFrame:
+    """Every class is split by the same hash rule, so each class keeps
+    the ``frac`` ratio (up to sampling noise of the hash, which vanishes
+    with size); no per-class sort of all rows into one task."""
+    return random_split(df, frac, seed, out, cols)
+
+
+def standard_scale(train: DataFrame, df: DataFrame, input_col: str = "features",
+                   output_col: str = "scaled"):
+    """Z-score fitted on train only (Spark uses ddof=1)."""
+    m = StandardScaler(inputCol=input_col, outputCol=output_col, withMean=True, withStd=True).fit(train)
+    return m, m.transform(df)
+
+
+def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
+    """weight = n / (k * n_class). The class table has one row per
+    class (a bounded set), joined by broadcast."""
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
+    n = counts.agg(F.sum("__nc")).scalar()
+    k = counts.agg(F.count(F.lit(1))).scalar()
+    w = counts.select(label, (n / (k * F.col("__nc"))).cast("double").alias(out))
+    return df.join(F.broadcast(w), label, "left")
+
+
+# ---- J7-J10: classifiers, selection, calibration -----------------------------
+
+def rf_classifier(num_trees: int = 200, max_depth: int = 10, seed: int = 42, label: str = "label",
+                  weight: str | None = None, min_instances: int = 1, max_bins: int = 32):
+    """J7 (min_samples_split=20 is approximated by minInstancesPerNode=10)."""
+    p = dict(featuresCol="features", labelCol=label, numTrees=num_trees, maxDepth=max_depth, seed=seed,
+             minInstancesPerNode=min_instances, maxBins=max_bins)
+    if weight:
+        p["weightCol"] = weight
+    return RandomForestClassifier(**p)
+
+
+def gbt_classifier(max_iter: int = 300, max_depth: int = 6, step: float = 0.07, seed: int = 42,
+                   label: str = "label", weight: str | None = None, subsample: float = 0.8):
+    """Gradient-boosted trees in place of the external boosting engines."""
+    p = dict(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth, stepSize=step,
+             subsamplingRate=subsample, seed=seed)
+    if weight:
+        p["weightCol"] = weight
+    return GBTClassifier(**p)
+
+
+def prob1(col: str = "probability") -> Column:
+    """P(class 1) from a probability vector."""
+    return vector_to_array(F.col(col))[1]
+
+
+@dataclass
+class CalibratedModel:
+    """``folds`` (base model, isotonic map) pairs; the score is the
+    mean of the calibrated fold probabilities."""
+    parts: list = field(default_factory=list)
+
+    def transform(self, df: DataFrame, out: str = "score") -> DataFrame:
+        cols = []
+        cur = df
+        for i, (base, iso) in enumerate(self.parts):
+            scored = base.transform(cur).withColumn(f"__p{i}", prob1())
+            scored = scored.drop("rawPrediction", "probability", "prediction")
+            cur = iso.transform(scored).withColumnRenamed("__iso", f"__c{i}")
+            cols.append(f"__c{i}")
+        return cur.withColumn(out, sum((F.col(c) for c in cols), F.lit(0.0)) / len(cols)).drop(
+            *cols, *[f"__p{i}" for i in range(len(self.parts))])
+
+    @property
+    def base_models(self) -> list:
+        return [b for b, _ in self.parts]
+
+
+def fold_column(df: DataFrame, k: int, seed: int, out: str = "__fold") -> DataFrame:
+    return df.withColumn(out, F.pmod(F.xxhash64(*[F.col(c) for c, t in df.dtypes if not t.startswith("vector")],
+                                                F.lit(seed)), F.lit(k)).cast("int"))
+
+
+def fit_calibrated(estimator: Estimator, train: DataFrame, label: str = "label", folds: int = 3,
+                   seed: int = 42) -> CalibratedModel:
+    """Per fold, fit the estimator on the other folds and an isotonic
+    map of its class-1 probability on the held-out fold."""
+    t = fold_column(train, folds, seed)
+    parts = []
+    for i in range(folds):
+        base = estimator.copy().fit(t.where(F.col("__fold") != i))
+        held = base.transform(t.where(F.col("__fold") == i)).withColumn("__p", prob1())
+        iso = IsotonicRegression(featuresCol="__p", labelCol=label, predictionCol="__iso", isotonic=True).fit(held)
+        iso.setFeaturesCol(f"__p{i}")
+        parts.append((base, iso))
+    return CalibratedModel(parts)
+
+
+def select_classifier(candidates: dict[str, Estimator], train: DataFrame, label: str = "label",
+                      frac: float = 0.8, seed: int = 42):
+    """Fit each candidate on ``frac`` of train, score average precision
+    on the rest; returns (best name, best estimator, metrics DataFrame)."""
+    from delaylens.operators.evaluate import average_precision
+    sp = stratified_split(train, label, frac, seed)
+    fit_part, val = sp.where(F.col("split") == "train").drop("split"), sp.where(F.col("split") == "test").drop("split")
+    rows = []
+    for name, est in candidates.items():
+        m = est.copy().fit(fit_part)
+        s = m.transform(val).withColumn("score", prob1())
+        ap = average_precision(s, label=label).first()[0]
+        rows.append((name, float(ap) if ap is not None else None))
+    spark = train.sparkSession
+    metrics = spark.createDataFrame(rows, "model string, val_average_precision double")
+    best = max(rows, key=lambda r: -1 if r[1] is None else r[1])[0]
+    return best, candidates[best], metrics
+
+
+# ---- J13-J15: multiclass, two-stage, regressors ------------------------------
+
+def rf_regressor(num_trees: int = 200, max_depth: int = 15, seed: int = 42, label: str = "y",
+                 min_instances: int = 1, features: str = "features"):
+    return RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=num_trees, maxDepth=max_depth,
+                                 seed=seed, minInstancesPerNode=min_instances)
+
+
+def gbt_regressor(max_iter: int = 200, max_depth: int = 8, step: float = 0.1, seed: int = 42,
+                  label: str = "y", features: str = "features"):
+    return GBTRegressor(featuresCol=features, labelCol=label, maxIter=max_iter, maxDepth=max_depth,
+                        stepSize=step, seed=seed)
+
+
+def ridge(alpha: float, n: int, label_std_pop: float, label: str = "y", features: str = "features"):
+    """Ridge with the original's alpha: Spark scales the objective by 1/n
+    and the label by its std, so regParam = alpha / n * std_pop(label)."""
+    return LinearRegression(featuresCol=features, labelCol=label, regParam=alpha / n * label_std_pop,
+                            elasticNetParam=0.0, standardization=False)
+
+
+def lasso(alpha: float, label: str = "y", features: str = "features"):
+    """Lasso: regParam = alpha with elasticNetParam = 1."""
+    return LinearRegression(featuresCol=features, labelCol=label, regParam=alpha, elasticNetParam=1.0,
+                            standardization=False)
+
+
+def two_stage(train: DataFrame, test: DataFrame, label: str = "label", minutes: str = "y",
+              clf: Estimator | None = None, reg: Estimator | None = None) -> DataFrame:
+    """Classify delayed or not; for predicted-delayed rows predict the
+    minutes with a regressor trained on delayed train rows; else 0."""
+    clf = clf or rf_classifier(100, 8, label=label, min_instances=10)
+    reg = reg or rf_regressor(100, 8, label=minutes, min_instances=10)
+    cm = clf.fit(train)
+    rm = reg.setPredictionCol("__minutes").fit(train.where(F.col(label) == 1))
+    s = cm.transform(test).withColumn("score", prob1()).drop("rawPrediction", "probability")
+    s = rm.transform(s)
+    return s.withColumn("predicted_minutes", F.when(F.col("prediction") == 1, F.col("__minutes")).otherwise(0.0)) \
+        .drop("__minutes")
+
+
+def feature_importance(model: Model, names: Sequence[str], n: int | None = None):
+    """Impurity importances zipped with the feature names (a vector of
+    #features on the driver), as a DataFrame sorted descending."""
+    imp = model.featureImportances.toArray().tolist()
+    rows = sorted(zip(names, imp), key=lambda r: (-r[1], r[0]))
+    if n:
+        rows = rows[:n]
+    return rows
