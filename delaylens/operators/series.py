@@ -73,7 +73,9 @@ def fill_gaps(series: DataFrame, start: str, end: str, d: str = "d", y: str = "y
     choice = gap_check(series, start, end, d, y, key).select(*keys, "method")
     lin = interpolate_linear(series, d, y, key, out="__lin")
     ff = forward_fill(lin, d, y, key, out="__ff")
-    j = ff.join(F.broadcast(choice), keys, "left") if keys else ff.withColumn(
+    # one row per series key: AQE broadcasts it when its runtime size is
+    # under the threshold, else it stays a shuffle join
+    j = ff.join(choice, keys, "left") if keys else ff.withColumn(
         "method", choice.select("method").scalar())
     return j.withColumn("y_filled", F.when(F.col("method") == "linear", F.col("__lin")).otherwise(F.col("__ff"))) \
         .drop("__lin", "__ff")

@@ -9,6 +9,7 @@ from delaylens.plans import params as P
 from delaylens.plans.inputs import raw, trips
 from delaylens.plans.preprocess import preprocess_complete as _complete, preprocess_staged as _staged
 from delaylens.plans.registry import q
+from delaylens.plans.q_stats import ADVICE_SQL
 from delaylens.sources.flights import raw_flights
 
 HOUR_DIS = "CRSDepTimeHourDis, WheelsOffHourDis, CRSArrTimeHourDis, WheelsOnHourDis"
@@ -43,9 +44,11 @@ def preprocess_staged(spark, sf):
     return _staged(raw_flights(spark, sf))[0]
 
 
-@q("impact_analysis")
+@q("impact_analysis", with_("trips", extra=ADVICE_SQL) +
+   f"SELECT * FROM trips WHERE Year IS NULL OR Year NOT IN {P.EXCLUDE_YEARS} OR NOT (SELECT evidence = 'strong' FROM adv)")
 def impact_analysis(spark, sf):
-    """P3 (rows-only): the recommended table after the exclusion advice."""
+    """The recommended table after the exclusion advice (gap years
+    are dropped only on strong evidence)."""
     return _impact(trips(spark, sf))["recommended"]
 
 

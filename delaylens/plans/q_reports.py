@@ -554,3 +554,30 @@ def union_chunks(spark, sf):
     listed = P.PRE_YEARS + P.GAP_YEARS + P.POST_YEARS
     parts = [df.where(y.isin(*ys)) for ys in P.PERIODS.values()] + [df.where(~y.isin(*listed))]
     return H.union_chunks(parts)
+
+
+@q("insights", with_("trips", extra={
+    "rs": ROUTE_STATS_SQL.format(min_flights=P.MIN_ROUTE_FLIGHTS),
+    "hr": group_sql("CRSDepTimeHour"),
+    "mo": group_sql("Month", std=True)}) + """
+SELECT 'routes' AS category,
+  printf('%d high-risk routes (top 20%% in both average delay and major-delay rate)',
+    (SELECT count(*) FROM rs WHERE Avg_Delay > (SELECT quantile_cont(Avg_Delay, 0.8) FROM rs)
+       AND Major_Delay_Rate > (SELECT quantile_cont(Major_Delay_Rate, 0.8) FROM rs))) AS finding,
+  'Add buffer time and monitor these routes' AS recommendation
+UNION ALL
+SELECT 'timing', 'Worst departure hours: ' || array_to_string(list_sort(list(printf('%02d:00', CRSDepTimeHour))), ', '),
+  'Prefer departures outside these hours'
+FROM (SELECT CRSDepTimeHour FROM hr ORDER BY Avg_Delay DESC, CRSDepTimeHour LIMIT 3)
+UNION ALL
+SELECT 'seasonality', printf('Highest average delay in month %d, lowest in month %d',
+    (SELECT Month FROM mo ORDER BY Avg_Delay DESC, Month LIMIT 1), (SELECT Month FROM mo ORDER BY Avg_Delay ASC, Month LIMIT 1)),
+  'Plan capacity for the peak month'""")
+def insights(spark, sf):
+    """Findings from the high-risk route count (C6), the worst three
+    hours (G2) and the extreme months (G6); the trend finding (F5 on the
+    STL trend) is added by the analysis plan."""
+    from delaylens.plans.analysis import insights as build
+    df = trips(spark, sf)
+    return build(R.route_stats(df, min_flights=P.MIN_ROUTE_FLIGHTS), R.hourly_delays(df),
+                 R.monthly_delays(df), None)

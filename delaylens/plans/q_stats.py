@@ -159,9 +159,16 @@ def cohens_d(spark, sf):
     return _two(I.cohens_d, spark, sf)
 
 
-@q("exclusion_advice")
+ADVICE_SQL = {"ks": _ks_sql("pre_vs_gap", P.PRE_YEARS, P.GAP_YEARS),
+              "dd": _d_sql("pre_vs_gap", P.PRE_YEARS, P.GAP_YEARS),
+              "adv": """SELECT ks.ks_statistic, ks.ks_pvalue, dd.cohens_d,
+  CASE WHEN ks.ks_pvalue < 0.001 AND abs(dd.cohens_d) > 0.2 THEN 'strong' WHEN ks.ks_pvalue < 0.05 THEN 'moderate'
+       ELSE 'weak' END AS evidence FROM ks, dd"""}
+
+
+@q("exclusion_advice", with_("trips", extra=ADVICE_SQL) + "SELECT *, evidence = 'strong' AS exclude_gap_years FROM adv")
 def exclusion_advice(spark, sf):
-    """I4 (rows-only): evidence level from KS p and Cohen's d (pre vs gap)."""
+    """I4: evidence level from KS p and Cohen's d (pre vs gap)."""
     df = trips(spark, sf)
     y = F.col("Year")
     a, b = y.isin(*P.PRE_YEARS), y.isin(*P.GAP_YEARS)
