@@ -21,6 +21,24 @@ from delaylens.plans.inputs import KEYS, trips
 from delaylens.session import materialize
 
 D = "DepDelayMinutes"
+
+_RUNS: dict = {}
+
+
+def memo_run(fn):
+    """Reuse a model run within one Spark application: its heavy outputs
+    are written files (``materialize``) and its small tables are
+    driver-built, so later queries that need the same run read them
+    instead of fitting again."""
+    def run(spark: SparkSession, sf: str, *args, **kw):
+        key = (fn.__name__, spark.sparkContext.applicationId, sf, args, tuple(sorted(kw.items())))
+        if key not in _RUNS:
+            _RUNS[key] = fn(spark, sf, *args, **kw)
+        return _RUNS[key]
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
 ENCODED = ["OriginCity", "DestCity", "Season"]
 ENC = [f"{c}_Encoded" for c in ENCODED]
 CONSUMER = ["HourOfDay", "DayOfWeek", *ENC, "Route_Prior", "Origin_Prior", "Origin_Hour_Traffic"]
@@ -66,6 +84,7 @@ def _scored_summary(scored: DataFrame, threshold) -> dict:
     }
 
 
+@memo_run
 def consumer_run(spark: SparkSession, sf: str, boosted: bool = False) -> dict:
     """Consumer-visible features, time split, leakage-safe priors,
     classifier selection, isotonic calibration, threshold for recall 0.80
@@ -95,6 +114,7 @@ def consumer_run(spark: SparkSession, sf: str, boosted: bool = False) -> dict:
     return out
 
 
+@memo_run
 def operational_run(spark: SparkSession, sf: str, rolling: bool = True) -> dict:
     """Operational features, time split, balanced RF(200, 10) with
     isotonic calibration, threshold on test, cause report, worst hours,
@@ -125,6 +145,7 @@ def operational_run(spark: SparkSession, sf: str, rolling: bool = True) -> dict:
     return out
 
 
+@memo_run
 def realistic_run(spark: SparkSession, sf: str, sample_per_mille: int | None = None, boosted: bool = False) -> dict:
     """Realistic features, stratified 80/20 split, selection, isotonic
     calibration refit on 80 % of train with the threshold chosen on the
@@ -163,6 +184,7 @@ def realistic_run(spark: SparkSession, sf: str, sample_per_mille: int | None = N
     return out
 
 
+@memo_run
 def rolling_year_cv(spark: SparkSession, sf: str, folds=P.ROLLING_FOLDS, priors: bool = True) -> DataFrame:
     """For each (train years -> validation years) fold with validation
     rows present: (priors refit on the fold's train years), calibrated
@@ -195,6 +217,7 @@ def rolling_year_cv(spark: SparkSession, sf: str, folds=P.ROLLING_FOLDS, priors:
                                        "average_precision double, roc_auc double, accuracy double, brier double")
 
 
+@memo_run
 def regressor_comparison(spark: SparkSession, sf: str, sample_per_mille: int | None = None) -> dict:
     """Delay minutes regressors on the 25 'improved' features (random
     80/20 split): RF(200, 15), GBT(200, 8, 0.1), Ridge(1.0) and Lasso(0.1)
@@ -241,6 +264,7 @@ def regressor_comparison(spark: SparkSession, sf: str, sample_per_mille: int | N
     }
 
 
+@memo_run
 def model_testing(spark: SparkSession, sf: str) -> dict:
     """P10: two-stage model (classifier, then minutes for predicted-delayed
     rows) on the time split, with classification, regression and curve

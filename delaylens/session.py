@@ -3,7 +3,6 @@ checkpoint folder taken from the cluster configuration."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -59,19 +58,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    if path.startswith("file:") or path.startswith("/"):
-        return os.path.exists(local_path(path))
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
-
-
 def materialize(df, name: str):
     """Write ``df`` as parquet under the shared checkpoint folder and read
     it back: cuts the lineage before repeated passes (model fits), and a

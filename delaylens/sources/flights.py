@@ -6,13 +6,14 @@ place from the customer's. ``raw_flights`` adds the raw calendar and
 display columns a trip-record export carries, so the cleaning operators
 have their redundant twins to drop.
 
-Join plan: the two 25/5-row geography tables are broadcast (fixed size
-by construction). customer and supplier grow with the data, so they are
+Join plan: the 25-row nation x region table is broadcast (fixed size by
+construction). customer and supplier grow with the data, so they are
 joined without a hint: AQE turns those joins into broadcasts only when
 the runtime size is under ``spark.sql.autoBroadcastJoinThreshold``,
 otherwise they stay shuffle joins, with skew splitting on. orders is
 joined to customer first (both keyed by custkey) so the big lineitem
-side is shuffled once on orderkey and once on suppkey.
+side is shuffled once on orderkey and once on suppkey, carrying only
+integer nation keys; place names are attached after the shuffles.
 """
 
 from __future__ import annotations
@@ -41,21 +42,23 @@ def _nonneg(c: Column) -> Column:
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = F.broadcast(_places(spark, sf_dir))
-    supp = (read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-            .join(places, F.col("s_nationkey") == places.n_nationkey)
-            .select("s_suppkey", F.col("place").alias("OriginCityName")))
-    cust = (read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-            .join(places, F.col("c_nationkey") == places.n_nationkey)
-            .select("c_custkey", F.col("place").alias("DestCityName")))
+    places = _places(spark, sf_dir)
+    supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = (read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
               .join(cust, F.col("o_custkey") == F.col("c_custkey"))
-              .select("o_orderkey", "DestCityName"))
+              .select("o_orderkey", "c_nationkey"))
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_shipdate")
+    # the big shuffles carry 4-byte nation keys; the place names are
+    # attached last from the 25-row broadcast table
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
          .join(supp, li.l_suppkey == supp.s_suppkey))
+    origin = F.broadcast(places.select(F.col("n_nationkey").alias("__on"), F.col("place").alias("OriginCityName")))
+    dest = F.broadcast(places.select(F.col("n_nationkey").alias("__dn"), F.col("place").alias("DestCityName")))
+    j = (j.join(origin, F.col("s_nationkey") == F.col("__on"))
+         .join(dest, F.col("c_nationkey") == F.col("__dn")))
 
     q = F.col("l_quantity")
     null_delay = (F.col("l_partkey") % 50) == 0
