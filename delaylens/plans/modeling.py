@@ -71,7 +71,11 @@ def _prep(df: DataFrame, features: Sequence[str], name: str, extra: Sequence[str
     keep = list(dict.fromkeys([*KEYS, "Year", "Route", "OriginCity", "DestCity", "CRSDepTimeHour", D,
                                "IsDelayed", "DelayBucket", *extra]))
     a = M.assemble(df, features).select(*[c for c in keep if c in df.columns], "features")
-    return materialize(a.withColumn("label", F.col("IsDelayed").cast("double")), name)
+    out = materialize(a.withColumn("label", F.col("IsDelayed").cast("double")), name)
+    # tree induction runs one task per partition and pass: spread a small
+    # frame over every core (a large one already has many file splits)
+    par = out.sparkSession.sparkContext.defaultParallelism
+    return out.repartition(par) if out.rdd.getNumPartitions() < par else out
 
 
 def _scored_summary(scored: DataFrame, threshold) -> dict:
@@ -260,7 +264,7 @@ def regressor_comparison(spark: SparkSession, sf: str, sample_per_mille: int | N
     return {
         "metrics": metrics, "best_model": best_model(metrics), "predictions": preds,
         "severity_counts": R.severity_counts(df), "target_stats": R.target_stats(df),
-        "target_correlations": R.target_correlations(data.drop("features"), IMPROVED, D, 10),
+        "target_correlations": R.target_correlations(df, IMPROVED, D, 10),
     }
 
 
