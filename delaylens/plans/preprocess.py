@@ -11,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from delaylens.operators import clean, features as B, filters as CF, reports as R
 from delaylens.plans import params as P
+from delaylens.sources.files import sink_parquet
 
 
 def preprocess(df: DataFrame, fill_delay_nulls: bool = False, redundancy_pass: str = "before",
@@ -46,6 +48,14 @@ def preprocess(df: DataFrame, fill_delay_nulls: bool = False, redundancy_pass: s
     return df, reports
 
 
+def write_handover(cleaned: DataFrame, path: str) -> DataFrame:
+    """Write the cleaned table partitioned by Year and return the read-back
+    (the stage hand-over; year filters downstream prune directories)."""
+    sink_parquet(cleaned, path, partition_by=["Year"])
+    back = cleaned.sparkSession.read.parquet(path)
+    return back.withColumn("Year", F.col("Year").cast("int"))
+
+
 def preprocess_complete(df: DataFrame, **kw) -> tuple[DataFrame, dict]:
     """P1."""
     return preprocess(df, fill_delay_nulls=False, redundancy_pass="before", **kw)

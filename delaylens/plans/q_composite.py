@@ -7,7 +7,8 @@ from delaylens.plans.analysis import delay_analysis as _delay, impact_analysis a
 from delaylens.plans.oracle_base import CARRIER_CASE, season_case, severity_case, with_
 from delaylens.plans import params as P
 from delaylens.plans.inputs import raw, trips
-from delaylens.plans.preprocess import preprocess_complete as _complete, preprocess_staged as _staged
+from delaylens.plans.preprocess import preprocess_complete as _complete, preprocess_staged as _staged, write_handover
+from delaylens.session import scratch_path
 from delaylens.plans.registry import q
 from delaylens.plans.q_stats import ADVICE_SQL
 from delaylens.sources.flights import raw_flights
@@ -29,8 +30,9 @@ KEEP = f"WHERE Year IS NULL OR Year NOT IN {P.EXCLUDE_YEARS}"
     "d": "SELECT DISTINCT * FROM b",
     "g": f"SELECT *, {DERIVE} FROM d"}) + f"SELECT * FROM g {KEEP}")
 def preprocess_complete(spark, sf):
-    """The cleaned table (redundancy pass first, nulls kept)."""
-    return _complete(raw_flights(spark, sf))[0]
+    """The cleaned table (redundancy pass first, nulls kept), written
+    as the Year-partitioned hand-over and read back."""
+    return write_handover(_complete(raw_flights(spark, sf))[0], scratch_path(spark, "cleaned-complete"))
 
 
 @q("preprocess_staged", with_("raw", extra={
@@ -40,8 +42,9 @@ def preprocess_complete(spark, sf):
     "g": f"SELECT *, {DERIVE} FROM f"}) +
    f"SELECT * EXCLUDE (DepDelay, ArrDelay, DayofWeek_raw, Marketing_Airline_Network, {HOUR_DIS}) FROM g {KEEP}")
 def preprocess_staged(spark, sf):
-    """The staged variant (nulls filled, redundancy pass last)."""
-    return _staged(raw_flights(spark, sf))[0]
+    """The staged variant (nulls filled, redundancy pass last), written
+    and read back like P1."""
+    return write_handover(_staged(raw_flights(spark, sf))[0], scratch_path(spark, "cleaned-staged"))
 
 
 @q("impact_analysis", with_("trips", extra=ADVICE_SQL) +
