@@ -168,11 +168,11 @@ def fit_calibrated(estimator: Estimator, train: DataFrame, label: str = "label",
 
 
 def select_classifier(candidates: dict[str, Estimator], train: DataFrame, label: str = "label",
-                      frac: float = 0.8, seed: int = 42):
+                      frac: float = 0.8, seed: int = 42, cols: Sequence[str] | None = None):
     """Fit each candidate on ``frac`` of train, score average precision
     on the rest; returns (best name, best estimator, metrics DataFrame)."""
     from delaylens.operators.evaluate import average_precision
-    sp = stratified_split(train, label, frac, seed)
+    sp = stratified_split(train, label, frac, seed, cols=cols)
     fit_part, val = sp.where(F.col("split") == "train").drop("split"), sp.where(F.col("split") == "test").drop("split")
     rows = []
     for name, est in candidates.items():

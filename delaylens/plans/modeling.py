@@ -165,8 +165,9 @@ def realistic_run(spark: SparkSession, sf: str, sample_per_mille: int | None = N
     cands = {"RandomForest": M.rf_classifier(300, 12, weight="weight")}
     if boosted:
         cands["GBT"] = M.gbt_classifier(400, 6, 0.07)
-    best, est, metrics = M.select_classifier(cands, train, "label", seed=P.SEED)
-    inner = M.stratified_split(train.drop("split"), "label", 0.8, P.SEED + 1, cols=KEYS + [D])
+    # selection and threshold use the same 80/20 split of train, as the original does
+    best, est, metrics = M.select_classifier(cands, train.drop("split"), "label", seed=P.SEED, cols=KEYS + [D])
+    inner = M.stratified_split(train.drop("split"), "label", 0.8, P.SEED, cols=KEYS + [D])
     fit_part = inner.where(F.col("split") == "train").drop("split")
     val = inner.where(F.col("split") == "test").drop("split")
     cal = M.fit_calibrated(est, fit_part, "label", 3, P.SEED)
