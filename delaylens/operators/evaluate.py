@@ -157,7 +157,8 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> Data
     """K6: (threshold, fpr, tpr) at each distinct score."""
     c = _cum_desc(df, label, score)
     h = score_histogram(df, label, score)
-    P, N = h.agg(F.sum("pos")).scalar(), h.agg(F.sum("neg")).scalar()
+    tot = h.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
+    P, N = tot.getField("p"), tot.getField("n")
     return c.select(F.col("score").alias("threshold"),
                     F.try_divide(F.col("cum_neg").cast("double"), N.cast("double")).alias("fpr"),
                     F.try_divide(F.col("cum_pos").cast("double"), P.cast("double")).alias("tpr"))

@@ -35,9 +35,8 @@ def high_risk_groups(stats: DataFrame, key: str, a: str = "Avg_Delay", b: str =
                      q: float = 0.8) -> DataFrame:
     """Groups strictly above the ``q`` quantile in both metrics. The
     quantiles are scalar subqueries computed once."""
-    qa = stats.agg(F.percentile(a, q)).scalar()
-    qb = stats.agg(F.percentile(b, q)).scalar()
-    return stats.where((F.col(a) > qa) & (F.col(b) > qb))
+    qs = stats.agg(F.struct(F.percentile(a, q).alias("a"), F.percentile(b, q).alias("b"))).scalar()
+    return stats.where((F.col(a) > qs.getField("a")) & (F.col(b) > qs.getField("b")))
 
 
 def outliers_above_quantile(df: DataFrame, col: str, q: float = 0.99) -> DataFrame:

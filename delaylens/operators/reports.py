@@ -3,8 +3,10 @@
 Every report is one ``groupBy(key).agg(...)`` so Spark plans a partial
 (map-side) aggregate, one hash exchange on the key and a final aggregate:
 a hot key is combined on the map side before the shuffle and never lands
-as raw rows in one task. Exact medians use ``percentile`` whose buffer is
-a value->count map (bounded by the distinct minute values of a group).
+as raw rows in one task. Exact medians use ``percentile``, whose buffer is
+a value->count map bounded by the distinct minute values of a group (for
+continuous values, ``functions.quantile`` gives the same result from a
+spillable (key, value) histogram).
 Null keys are dropped (pandas ``groupby`` semantics) and rates count
 nulls as "no" (T1)."""
 
@@ -12,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from delaylens.functions import columns as C
@@ -139,6 +141,23 @@ def value_counts(df: DataFrame, col: str, n: int | None = None) -> DataFrame:
     return out.limit(n) if n else out
 
 
+def value_counts_many(df: DataFrame, cols: Sequence[str], top: dict[str, int] | None = None) -> DataFrame:
+    """D8 for several columns in one pass: (Column, Value, count) from one
+    scan and one aggregate over the stacked (column, value) pairs; ``top``
+    keeps the n most frequent values of the named columns (ties by value),
+    ranked within the aggregated rows of that column."""
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("Column"), F.col(c).cast("string").alias("Value")) for c in cols])).alias("s"))
+    counts = (stacked.select("s.*").where(F.col("Value").isNotNull())
+              .groupBy("Column", "Value").agg(F.count(F.lit(1)).alias("count")))
+    if not top:
+        return counts
+    w = Window.partitionBy("Column").orderBy(F.desc("count"), F.asc("Value"))
+    limit = F.try_element_at(C.lit_map(dict(top)), F.col("Column"))
+    ranked = counts.withColumn("__r", F.row_number().over(w))
+    return ranked.where(limit.isNull() | (F.col("__r") <= limit)).drop("__r")
+
+
 def cardinality(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Distinct (non-null) values per column, as (column, n_distinct).
     Each column is its own distinct aggregate; Spark rewrites several
@@ -233,11 +252,14 @@ def route_stats(df: DataFrame, key: str = "Route", delay: str = "DepDelayMinutes
                 date: str = "DepDate", min_flights: int = 100) -> DataFrame:
     """D16 (+E5, C4): a single aggregate per route: count, mean, median,
     std, max, distinct days, delay frequency, major rate, on-time rate;
-    routes with fewer than ``min_flights`` non-null delays are dropped."""
+    routes with fewer than ``min_flights`` non-null delays are dropped.
+    Distinct days are the size of the route's set of dates (bounded by the
+    calendar), which keeps the whole report one aggregation keyed by route
+    instead of a (route, day) expansion for ``count(distinct)``."""
     d = F.col(delay)
     return (df.where(F.col(key).isNotNull()).groupBy(key)
             .agg(*_delay_aggs(delay, with_std=True, with_max=True),
-                 F.count_distinct(date).alias("Days_Operated"),
+                 F.size(F.collect_set(date)).cast("bigint").alias("Days_Operated"),
                  C.pct(d > 0).alias("Delay_Frequency"),
                  C.pct(d > 60).alias("Major_Delay_Rate"),
                  C.pct(d == 0).alias("On_Time_Rate"))

@@ -20,16 +20,16 @@ def top_k(df: DataFrame, by: str, n: int, key: str | Sequence[str], ascending: b
 def top_routes(stats: DataFrame, n: int = 20, key: str = "Route",
                metrics: Sequence[str] = ("Avg_Delay", "Delay_Frequency", "Major_Delay_Rate")) -> DataFrame:
     """G1: top ``n`` routes by each metric, as one table with the ranking
-    name and the 1-based rank."""
-    parts = []
-    for m in metrics:
-        t = top_k(stats, m, n, key)
-        w = Window.orderBy(F.desc(m), F.asc(key))   # at most n rows: one small task
-        parts.append(t.select(F.lit(m).alias("Ranking"), F.row_number().over(w).alias("Rank"), *stats.columns))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    name and the 1-based rank. The stats are stacked once per metric and
+    ranked in a window partitioned by the metric, so the per-route
+    aggregate is computed once; each window partition holds one row per
+    route (an aggregate, not raw rows)."""
+    stacked = stats.select(F.explode(F.array(*[
+        F.struct(F.lit(m).alias("Ranking"), F.col(m).alias("__v"), *[F.col(c) for c in stats.columns])
+        for m in metrics])).alias("s")).select("s.*")
+    w = Window.partitionBy("Ranking").orderBy(F.desc("__v"), F.asc(key))
+    ranked = stacked.withColumn("Rank", F.row_number().over(w)).where(F.col("Rank") <= n)
+    return ranked.select("Ranking", "Rank", *stats.columns)
 
 
 def worst_hours(hourly: DataFrame, n: int = 10, hour: str = "CRSDepTimeHour",

@@ -28,7 +28,8 @@ def ks_2samp(df: DataFrame, value: str, in_a: Column, in_b: Column) -> DataFrame
     the effective size n_a*n_b/(n_a+n_b))."""
     h = value_histogram(df, value, in_a, in_b)
     cum = running_totals(h, "v", ["a", "b"])
-    na, nb = h.agg(F.sum("a")).scalar(), h.agg(F.sum("b")).scalar()
+    n = h.agg(F.struct(F.sum("a").alias("a"), F.sum("b").alias("b"))).scalar()
+    na, nb = n.getField("a"), n.getField("b")
     d = (cum.agg(F.max(F.abs(F.col("cum_a") / na - F.col("cum_b") / nb)).alias("ks_statistic"))
          .select(na.cast("bigint").alias("n_a"), nb.cast("bigint").alias("n_b"), "ks_statistic"))
     n1, n2 = F.col("n_a").cast("double"), F.col("n_b").cast("double")

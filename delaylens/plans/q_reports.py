@@ -118,10 +118,7 @@ _VC = ["Season", "CarrierName", "DelaySeverity", "Route", "Year"]
     + ("LIMIT 10" if c == "Route" else "") + ")" for c in _VC))
 def value_counts(spark, sf):
     """Season, CarrierName, DelaySeverity, Route (top 10), Year."""
-    df = trips(spark, sf)
-    parts = [R.value_counts(df, c, 10 if c == "Route" else None)
-             .select(F.lit(c).alias("Column"), F.col(c).cast("string").alias("Value"), "count") for c in _VC]
-    return H.union_chunks(parts)
+    return R.value_counts_many(trips(spark, sf), _VC, top={"Route": 10})
 
 
 _CARD = ["OriginCity", "OriginState", "DestCity", "DestState", "Route", "Marketing_Airline_Network"]

@@ -17,10 +17,19 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_READERS: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as a lazy DataFrame. The reader (file listing and parquet
+    footer schema) is created once per Spark application and path; every
+    query still plans its own pruned, filtered scan from it."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(table_path(sf_dir, name))
+    key = (spark.sparkContext.applicationId, table_path(sf_dir, name))
+    if key not in _READERS:
+        _READERS[key] = spark.read.parquet(key[1])
+    return _READERS[key]
 
 
 def scan_parquet(spark: SparkSession, *paths: str) -> DataFrame:

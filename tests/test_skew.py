@@ -47,3 +47,14 @@ def test_average_precision_with_hot_score(spark):
         ap += (r - prev_r) * p
         prev_r = r
     assert abs(K.average_precision(df).first()[0] - ap) < 1e-12
+
+
+def test_grouped_quantiles_match_pandas(spark):
+    from delaylens.functions.quantile import grouped_quantiles
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"k": rng.integers(0, 5, 700), "v": rng.normal(size=700)})
+    pdf.loc[rng.random(700) < 0.1, "v"] = np.nan
+    got = grouped_quantiles(spark.createDataFrame(pdf), ["k"], "v", [0.25, 0.5, 0.99], ["a", "b", "c"]).toPandas()
+    got = got.set_index("k").sort_index()
+    ref = pdf.groupby("k").v.quantile([0.25, 0.5, 0.99]).unstack().sort_index()
+    assert np.allclose(got[["a", "b", "c"]].to_numpy(), ref.to_numpy())
