@@ -319,25 +319,25 @@ def daily_series(df: DataFrame, date: str = "DepDate", delay: str = "DepDelayMin
 CAUSES = ["WeatherDelay", "CarrierDelay", "NASDelay", "SecurityDelay", "LateAircraftDelay"]
 
 
-def cause_report(df: DataFrame, causes: Sequence[str] = CAUSES,
-                 actionable: Sequence[str] = ("CarrierDelay", "LateAircraftDelay")) -> DataFrame:
-    """Per cause avg minutes, % of flights affected (>0), % of all
-    cause minutes, and an action class; one aggregate, then unpivot."""
+def cause_report(df: DataFrame, causes: Sequence[str] = CAUSES, delay: str = "DepDelayMinutes",
+                 actionable: Sequence[str] = ("CarrierDelay", "LateAircraftDelay"),
+                 monitor: Sequence[str] = ("WeatherDelay", "NASDelay")) -> DataFrame:
+    """Per cause avg minutes, % of flights affected (>0), its minutes
+    as % of all departure-delay minutes, and an action class (ACTIONABLE /
+    MONITOR / none); one aggregate, then unpivot."""
     causes = [c for c in causes if c in df.columns]
-    agg = df.agg(F.count(F.lit(1)).alias("__n"),
+    agg = df.agg(F.sum(delay).alias("__tot"),
                  *[F.struct(F.avg(c).alias("Avg_Minutes"),
                             C.pct(F.col(c) > 0).alias("Pct_Flights_Affected"),
                             F.sum(c).alias("Total_Minutes")).alias(f"__c{i}")
                    for i, c in enumerate(causes)])
-    total = sum((F.coalesce(F.col(f"__c{i}.Total_Minutes"), F.lit(0.0)) for i in range(len(causes))),
-                F.lit(0.0))
     rows = F.explode(F.array(*[F.struct(F.lit(c).alias("Cause"), F.col(f"__c{i}.*"))
                                for i, c in enumerate(causes)]))
-    out = agg.select(total.alias("__tot"), rows.alias("r")).select(
+    out = agg.select("__tot", rows.alias("r")).select(
         "r.Cause", "r.Avg_Minutes", "r.Pct_Flights_Affected", "r.Total_Minutes",
         F.try_divide(F.col("r.Total_Minutes") * 100.0, F.col("__tot")).alias("Pct_Of_Delay_Minutes"))
     return out.withColumn("Action", F.when(F.col("Cause").isin(*actionable), "ACTIONABLE")
-                          .otherwise("MONITOR"))
+                          .when(F.col("Cause").isin(*monitor), "MONITOR"))
 
 
 def operational_means(df: DataFrame, delayed: str = "IsDelayed") -> DataFrame:

@@ -71,31 +71,44 @@ def delay_analysis(spark: SparkSession, df: DataFrame, min_route_flights: int =
     return out
 
 
+# Insight categories, finding templates and recommendations.
+INSIGHT_TEXT = {
+    "route": ("Route Risk", "%d routes identified as high-risk",
+              "Implement proactive monitoring and contingency planning for these routes"),
+    "time": ("Time Patterns", "Worst departure hours: %s",
+             "Consider adjusting schedules or adding buffer time during peak delay hours"),
+    "season": ("Seasonal Patterns", "Highest delays in %s (%.1f min), lowest in %s (%.1f min)",
+               "Adjust operational capacity and staffing during high-risk months"),
+    "trend": ("Long-term Trends", "Overall delay trend is %s (slope: %.4f)",
+              "Monitor trend changes and implement interventions if delays are increasing"),
+}
+
+
 def insights(routes: DataFrame, hourly: DataFrame, monthly: DataFrame, decomp: DataFrame | None) -> DataFrame:
     """(category, finding, recommendation) rows from one-row results:
-    high-risk route count (C6), worst 3 hours (G2), extreme months (G6) and
-    the trend direction of the STL trend (F5)."""
+    high-risk route count (C6), worst 3 hours in descending order (G2),
+    extreme months (G6) and the direction of the STL trend (F5)."""
+    from delaylens.functions.columns import MONTH_NAMES, name_of
+
+    def row(kind: str, finding) -> list:
+        cat, _, rec = INSIGHT_TEXT[kind]
+        return [F.lit(cat).alias("category"), finding.alias("finding"), F.lit(rec).alias("recommendation")]
+
     risk = CF.high_risk_groups(routes, "Route").agg(F.count(F.lit(1)).alias("n"))
-    hours = T.worst_hours(hourly, 3).agg(F.array_join(F.sort_array(F.collect_list(
-        F.format_string("%02d:00", "CRSDepTimeHour"))), ", ").alias("h"))
+    top3 = T.worst_hours(hourly, 3).agg(F.array_sort(F.collect_list(F.struct(
+        (-F.col("Avg_Delay")).alias("k"), F.col("CRSDepTimeHour").alias("h")))).alias("hs"))
+    hours = F.array_join(F.transform("hs", lambda x: F.format_string("%02d:00", x["h"])), ", ")
     ext = T.extreme_months(monthly)
     parts = [
-        risk.select(F.lit("routes").alias("category"),
-                    F.format_string("%d high-risk routes (top 20%% in both average delay and major-delay rate)",
-                                    "n").alias("finding"),
-                    F.lit("Add buffer time and monitor these routes").alias("recommendation")),
-        hours.select(F.lit("timing").alias("category"), F.concat(F.lit("Worst departure hours: "), "h").alias("finding"),
-                     F.lit("Prefer departures outside these hours").alias("recommendation")),
-        ext.select(F.lit("seasonality").alias("category"),
-                   F.format_string("Highest average delay in month %d, lowest in month %d", "Worst_Month",
-                                   "Best_Month").alias("finding"),
-                   F.lit("Plan capacity for the peak month").alias("recommendation")),
+        risk.select(*row("route", F.format_string(INSIGHT_TEXT["route"][1], "n"))),
+        top3.select(*row("time", F.format_string(INSIGHT_TEXT["time"][1], hours))),
+        ext.select(*row("season", F.format_string(
+            INSIGHT_TEXT["season"][1], name_of("Worst_Month", MONTH_NAMES, 1), "Worst_Avg",
+            name_of("Best_Month", MONTH_NAMES, 1), "Best_Avg"))),
     ]
     if decomp is not None:
         tr = S.trend_slope(S.with_position(decomp), y="trend")
-        parts.append(tr.select(F.lit("trend").alias("category"),
-                               F.format_string("Delay trend is %s (slope %.4f per day)", "direction", "slope").alias("finding"),
-                               F.lit("Track the trend against schedule changes").alias("recommendation")))
+        parts.append(tr.select(*row("trend", F.format_string(INSIGHT_TEXT["trend"][1], "direction", "slope"))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

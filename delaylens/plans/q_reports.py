@@ -15,6 +15,7 @@ from delaylens.plans.oracle_base import with_
 from delaylens.plans.q_rows import ROUTE_STATS_SQL, _names_case, _period_case
 from delaylens.plans.q_sources import FLIGHT_COLS
 from delaylens.plans.registry import q
+from delaylens.plans.analysis import INSIGHT_TEXT as _IT
 
 K = ", ".join(KEYS)
 TRIPS_COLS = [c for c in FLIGHT_COLS if c not in ("FlightDate", "OriginCityName", "DestCityName")] + [
@@ -293,13 +294,14 @@ def daily_series(spark, sf):
 # ---- D26-D29, D32, D34 -----------------------------------------------------
 
 _C5 = ["WeatherDelay", "CarrierDelay", "NASDelay", "SecurityDelay", "LateAircraftDelay"]
-_TOT = " + ".join(f"COALESCE(sum({c}), 0)" for c in _C5)
+_ACTION = {"CarrierDelay": "'ACTIONABLE'", "LateAircraftDelay": "'ACTIONABLE'", "WeatherDelay": "'MONITOR'",
+           "NASDelay": "'MONITOR'"}
 
 
 @q("cause_report", with_("flights") + " UNION ALL ".join(
     f"SELECT '{c}' AS Cause, avg({c}) AS Avg_Minutes, {pct_sql(f'{c} > 0')} AS Pct_Flights_Affected, "
-    f"sum({c}) AS Total_Minutes, sum({c}) * 100.0e0 / ({_TOT}) AS Pct_Of_Delay_Minutes, "
-    f"'{'ACTIONABLE' if c in ('CarrierDelay', 'LateAircraftDelay') else 'MONITOR'}' AS Action FROM flights"
+    f"sum({c}) AS Total_Minutes, sum({c}) * 100.0e0 / sum({D}) AS Pct_Of_Delay_Minutes, "
+    f"CAST({_ACTION.get(c, 'NULL')} AS VARCHAR) AS Action FROM flights"
     for c in _C5))
 def cause_report(spark, sf):
     """D26."""
@@ -556,20 +558,21 @@ def union_chunks(spark, sf):
 @q("insights", with_("trips", extra={
     "rs": ROUTE_STATS_SQL.format(min_flights=P.MIN_ROUTE_FLIGHTS),
     "hr": group_sql("CRSDepTimeHour"),
-    "mo": group_sql("Month", std=True)}) + """
-SELECT 'routes' AS category,
-  printf('%d high-risk routes (top 20%% in both average delay and major-delay rate)',
+    "mo": group_sql("Month", std=True)}) + f"""
+SELECT '{_IT["route"][0]}' AS category,
+  printf('{_IT["route"][1]}',
     (SELECT count(*) FROM rs WHERE Avg_Delay > (SELECT quantile_cont(Avg_Delay, 0.8) FROM rs)
        AND Major_Delay_Rate > (SELECT quantile_cont(Major_Delay_Rate, 0.8) FROM rs))) AS finding,
-  'Add buffer time and monitor these routes' AS recommendation
+  '{_IT["route"][2]}' AS recommendation
 UNION ALL
-SELECT 'timing', 'Worst departure hours: ' || array_to_string(list_sort(list(printf('%02d:00', CRSDepTimeHour))), ', '),
-  'Prefer departures outside these hours'
-FROM (SELECT CRSDepTimeHour FROM hr ORDER BY Avg_Delay DESC, CRSDepTimeHour LIMIT 3)
+SELECT '{_IT["time"][0]}', printf('{_IT["time"][1]}', string_agg(printf('%02d:00', CRSDepTimeHour), ', ' ORDER BY Avg_Delay DESC, CRSDepTimeHour)),
+  '{_IT["time"][2]}'
+FROM (SELECT CRSDepTimeHour, Avg_Delay FROM hr ORDER BY Avg_Delay DESC, CRSDepTimeHour LIMIT 3)
 UNION ALL
-SELECT 'seasonality', printf('Highest average delay in month %d, lowest in month %d',
-    (SELECT Month FROM mo ORDER BY Avg_Delay DESC, Month LIMIT 1), (SELECT Month FROM mo ORDER BY Avg_Delay ASC, Month LIMIT 1)),
-  'Plan capacity for the peak month'""")
+SELECT '{_IT["season"][0]}', printf('{_IT["season"][1]}',
+    {_names_case('(SELECT Month FROM mo ORDER BY Avg_Delay DESC, Month LIMIT 1)', C.MONTH_NAMES, 1)}, (SELECT max(Avg_Delay) FROM mo),
+    {_names_case('(SELECT Month FROM mo ORDER BY Avg_Delay ASC, Month LIMIT 1)', C.MONTH_NAMES, 1)}, (SELECT min(Avg_Delay) FROM mo)),
+  '{_IT["season"][2]}'""")
 def insights(spark, sf):
     """Findings from the high-risk route count (C6), the worst three
     hours (G2) and the extreme months (G6); the trend finding (F5 on the
