@@ -26,8 +26,7 @@ UNKNOWN_AIRLINE = "Unknown Airline"
 
 # Calendar names (weekday index Monday=0).
 DAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
-MONTH_NAMES = ["January", "February", "March", "April", "May", "June", "July",
-               "August", "September", "October", "November", "December"]
+MONTH_NAMES = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 QUARTER_NAMES = ["Q1 (Winter)", "Q2 (Spring)", "Q3 (Summer)", "Q4 (Fall)"]
 # Season ordinal codes.
 SEASON_ORDINAL = {"Spring": 0, "Summer": 1, "Fall": 2, "Winter": 3}
