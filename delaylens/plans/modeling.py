@@ -150,14 +150,14 @@ def operational_run(spark: SparkSession, sf: str, rolling: bool = True) -> dict:
 
 
 @memo_run
-def realistic_run(spark: SparkSession, sf: str, sample_per_mille: int | None = None, boosted: bool = False) -> dict:
+def realistic_run(spark: SparkSession, sf: str, sample: int | None = 500_000, boosted: bool = False) -> dict:
     """Realistic features, stratified 80/20 split, selection, isotonic
     calibration refit on 80 % of train with the threshold chosen on the
     other 20 %, the 4-class bucket model, worst hours and problem routes."""
-    from delaylens.sources.files import sample_rows
+    from delaylens.sources.files import sample_n
     df = model_frame(spark, sf)
-    if sample_per_mille:
-        df = sample_rows(df, sample_per_mille, P.SEED)
+    if sample:
+        df = sample_n(df, sample, P.SEED)      # the original trains on a 500,000-row sample
     df = M.stratified_split(df, "IsDelayed", 0.8, P.SEED, cols=KEYS + [D])
     data = _prep(df, REALISTIC, "realistic", extra=["split"]).persist(StorageLevel.MEMORY_AND_DISK)
     train = M.balanced_weights(data.where(F.col("split") == "train"), "label")
@@ -223,14 +223,14 @@ def rolling_year_cv(spark: SparkSession, sf: str, folds=P.ROLLING_FOLDS, priors:
 
 
 @memo_run
-def regressor_comparison(spark: SparkSession, sf: str, sample_per_mille: int | None = None) -> dict:
+def regressor_comparison(spark: SparkSession, sf: str, sample: int | None = 200_000) -> dict:
     """Delay minutes regressors on the 25 'improved' features (random
     80/20 split): RF(200, 15), GBT(200, 8, 0.1), Ridge(1.0) and Lasso(0.1)
     on scaled features, and the mean of RF(100) + GBT(100) + unscaled Ridge."""
-    from delaylens.sources.files import sample_rows
+    from delaylens.sources.files import sample_n
     df = model_frame(spark, sf)
-    if sample_per_mille:
-        df = sample_rows(df, sample_per_mille, P.SEED)
+    if sample:
+        df = sample_n(df, sample, P.SEED)      # the original uses a 200,000-row sample
     df = E.group_stats_rich(df)
     df = M.random_split(df, 0.8, P.SEED, cols=KEYS + [D]).where(F.col(D).isNotNull())
     data = _prep(df, IMPROVED, "improved", extra=["split"]).withColumn("y", F.col(D))

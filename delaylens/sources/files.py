@@ -43,6 +43,14 @@ def sample_rows(df: DataFrame, per_mille: int, seed: int = 42) -> DataFrame:
     return df.where(h < per_mille)
 
 
+def sample_n(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
+    """A4 by size: about ``n`` rows by the same row hash; the fraction is
+    n / count(*) from a scalar subquery (all rows when n >= count)."""
+    total = df.agg(F.count(F.lit(1))).scalar()
+    u = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed)), F.lit(1_000_000)) / 1_000_000.0
+    return df.where(u < F.lit(float(n)) / total)
+
+
 def sink_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> str:
     """A5: CSV with header, no index; optionally partitioned."""
     w = df.write.mode(mode).option("header", True).option("dateFormat", "yyyy-MM-dd")
