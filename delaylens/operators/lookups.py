@@ -28,11 +28,24 @@ def attach_group_stats(df: DataFrame, key: str | Sequence[str], aggs: dict, how:
 
 
 def group_stats_lookup(df: DataFrame, delay: str = "DepDelayMinutes") -> DataFrame:
-    """RouteFrequency (rows), RouteAvgDelay, OriginAvgDelay, DestAvgDelay."""
-    df = attach_group_stats(df, "Route", {"RouteFrequency": F.count(F.lit(1)),
-                                          "RouteAvgDelay": F.avg(delay)})
-    df = attach_group_stats(df, "OriginCity", {"OriginAvgDelay": F.avg(delay)})
-    return attach_group_stats(df, "DestCity", {"DestAvgDelay": F.avg(delay)})
+    """RouteFrequency (rows), RouteAvgDelay, OriginAvgDelay, DestAvgDelay.
+
+    One pass: rows are pre-aggregated once to (route, origin, destination)
+    counts and sums, and the three means are rolled up from that small
+    table (mean = sum of sums / sum of counts), so the input is scanned and
+    shuffled once instead of once per key."""
+    d = F.col(delay)
+    base = df.groupBy("Route", "OriginCity", "DestCity").agg(
+        F.count(F.lit(1)).alias("__rows"), F.count(d).alias("__n"), F.sum(d).alias("__s"))
+
+    def mean(key: str, name: str, extra: dict | None = None) -> DataFrame:
+        aggs = {name: F.try_divide(F.sum("__s"), F.sum("__n").cast("double")), **(extra or {})}
+        return base.where(F.col(key).isNotNull()).groupBy(key).agg(*[c.alias(n) for n, c in aggs.items()])
+
+    route = mean("Route", "RouteAvgDelay", {"RouteFrequency": F.sum("__rows")})
+    return (df.join(route, "Route", "left")
+            .join(mean("OriginCity", "OriginAvgDelay"), "OriginCity", "left")
+            .join(mean("DestCity", "DestAvgDelay"), "DestCity", "left"))
 
 
 def group_stats_rich(df: DataFrame, delay: str = "DepDelayMinutes", digits: int = 2) -> DataFrame:
@@ -52,12 +65,17 @@ def train_priors(df: DataFrame, is_train: str = "is_train", delay: str = "DepDel
                  keys: Sequence[tuple[str, str]] = (("Route", "Route_Prior"),
                                                     ("OriginCity", "Origin_Prior"))) -> DataFrame:
     """Per-key mean delay from train rows only; keys unseen in train
-    get the global train mean (a scalar subquery)."""
-    train = df.where(F.col(is_train))
-    glob = train.agg(F.avg(delay)).scalar()
+    get the global train mean. Train rows are pre-aggregated once over all
+    prior keys; each prior and the global mean (a scalar subquery) are
+    rolled up from that table."""
+    d = F.col(delay)
+    cols = [k for k, _ in keys]
+    base = df.where(F.col(is_train)).groupBy(*cols).agg(F.count(d).alias("__n"), F.sum(d).alias("__s"))
+    mean = F.try_divide(F.sum("__s"), F.sum("__n").cast("double"))
+    glob = base.agg(mean).scalar()
     out = df
     for key, name in keys:
-        pri = train.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(delay).alias(name))
+        pri = base.where(F.col(key).isNotNull()).groupBy(key).agg(mean.alias(name))
         out = out.join(pri, key, "left")
     return out.withColumns({name: F.coalesce(F.col(name), glob) for _, name in keys})
 
