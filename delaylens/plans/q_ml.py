@@ -28,7 +28,7 @@ def _op_data(spark, sf):
 
 @q("assemble")
 def assemble(spark, sf):
-    """J1 (rows-only): the operational feature vector per row."""
+    """J1 (rows-only): the operational feature vector per row (as an array)."""
     df = MD.model_frame(spark, sf)
     a = M.assemble(df, MD.OPERATIONAL)
     return a.select(*KEYS, vector_to_array("features").alias("features"))

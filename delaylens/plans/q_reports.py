@@ -439,10 +439,11 @@ def scalar_baseline(spark, sf):
     return out.withColumn("Diff", F.col(D) - F.col("Global_Avg"))
 
 
-@q("align_rows")
+@q("align_rows", with_("trips", extra={"tt": _TT}) + f"""
+SELECT {K}, is_train, CAST(CASE WHEN {D} > 0 THEN 1 ELSE 0 END AS INTEGER) AS IsDelayed, {D} FROM tt""")
 def align_rows(spark, sf):
-    """E8 (rows-only): targets, ids and split travel in one DataFrame
-    through the split; nothing is re-joined by position."""
+    """Targets, ids and split travel in one DataFrame through the
+    split; nothing is re-joined by position."""
     df = B.add_is_delayed(_split_df(spark, sf))
     return df.select(*KEYS, "is_train", "IsDelayed", D)
 
