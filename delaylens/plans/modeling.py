@@ -18,7 +18,7 @@ from delaylens.operators import evaluate as K, features as B, filters as CF, loo
 from delaylens.operators import reports as R, topk as T
 from delaylens.plans import params as P
 from delaylens.plans.inputs import KEYS, trips
-from delaylens.session import materialize
+from delaylens.session import app_key, materialize, parallelism
 
 D = "DepDelayMinutes"
 
@@ -31,7 +31,7 @@ def memo_run(fn):
     driver-built, so later queries that need the same run read them
     instead of fitting again."""
     def run(spark: SparkSession, sf: str, *args, **kw):
-        key = (fn.__name__, spark.sparkContext.applicationId, sf, args, tuple(sorted(kw.items())))
+        key = (fn.__name__, app_key(spark), sf, args, tuple(sorted(kw.items())))
         if key not in _RUNS:
             _RUNS[key] = fn(spark, sf, *args, **kw)
         return _RUNS[key]
@@ -74,8 +74,12 @@ def _prep(df: DataFrame, features: Sequence[str], name: str, extra: Sequence[str
     out = materialize(a.withColumn("label", F.col("IsDelayed").cast("double")), name)
     # tree induction runs one task per partition and pass: spread a small
     # frame over every core (a large one already has many file splits)
-    par = out.sparkSession.sparkContext.defaultParallelism
-    return out.repartition(par) if out.rdd.getNumPartitions() < par else out
+    par = parallelism(out.sparkSession)
+    try:
+        few = out.rdd.getNumPartitions() < par
+    except Exception:  # noqa: BLE001 - no RDD view: repartition anyway
+        few = True
+    return out.repartition(par) if few else out
 
 
 def _scored_summary(scored: DataFrame, threshold) -> dict:

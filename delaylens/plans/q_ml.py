@@ -14,7 +14,7 @@ from delaylens.plans import params as P
 from delaylens.plans.inputs import KEYS
 from delaylens.plans.oracle_base import with_
 from delaylens.plans.registry import q
-from delaylens.session import materialize
+from delaylens.session import app_key, materialize
 
 K_ = ", ".join(KEYS)
 D = "DepDelayMinutes"
@@ -95,7 +95,7 @@ _FITS: dict = {}
 
 
 def _fit_score(spark, sf, est, weighted=True):
-    key = (spark.sparkContext.applicationId, sf, weighted, type(est).__name__,
+    key = (app_key(spark), sf, weighted, type(est).__name__,
            tuple(sorted((p.name, str(v)) for p, v in est.extractParamMap().items() if p.name != "seed")))
     if key not in _FITS:
         _FITS[key] = _fit_score_once(spark, sf, est, weighted)

@@ -34,19 +34,40 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def app_key(spark: SparkSession) -> str:
+    """Identity of the running application (for per-application reuse of
+    readers and model runs)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext handle
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
+def parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage and is used as is.
     Only when it is unset (local tests) is a scratch folder created."""
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001
+        sc = None
+    d = sc.getCheckpointDir() if sc is not None else None
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="delaylens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
+    if sc is None:
+        return d
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from delaylens.session import app_key
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -26,7 +28,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     query still plans its own pruned, filtered scan from it."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    key = (spark.sparkContext.applicationId, table_path(sf_dir, name))
+    key = (app_key(spark), table_path(sf_dir, name))
     if key not in _READERS:
         _READERS[key] = spark.read.parquet(key[1])
     return _READERS[key]
