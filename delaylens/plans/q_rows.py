@@ -10,7 +10,7 @@ from delaylens.operators import clean, features as B, filters as CF, reports as
 from delaylens.operators.sets import years_intersect
 from delaylens.plans import params as P
 from delaylens.plans.inputs import KEYS, fl, raw, trips
-from delaylens.plans.oracle_base import season_case, severity_case, with_
+from delaylens.plans.oracle_base import severity_case, with_
 from delaylens.plans.registry import q
 
 K = ", ".join(KEYS)
