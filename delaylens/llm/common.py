@@ -50,3 +50,22 @@ def byte_slices(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Ite
     cuts = np.flatnonzero(np.diff(group)) + 1
     for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
         yield batch.slice(int(a), int(b - a))
+
+
+class Memo:
+    """What was worked out before, ``limit`` entries at most: when the younger
+    half is full it replaces the older one, and what is asked for again stays."""
+
+    def __init__(self, limit: int):
+        self.half, self.young, self.old = max(1, limit // 2), {}, {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.half:
+            self.old, self.young = self.young, {}
+        self.young[key] = value

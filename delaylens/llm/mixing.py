@@ -12,7 +12,7 @@ A source's target is then cut into whole repetitions of all its documents and
 a rest. The rest takes the documents in the order of a seeded hash until their
 words reach it, the last one included if more than half of it fits: taken and
 target differ by half a document at most. The cut is found by radix
-selection on the hash, two digits and then the exact values, so no task ever
+selection on the hash, three digits and then the exact values, so no task ever
 sorts a source's documents and a source with a third of all rows costs one
 partial aggregation.
 
@@ -33,7 +33,7 @@ from delaylens.llm.common import WORD, small_side, spare, text_of
 from delaylens.session import materialize
 
 HASH_BITS = 60
-DIGITS = (44, 28)     # bits that lie below the first and the second radix digit
+DIGITS = (50, 40, 30)     # bits below each radix digit: at most 1,024 rows per source and digit
 
 
 def n_words(column: str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from delaylens.llm import exact_dedup, mixing, quality, token_count, token_ids, warc
+from delaylens.llm import byte_bpe, exact_dedup, mixing, quality, token_count, token_ids, warc
 from delaylens.sources.tables import table_path
 
 QUERIES: dict[str, Callable] = {}
@@ -57,6 +57,13 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query("op7_byte_bpe")
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document encoded by the ranks and decoded again."""
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                               public_tokenizers.PATTERN)
+
+
 @query("op9_token_count")
 def op9_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole document in the word vocabulary."""

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import byte_slices
+from delaylens.llm.common import Memo, byte_slices
 
 SLICE_BYTES = 4 << 20
 KEPT_WORDS = 400_000
@@ -53,16 +53,16 @@ class WordCounter:
     """Tokens per text from tokens per word."""
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = load_tokenizer(path), {"": 0}
+        self.tokenizer, self.known = load_tokenizer(path), Memo(KEPT_WORDS)
 
     def words(self, words: list[str]) -> np.ndarray:
-        new = [w for w in words if w not in self.known]
+        counts = [self.known.get(w) for w in words]
+        new = [w for w, n in zip(words, counts) if n is None]
         found = dict(zip(new, map(len, self.tokenizer.encode_batch_fast(new, add_special_tokens=False))))
-        out = np.fromiter((self.known[w] if w in self.known else found[w] for w in words), np.int64, len(words))
-        if len(self.known) + len(found) > KEPT_WORDS:
-            self.known = {"": 0}
-        self.known.update((w, n) for w, n in found.items() if len(w) < 64)
-        return out
+        for w, n in found.items():
+            if len(w) < 64:
+                self.known.put(w, n)
+        return np.fromiter((found[w] if n is None else n for w, n in zip(words, counts)), np.int64, len(words))
 
     def texts(self, texts: pa.Array) -> np.ndarray:
         parts = pc.ascii_split_whitespace(texts.cast(pa.large_string()))

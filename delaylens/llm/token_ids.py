@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import byte_slices
+from delaylens.llm.common import Memo, byte_slices
 from delaylens.llm.files import create, open_input
 from delaylens.llm.pieces import cut, gather
 from delaylens.llm.token_count import load_tokenizer
@@ -117,18 +117,19 @@ class PieceIds:
     """Ids of texts from ids of their pieces, as the tokenizers library gives them."""
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = load_tokenizer(path), {}
+        self.tokenizer, self.known = load_tokenizer(path), Memo(KEPT_PIECES)
 
     def texts(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids with the end ids, and the number of ids of each text."""
         pieces, index, stops = cut(texts)
-        new = [p for p in pieces if p not in self.known]
-        got = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        found = {p: np.array(e.ids, np.uint32) for p, e in zip(new, got)}
-        entries = [self.known[p] if p in self.known else found[p] for p in pieces]
-        if len(self.known) + len(found) > KEPT_PIECES:
-            self.known = {}
-        self.known.update((p, e) for p, e in found.items() if len(p) < 64)
+        entries = [self.known.get(p) for p in pieces]
+        new = [p for p, e in zip(pieces, entries) if e is None]
+        got = iter(self.tokenizer.encode_batch_fast(new, add_special_tokens=False))
+        for k, p in enumerate(pieces):
+            if entries[k] is None:
+                entries[k] = np.array(next(got).ids, np.uint32)
+                if len(p) < 64:
+                    self.known.put(p, entries[k])
         end = np.full(1, end_id, np.uint32)
         pool = np.concatenate([*entries, end])
         ends = np.cumsum([*map(len, entries), 1])
