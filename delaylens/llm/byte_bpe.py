@@ -34,6 +34,7 @@ from collections.abc import Iterator
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -139,8 +140,8 @@ class Bpe:
             steps = max(1, min(STEPS, 4_000_000 // len(rows)))
             self.db.register("start", rows)
             got = self.db.sql(query.format(steps=steps)).to_arrow_table()
-            going = pa.compute.equal(got["it"], steps)
-            done.append(got.filter(pa.compute.invert(going)).select(["w", "p", "t"]).cast(rows.schema))
+            going = pc.equal(got["it"], steps)
+            done.append(got.filter(pc.invert(going)).select(["w", "p", "t"]).cast(rows.schema))
             rows = got.filter(going).select(["w", "p", "t"]).cast(rows.schema)
         self.db.register("tokens", pa.concat_tables([done[0].cast(rows.schema), *done[1:]]))
 
@@ -213,7 +214,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-                sizes = pa.compute.list_value_length(part.column(1)).to_numpy().astype(np.int64)
+                sizes = pc.list_value_length(part.column(1)).to_numpy().astype(np.int64)
                 flat, n = part.column(1).flatten(), int(sizes.sum())
                 own = bpe(path, pattern)
                 own.db.register("ids", pa.table({"d": np.repeat(np.arange(len(sizes)), sizes), "p": np.arange(n), "t": flat}))

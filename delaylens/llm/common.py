@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ def byte_slices(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Ite
     bytes at most (one row at least), so that work arrays stay bounded."""
     if not batch.num_rows:
         return
-    sizes = np.asarray(pa.compute.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
+    sizes = np.asarray(pc.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
     group = np.cumsum(sizes) // limit
     cuts = np.flatnonzero(np.diff(group)) + 1
     for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):

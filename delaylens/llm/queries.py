@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from delaylens.llm import byte_bpe, exact_dedup, mixing, quality, token_count, token_ids, warc
+from delaylens.llm import byte_bpe, exact_dedup, mixing, ngram_join, quality, token_count, token_ids, warc
 from delaylens.sources.tables import table_path
 
 QUERIES: dict[str, Callable] = {}
@@ -64,6 +64,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                public_tokenizers.PATTERN)
 
 
+@query("op8_ngram_join", ngram_join.ORACLE)
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents linked by five-word shingles at Jaccard 0.75."""
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+
+
 @query("op9_token_count")
 def op9_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole document in the word vocabulary."""
