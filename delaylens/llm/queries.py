@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from delaylens.llm import byte_bpe, exact_dedup, mixing, ngram_join, quality, token_count, token_ids, warc
+from delaylens.llm import byte_bpe, exact_dedup, mixing, ngram_join, quality, rp_forest, token_count, token_ids, url_filter, warc
 from delaylens.sources.tables import table_path
 
 QUERIES: dict[str, Callable] = {}
@@ -33,12 +33,29 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), cycle=(5, 2, 1), max_epochs=3, share=1.0)
 
 
+@query("op2_embedding_neardup", rp_forest.ORACLE)
+def op2_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors linked within their label at cosine 0.98 by a random-projection forest."""
+    return rp_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op3_warc", warc.ORACLE)
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records and read back from the archives."""
     return warc.read_warc(warc.write_warc(table(spark, sf_dir, "pages"), min_bytes=0))
 
 
+#: (verdict, rule) of the query
+URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
+             ("block", "net/fr/"))
+
+
+@query("op4_url_filter")
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by the rules, else by boosted trees trained on the urls that the rules label."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query("op5_token_ids")
 def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token files with Elias-Fano boundaries, read back from the files."""
