@@ -18,7 +18,7 @@ Within a leaf the vectors are compared by exact cosines in double precision. A
 leaf of more than ``BLOCK`` vectors is cut into blocks and each pair of blocks
 is a task's work, so no task holds a whole large leaf. No pairs are written:
 a task returns per vector the number of links found and its smallest partner.
-A pair that meets in several leaves is counted in the first tree only (each
+A pair that meets in several leaves is counted in the first of them only (each
 vector carries the leaves it lies in). Components are put together from the
 smallest partners.
 
@@ -138,25 +138,24 @@ def _leaves(classes: DataFrame, trees: int, leaf: int, margin: float, dense: flo
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (leaf, cell, x, y, cls, tree, block, weight, leaves, v) of one pair of
-    blocks: links per class, counted in the first tree two classes share, and the
+    blocks: links per class, counted in the first leaf two classes share, and the
     smallest partner."""
     for group in _sorted_groups(batches, 2):
         cls, first = np.unique(group["cls"].to_numpy(), return_index=True)
         pick = pa.array(first)
         x, y, block = group["x"][0].as_py(), group["y"][0].as_py(), group["block"].to_numpy()[first]
-        tree = group["tree"][0].as_py()
+        tree, leaf = group["tree"][0].as_py(), group["leaf"][0].as_py()
         v = _unit(_matrix(group["v"].combine_chunks().take(pick)))
         weight = group["weight"].to_numpy()[first]
         own = group["leaves"].combine_chunks().take(pick)
-        seen = {}      # per earlier tree the leaves of each class, as (row, leaf) pairs
+        seen = {}      # per tree the leaves before this one of each class, as (row, leaf) pairs
         flat, size = own.flatten(), _lengths(own)
         row = np.repeat(np.arange(len(cls)), size)
         of_tree, of_leaf = flat.field(0).to_numpy(), flat.field(1).to_numpy()
-        for t in range(tree):
-            now = of_tree == t
+        for t in range(tree + 1):
+            now = (of_tree == t) & ((of_leaf < leaf) | (t < tree))
             seen[t] = (row[now], of_leaf[now])
         links = np.zeros(len(cls), np.int64)
-        pairs = []
         rows_a, rows_b = np.flatnonzero(block == x), np.flatnonzero(block == y)
         near = v[rows_a] @ v[rows_b].T >= MIN_COS - 1e-9
         if x == y:
@@ -165,7 +164,6 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = rows_a[a], rows_b[b]
         exact = np.einsum("nd,nd->n", v[a], v[b]) >= MIN_COS
         a, b = a[exact], b[exact]
-        pairs.append((a, b))
         met = np.zeros(len(a), bool)
         for t in seen:
             met |= _share(a, b, *seen[t], len(cls))

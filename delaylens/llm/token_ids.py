@@ -4,11 +4,12 @@ Every text is encoded whole, an end id is appended, and the ids of all
 documents form one array in ascending id order. The array lies in shards
 (range partitions of the id), one file each:
 
-    magic ``DLTI1``, a u64 header of six numbers, then
-    ids           n_ids little-endian u32
+    magic ``DLTI1``
+    ids           n_ids little-endian numbers of ``width`` bytes: 2 if the vocabulary fits, else 4
     boundaries    Elias-Fano code of the running ends of the documents
     document ids  Elias-Fano code of (id - smallest id), in order
-    nulls         documents without an id come first; their number is in the header
+    header        seven u64 numbers: documents, documents without an id (they come
+                  first), ids, smallest document id, bytes of both codes, width
 
 An Elias-Fano code of n rising numbers below u keeps the low ``l = log2(u / n)``
 bits of each in a packed array and the high parts as unary gaps in a bit
@@ -45,7 +46,7 @@ from delaylens.llm.token_count import load_tokenizer
 from delaylens.session import materialize, scratch_path
 
 MAGIC = b"DLTI1\0\0\0"
-HEAD = struct.Struct("<6Q")      # documents, null ids, ids, smallest document id (two's complement), bytes of both codes
+HEAD = struct.Struct("<7Q")
 SAMPLE = 256
 KEPT_PIECES = 300_000
 READ_IDS = 1 << 20
@@ -118,6 +119,7 @@ class PieceIds:
 
     def __init__(self, path: str):
         self.tokenizer, self.known = load_tokenizer(path), Memo(KEPT_PIECES)
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
 
     def texts(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids with the end ids, and the number of ids of each text."""
@@ -153,6 +155,7 @@ def _write_shard(folder: str, path: str, end_id: int, batches: Iterator[pa.Recor
     document, follow when the last document is written."""
     own, name, shard = piece_ids(path), f"{folder}/{uuid.uuid4().hex}.ids", None
     sizes, docs, nulls, n_ids, out = [], [], 0, 0, None
+    width = max(own.width, 2 if end_id < 1 << 16 else 4)
     for batch in batches:
         for part in byte_slices(batch, 1):
             if out is None:
@@ -160,7 +163,7 @@ def _write_shard(folder: str, path: str, end_id: int, batches: Iterator[pa.Recor
                 out.write(MAGIC)
                 shard = part.column(2)[0].as_py()
             ids, n = own.texts(part.column(1), end_id)
-            out.write(ids.astype("<u4").tobytes())
+            out.write(ids.astype(f"<u{width}").tobytes())
             sizes.append(n)
             nulls += part.column(0).null_count
             docs.append(part.column(0).drop_null().to_numpy(zero_copy_only=False).astype(np.int64))
@@ -171,7 +174,7 @@ def _write_shard(folder: str, path: str, end_id: int, batches: Iterator[pa.Recor
     least = int(docs[0]) if len(docs) else 0
     ends = EliasFano.encode(np.cumsum(sizes)).to_bytes()
     names = EliasFano.encode((docs - least).astype(np.uint64)).to_bytes()
-    out.write(ends + names + HEAD.pack(len(sizes), nulls, n_ids, least % (1 << 64), len(ends), len(names)))
+    out.write(ends + names + HEAD.pack(len(sizes), nulls, n_ids, least % (1 << 64), len(ends), len(names), width))
     out.close()
     yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [name],
                                       "n_docs": [len(sizes)], "n_ids": [n_ids]})
@@ -197,11 +200,11 @@ class Shard:
         self.file = open_input(path)
         size = self.file.size()
         head = self._at(size - HEAD.size, HEAD.size)
-        self.n, self.nulls, self.n_ids, least, n_ends, n_names = HEAD.unpack(head)
+        self.n, self.nulls, self.n_ids, least, n_ends, n_names, self.width = HEAD.unpack(head)
         self.least = least - (1 << 64) * (least >> 63)
-        if self._at(0, 8) != MAGIC or size != 8 + 4 * self.n_ids + n_ends + n_names + HEAD.size:
+        if self._at(0, 8) != MAGIC or size != 8 + self.width * self.n_ids + n_ends + n_names + HEAD.size:
             raise ValueError(f"{path} is no token file or is cut off")
-        codes = self._at(8 + 4 * self.n_ids, n_ends + n_names)
+        codes = self._at(8 + self.width * self.n_ids, n_ends + n_names)
         self.ends, self.names = EliasFano.from_bytes(codes[:n_ends]), EliasFano.from_bytes(codes[n_ends:])
 
     def _at(self, offset: int, size: int) -> bytes:
@@ -210,7 +213,7 @@ class Shard:
 
     def ids(self, a: int, b: int) -> np.ndarray:
         """Ids a to b - 1 of the shard's array."""
-        return np.frombuffer(self._at(8 + 4 * a, 4 * (b - a)), "<u4")
+        return np.frombuffer(self._at(8 + self.width * a, self.width * (b - a)), f"<u{self.width}").astype("<u4")
 
     def document(self, i: int) -> np.ndarray:
         return self.ids(self.ends.select(i - 1) if i else 0, self.ends.select(i))
