@@ -95,10 +95,10 @@ def members(stream) -> Iterator[Iterator[bytes]]:
                 if not rest:
                     raise ValueError("the archive ends inside a gzip member")
                 out = inflate.decompress(rest, BLOCK)
-                rest = inflate.unconsumed_tail or (b"" if inflate.eof else stream.read(BLOCK))
+                # at the end of a member only unused_data holds what follows
+                rest = inflate.unused_data if inflate.eof else inflate.unconsumed_tail or stream.read(BLOCK)
                 if out:
                     yield out
-            rest = inflate.unused_data + rest if inflate.unused_data is not rest else rest
             rest, ended = rest or stream.read(BLOCK), True
 
         yield parts()
