@@ -168,7 +168,8 @@ def threshold_for_recall(df: DataFrame, target_recall: float = 0.80, label: str
                          score: str = "score", clip: tuple[float, float] = (0.01, 0.99)) -> DataFrame:
     """The threshold with the highest precision among those reaching
     ``target_recall`` (lowest threshold on ties); if none, the F1-optimal
-    one; clipped. One row."""
+    one; clipped. One row. Without rows of both classes there is no such
+    threshold and the query raises."""
     c = pr_curve(df, label, score)
     ok = c.where(F.col("recall") >= target_recall)
     best = ok.agg(F.min_by("threshold", F.struct(-F.col("precision"), F.col("threshold"))).alias("t"),
@@ -177,7 +178,10 @@ def threshold_for_recall(df: DataFrame, target_recall: float = 0.80, label: str
     alt = c.agg(F.min_by("threshold", F.struct(-F.coalesce(f1, F.lit(0.0)), F.col("threshold"))).alias("t"))
     t = F.coalesce(best.select("t").scalar(), alt.select("t").scalar())
     t_clip = F.least(F.greatest(t, F.lit(clip[0])), F.lit(clip[1]))
-    return c.agg(F.count(F.lit(1)).alias("n_thresholds")).select(
+    ends = c.agg(F.max("tp").alias("__tp"), F.max("fp").alias("__fp"))
+    lacking = (F.coalesce("__tp", F.lit(0)) == 0) | (F.coalesce("__fp", F.lit(0)) == 0)
+    t_clip = F.when(lacking, F.raise_error(F.lit("a threshold needs scored rows of both classes"))).otherwise(t_clip)
+    return ends.select(
         t.alias("raw_threshold"), t_clip.alias("threshold"),
         best.select("t").scalar().isNotNull().alias("recall_target_met"))
 

@@ -8,39 +8,63 @@ statistics across executors); only model parameters reach the driver."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (GBTRegressor, IsotonicRegression, LinearRegression,
                                    RandomForestRegressor)
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaylens.functions.guards import numeric_columns
+from delaylens.session import materialize
+
+#: memory for split statistics per pass of tree induction: fewer passes over the rows per level
+TREE_MEMORY_MB = 512
+
+
+def label_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, label, code): labels of each column ranked by text, from 0.
+    The distinct labels are range-partitioned; a label's code is its place in
+    its partition plus the labels of the partitions before, so neither the
+    driver nor one task holds them all. A written table."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit("nan"))
+                                         .alias("label")) for c in cols]))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    labels = materialize(df.select(pairs.alias("p")).select("p.*").distinct().repartitionByRange(parts, "column", "label")
+                         .withColumn("part", F.spark_partition_id()), "labels")
+    inside = F.row_number().over(Window.partitionBy("column", "part").orderBy("label")) - 1
+    before = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = labels.groupBy("column", "part").agg(F.count(F.lit(1)).alias("n"))
+    first = counts.select("column", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    return materialize(labels.withColumn("inside", inside).join(first, ["column", "part"])
+                       .select("column", "label", (F.col("first") + F.col("inside")).cast("double").alias("code")), "label-codes")
 
 
 def label_encode(df: DataFrame, cols: Sequence[str], suffix: str = "_Encoded",
                  fit_on: DataFrame | None = None) -> DataFrame:
     """codes = rank of the value in sorted text; nulls become the
     text 'nan' (as after a CSV round trip). Fitted on ``fit_on`` (all rows
-    by default, as the original does). The fitted label list is one
-    distinct value per category; the nominal metadata is stripped so
-    trees treat codes as plain numbers (T14)."""
+    by default, as the original does); a label not seen there gets the code
+    after the last. Codes are plain numbers without nominal metadata (T14)
+    and are joined back per column."""
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    filled = {f"__txt_{c}": F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in cols}
-    src = df.withColumns(filled)
-    fit_src = (fit_on.withColumns(filled) if fit_on is not None else src)
-    idx = StringIndexer(inputCols=list(filled), outputCols=[f"{c}{suffix}" for c in cols],
-                        stringOrderType="alphabetAsc", handleInvalid="keep")
-    model = idx.fit(fit_src.select(*filled))
-    out = model.transform(src).drop(*filled)
-    return out.withColumns({f"{c}{suffix}": F.col(f"{c}{suffix}").alias(f"{c}{suffix}", metadata={})
-                            for c in cols})
+    codes = label_codes(fit_on if fit_on is not None else df, cols)
+    out = df
+    for c in cols:
+        own = codes.where(F.col("column") == c)
+        code = own.select(F.col("label").alias("__label"), F.col("code").alias(f"{c}{suffix}"))
+        out = (out.withColumn("__text", F.coalesce(F.col(c).cast("string"), F.lit("nan")))
+               .join(code, F.col("__text") == F.col("__label"), "left").drop("__text", "__label")
+               .withColumn(f"{c}{suffix}", F.coalesce(F.col(f"{c}{suffix}"), own.agg(F.count(F.lit(1)).cast("double")).scalar())))
+    return out
 
 
 # ---- J1-J6: assembly, splits, scaling, weights ------------------------------
@@ -53,10 +77,20 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
     return VectorAssembler(inputCols=feats, outputCol=out, handleInvalid="error").transform(filled)
 
 
-def hash_unit(df: DataFrame, seed: int, cols: Sequence[str] | None = None) -> Column:
-    """A uniform number in [0, 1) from a hash of the row and a seed."""
+HASH_BITS = 48
+
+
+def hash_place(df: DataFrame, seed: int, cols: Sequence[str] | None = None) -> Column:
+    """48 bits of a seeded hash of the row, the same in every engine that has md5."""
     cols = list(cols) if cols else [c for c, t in df.dtypes if not t.startswith("vector")]
-    return F.pmod(F.xxhash64(*[F.col(c) for c in cols], F.lit(seed)), F.lit(1_000_000)) / 1_000_000.0
+    key = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in cols])
+    return F.conv(F.substring(F.md5(key), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
+def hash_unit(df: DataFrame, seed: int, cols: Sequence[str] | None = None) -> Column:
+    """A uniform number in [0, 1) from a hash of the row and a seed. Splits of
+    a split need seeds of their own, else the second one repeats the first."""
+    return hash_place(df, seed, cols) / F.lit(float(1 << HASH_BITS))
 
 
 def time_split(df: DataFrame, train_years: Sequence[int], test_years: Sequence[int], year: str = "Year",
@@ -74,11 +108,29 @@ def random_split(df: DataFrame, frac: float = 0.8, seed: int = 42, out: str = "s
 
 
 def stratified_split(df: DataFrame, label: str, frac: float = 0.8, seed: int = 42, out: str = "split",
-                     cols: Sequence[str] | None = None) -> DataFrame:
-    """Every class is split by the same hash rule, so each class keeps
-    the ``frac`` ratio (up to sampling noise of the hash, which vanishes
-    with size); no per-class sort of all rows into one task."""
-    return random_split(df, frac, seed, out, cols)
+                     cols: Sequence[str] | None = None, buckets: int = 4096) -> DataFrame:
+    """Of every class the ``frac`` share (rounded) that comes first by a
+    seeded hash is 'train'. Per class the counts of ``buckets`` hash ranges
+    tell in which range the cut falls; only that range is counted hash by
+    hash, so no class is sorted in one task. Rows with equal hashes (equal
+    ``cols``) go together; null is a class of its own."""
+    width = (1 << HASH_BITS) // buckets
+    rows = df.withColumns({"__place": hash_place(df, seed, cols), "__class": F.coalesce(F.col(label).cast("string"), F.lit("null"))})
+    rows = rows.withColumn("__range", F.floor(F.col("__place") / width))
+    before = Window.partitionBy("__class").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("__class")
+    counts = rows.groupBy("__class", "__range").agg(F.count(F.lit(1)).alias("__n"))
+    cut = (counts.withColumns({"__before": F.coalesce(F.sum("__n").over(before), F.lit(0)),
+                               "__goal": F.round(F.sum("__n").over(whole) * F.lit(frac))})
+           .where((F.col("__before") < F.col("__goal")) & (F.col("__goal") <= F.col("__before") + F.col("__n")))
+           .select("__class", "__range", (F.col("__goal") - F.col("__before")).alias("__need")))
+    inside = rows.join(cut, ["__class", "__range"]).groupBy("__class", "__place", "__need").agg(F.count(F.lit(1)).alias("__n"))
+    upto = Window.partitionBy("__class").orderBy("__place").rowsBetween(Window.unboundedPreceding, -1)
+    last = (inside.withColumn("__before", F.coalesce(F.sum("__n").over(upto), F.lit(0)))
+            .where(F.col("__before") < F.col("__need")).groupBy("__class").agg(F.max("__place").alias("__last")))
+    return (rows.join(last, "__class", "left")
+            .withColumn(out, F.when(F.col("__place") <= F.col("__last"), "train").otherwise("test"))
+            .drop("__class", "__place", "__range", "__last"))
 
 
 def standard_scale(train: DataFrame, df: DataFrame, input_col: str = "features",
@@ -90,12 +142,12 @@ def standard_scale(train: DataFrame, df: DataFrame, input_col: str = "features",
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """weight = n / (k * n_class). The class table has one row per
-    class (a bounded set), joined by broadcast."""
+    class and is left to the planner."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
     n = counts.agg(F.sum("__nc")).scalar()
     k = counts.agg(F.count(F.lit(1))).scalar()
     w = counts.select(label, (n / (k * F.col("__nc"))).cast("double").alias(out))
-    return df.join(F.broadcast(w), label, "left")
+    return df.join(w, label, "left")
 
 
 # ---- J7-J10: classifiers, selection, calibration -----------------------------
@@ -104,7 +156,7 @@ def rf_classifier(num_trees: int = 200, max_depth: int = 10, seed: int = 42, lab
                   weight: str | None = None, min_instances: int = 1, max_bins: int = 32):
     """J7 (min_samples_split=20 is approximated by minInstancesPerNode=10)."""
     p = dict(featuresCol="features", labelCol=label, numTrees=num_trees, maxDepth=max_depth, seed=seed,
-             minInstancesPerNode=min_instances, maxBins=max_bins)
+             minInstancesPerNode=min_instances, maxBins=max_bins, maxMemoryInMB=TREE_MEMORY_MB)
     if weight:
         p["weightCol"] = weight
     return RandomForestClassifier(**p)
@@ -152,37 +204,56 @@ def fold_column(df: DataFrame, k: int, seed: int, out: str = "__fold") -> DataFr
                                                 F.lit(seed)), F.lit(k)).cast("int"))
 
 
+def side_by_side(jobs: Sequence, at_once: int = 4) -> list:
+    """Run independent fits in threads of the driver: tree induction is many
+    short jobs, and fits that overlap keep the executors busy."""
+    with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(jobs)))) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(j)) for j in jobs]]
+
+
+def fit_isotonic(scored: DataFrame, score: str, label: str) -> Model:
+    """Isotonic map of a score on the mean label, from one row per distinct
+    score with its count as weight: the driver pools scores, not rows."""
+    means = scored.groupBy(score).agg(F.avg(F.col(label).cast("double")).alias("__mean"),
+                                      F.count(F.lit(1)).cast("double").alias("__rows"))
+    return IsotonicRegression(featuresCol=score, labelCol="__mean", weightCol="__rows", predictionCol="__iso",
+                              isotonic=True).fit(means)
+
+
 def fit_calibrated(estimator: Estimator, train: DataFrame, label: str = "label", folds: int = 3,
                    seed: int = 42) -> CalibratedModel:
     """Per fold, fit the estimator on the other folds and an isotonic
-    map of its class-1 probability on the held-out fold."""
+    map of its class-1 probability on the held-out fold; folds side by side."""
     t = fold_column(train, folds, seed)
-    parts = []
-    for i in range(folds):
+
+    def one(i: int):
         base = estimator.copy().fit(t.where(F.col("__fold") != i))
-        held = base.transform(t.where(F.col("__fold") == i)).withColumn("__p", prob1())
-        iso = IsotonicRegression(featuresCol="__p", labelCol=label, predictionCol="__iso", isotonic=True).fit(held)
+        iso = fit_isotonic(base.transform(t.where(F.col("__fold") == i)).withColumn("__p", prob1()), "__p", label)
         iso.setFeaturesCol(f"__p{i}")
-        parts.append((base, iso))
-    return CalibratedModel(parts)
+        return base, iso
+
+    return CalibratedModel(side_by_side([lambda i=i: one(i) for i in range(folds)]))
 
 
 def select_classifier(candidates: dict[str, Estimator], train: DataFrame, label: str = "label",
                       frac: float = 0.8, seed: int = 42, cols: Sequence[str] | None = None):
     """Fit each candidate on ``frac`` of train, score average precision
-    on the rest; returns (best name, best estimator, metrics DataFrame)."""
+    on the rest; returns (best name, best estimator, metrics DataFrame).
+    Raises when a part holds no rows of one class."""
     from delaylens.operators.evaluate import average_precision
     sp = stratified_split(train, label, frac, seed, cols=cols)
     fit_part, val = sp.where(F.col("split") == "train").drop("split"), sp.where(F.col("split") == "test").drop("split")
-    rows = []
-    for name, est in candidates.items():
-        m = est.copy().fit(fit_part)
-        s = m.transform(val).withColumn("score", prob1())
-        ap = average_precision(s, label=label).first()[0]
-        rows.append((name, float(ap) if ap is not None else None))
-    spark = train.sparkSession
-    metrics = spark.createDataFrame(rows, "model string, val_average_precision double")
-    best = max(rows, key=lambda r: -1 if r[1] is None else r[1])[0]
+
+    def one(name: str, est: Estimator):
+        s = materialize(est.copy().fit(fit_part).transform(val).select(label, prob1().alias("score")), "selection-scored")
+        kinds = s.agg(F.count_distinct(label)).first()[0]
+        if kinds < 2:
+            raise ValueError(f"the validation part of {name} holds {kinds} of 2 classes")
+        return name, float(average_precision(s, label=label).first()[0])
+
+    rows = side_by_side([lambda n=n, e=e: one(n, e) for n, e in candidates.items()])
+    metrics = train.sparkSession.createDataFrame(rows, "model string, val_average_precision double")
+    best = max(rows, key=lambda r: r[1])[0]
     return best, candidates[best], metrics
 
 
@@ -191,7 +262,7 @@ def select_classifier(candidates: dict[str, Estimator], train: DataFrame, label:
 def rf_regressor(num_trees: int = 200, max_depth: int = 15, seed: int = 42, label: str = "y",
                  min_instances: int = 1, features: str = "features"):
     return RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=num_trees, maxDepth=max_depth,
-                                 seed=seed, minInstancesPerNode=min_instances)
+                                 seed=seed, minInstancesPerNode=min_instances, maxMemoryInMB=TREE_MEMORY_MB)
 
 
 def gbt_regressor(max_iter: int = 200, max_depth: int = 8, step: float = 0.1, seed: int = 42,

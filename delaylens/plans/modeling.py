@@ -17,24 +17,33 @@ from pyspark.sql import functions as F
 from delaylens.operators import evaluate as K, features as B, filters as CF, lookups as E, ml as M
 from delaylens.operators import reports as R, topk as T
 from delaylens.plans import params as P
-from delaylens.plans.inputs import KEYS, trips
-from delaylens.session import app_key, materialize, parallelism
+from delaylens.plans.inputs import KEYS
+from delaylens.session import app_key, materialize
 
 D = "DepDelayMinutes"
 
 _RUNS: dict = {}
 
 
+def input_state(spark: SparkSession, sf: str) -> tuple:
+    """Files of the input tables with their sizes and times of change, so that
+    data rewritten under the same path is not served from an earlier run."""
+    from delaylens.sources.tables import table_path
+    names = ("region", "nation", "customer", "supplier", "orders", "lineitem")
+    meta = spark.read.format("binaryFile").load([table_path(sf, n) for n in names]).select("path", "modificationTime", "length")
+    return tuple(sorted(tuple(r) for r in meta.collect()))      # one row per file
+
+
 def memo_run(fn):
-    """Reuse a model run within one Spark application: its heavy outputs
-    are written files (``materialize``) and its small tables are
-    driver-built, so later queries that need the same run read them
-    instead of fitting again."""
+    """Reuse a model run within one Spark application while its input files
+    stay as they are: its heavy outputs are written files (``materialize``) and
+    its small tables are driver-built."""
     def run(spark: SparkSession, sf: str, *args, **kw):
         key = (fn.__name__, app_key(spark), sf, args, tuple(sorted(kw.items())))
-        if key not in _RUNS:
-            _RUNS[key] = fn(spark, sf, *args, **kw)
-        return _RUNS[key]
+        state = input_state(spark, sf)
+        if key not in _RUNS or _RUNS[key][0] != state:
+            _RUNS[key] = state, fn(spark, sf, *args, **kw)
+        return _RUNS[key][1]
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__
     return run
 
@@ -54,9 +63,24 @@ TESTER = ["HourOfDay", "DayOfWeek", "Distance", "TaxiOut", "TaxiIn",
           *[f"{c}_Binary" for c in CAUSES4], *ENC]
 
 
-def model_frame(spark: SparkSession, sf: str) -> DataFrame:
-    """Enriched trips with every model feature derived."""
-    df = trips(spark, sf)
+@memo_run
+def cleaned_table(spark: SparkSession, sf: str) -> DataFrame:
+    """P1's hand-over, the input of every model run: duplicates and gap years removed."""
+    from delaylens.plans.preprocess import preprocess_complete, write_handover
+    from delaylens.session import scratch_path
+    from delaylens.sources.flights import raw_flights
+    return write_handover(preprocess_complete(raw_flights(spark, sf))[0], scratch_path(spark, "model-input"))
+
+
+def guarded(df: DataFrame) -> DataFrame:
+    """The frame itself, after a look at all its rows: raises if a gap year is left in."""
+    CF.assert_years_absent(df, P.EXCLUDE_YEARS)
+    return df
+
+
+def model_frame(spark: SparkSession, sf: str, cleaned: DataFrame | None = None) -> DataFrame:
+    """The cleaned table with every model feature derived."""
+    df = guarded(cleaned_table(spark, sf) if cleaned is None else cleaned)
     df = B.add_is_delayed(df)
     df = B.add_hour_of_day(df)
     df = B.add_time_flags(df)
@@ -67,19 +91,26 @@ def model_frame(spark: SparkSession, sf: str) -> DataFrame:
     return M.label_encode(df, ENCODED)
 
 
-def _prep(df: DataFrame, features: Sequence[str], name: str, extra: Sequence[str] = ()) -> DataFrame:
+EXAMPLE = ["DayOfWeek", "Season"]
+
+
+def _prep(df: DataFrame, features: Sequence[str], name: str, extra: Sequence[str] = (), parts: int | None = None) -> DataFrame:
+    """Feature vectors, written and dealt by a hash of the keys into ``parts``
+    partitions, sorted within: bagging depends on partition and order, so the
+    fitted model must not depend on how the input happened to lie."""
     keep = list(dict.fromkeys([*KEYS, "Year", "Route", "OriginCity", "DestCity", "CRSDepTimeHour", D,
-                               "IsDelayed", "DelayBucket", *extra]))
-    a = M.assemble(df, features).select(*[c for c in keep if c in df.columns], "features")
-    out = materialize(a.withColumn("label", F.col("IsDelayed").cast("double")), name)
-    # tree induction runs one task per partition and pass: spread a small
-    # frame over every core (a large one already has many file splits)
-    par = parallelism(out.sparkSession)
-    try:
-        few = out.rdd.getNumPartitions() < par
-    except Exception:  # noqa: BLE001 - no RDD view: repartition anyway
-        few = True
-    return out.repartition(par) if few else out
+                               "IsDelayed", "DelayBucket", *EXAMPLE, *extra]))
+    cols = [c for c in keep if c in df.columns]
+    a = M.assemble(df, features).select(*[F.col(c) for c in cols], "features")
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [c for c in cols if c not in KEYS]
+    return materialize(a.withColumn("label", F.col("IsDelayed").cast("double"))
+                       .repartition(parts, *KEYS).sortWithinPartitions(*KEYS, *order), name)
+
+
+def _write_scored(scored: DataFrame) -> DataFrame:
+    """The scored rows without the vectors, written once: every table of a run reads them."""
+    return materialize(scored.drop("features", "rawPrediction", "probability"), "scored")
 
 
 def _scored_summary(scored: DataFrame, threshold) -> dict:
@@ -98,89 +129,111 @@ def consumer_run(spark: SparkSession, sf: str, boosted: bool = False) -> dict:
     classifier selection, isotonic calibration, threshold for recall 0.80
     chosen on the test split (as the original does)."""
     df = model_frame(spark, sf)
-    CF.assert_years_absent(df.where(F.col("Year").isin(*P.TRAIN_YEARS, *P.TEST_YEARS)), P.EXCLUDE_YEARS)
     df = M.time_split(df, P.TRAIN_YEARS, P.TEST_YEARS).withColumn("is_train", F.col("split") == "train")
     df = E.train_traffic_prior(E.train_priors(df))
     data = _prep(df, CONSUMER, "consumer", extra=["split"]).persist(StorageLevel.MEMORY_AND_DISK)
     train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
-    cands = {"RandomForest": M.rf_classifier(200, 12)}
+    train_w = M.balanced_weights(train, "label")
+    cands = {"RandomForest": M.rf_classifier(200, 12, weight="weight")}
     if boosted:
         cands["GBT"] = M.gbt_classifier(300, 6, 0.1)
-    train_w = M.balanced_weights(train, "label")
-    cands["RandomForest"].setWeightCol("weight")
-    best, est, metrics = M.select_classifier(cands, train_w, "label", seed=P.SEED)
+    best, est, metrics = M.select_classifier(cands, train_w, "label", seed=P.SEED, cols=KEYS)
     cal = M.fit_calibrated(est, train_w, "label", 3, P.SEED)
-    scored = cal.transform(test)
-    thr_row = K.threshold_for_recall(scored, 0.80).first()
+    scored = _write_scored(cal.transform(test))
     data.unpersist()
-    out = _scored_summary(scored, thr_row["threshold"])
-    ap = out["average_precision"].first()[0]
-    acc = out["accuracy"].first()[0]
+    thr = K.threshold_for_recall(scored, 0.80).first()["threshold"]
+    out = _scored_summary(scored, thr)
     out["selection"] = metrics
     out["examples"] = example_predictions(out["scored"], 10)
-    out["run_summary"] = run_summary(spark, "consumer", best, thr_row["threshold"], metrics, ap, acc)
+    out["run_summary"] = run_summary(spark, "consumer", best, thr, metrics, out["average_precision"].first()[0],
+                                     out["accuracy"].first()[0])
     return out
 
 
+@memo_run
+def operational_data(spark: SparkSession, sf: str) -> DataFrame:
+    """Operational features of all cleaned rows, written once for the run and its folds."""
+    return _prep(model_frame(spark, sf), OPERATIONAL, "operational")
+
+
+@memo_run
+def operational_fit(spark: SparkSession, sf: str, years: tuple[int, ...]) -> M.CalibratedModel:
+    """Balanced, calibrated RF(200, 10) of these train years; the run and the
+    rolling fold with the same years share it."""
+    data = operational_data(spark, sf)
+    train = M.balanced_weights(data.where(F.col("Year").isin(*years)), "label").persist(StorageLevel.MEMORY_AND_DISK)
+    cal = M.fit_calibrated(M.rf_classifier(200, 10, weight="weight", min_instances=10), train, "label", 3, P.SEED)
+    train.unpersist()
+    return cal
+
+
+def mean_importance(models: Sequence, names: Sequence[str], n: int | None = None) -> list:
+    """K14 over the folds of a calibrated model: mean importance per feature."""
+    per_fold = [dict(M.feature_importance(m, names)) for m in models]
+    rows = sorted(((f, sum(p[f] for p in per_fold) / len(per_fold)) for f in names), key=lambda r: (-r[1], r[0]))
+    return rows[:n] if n else rows
+
+
+def operational_tables(df: DataFrame) -> dict:
+    """P8's tables that need no model, over all rows of the cleaned table."""
+    return {"cause_report": R.cause_report(df), "operational_means": R.operational_means(B.add_is_delayed(df)),
+            "worst_hours": T.worst_hours(R.hourly_delays(df), 3),
+            "top_routes": T.top_routes(R.route_stats(df, min_flights=P.MIN_ROUTE_FLIGHTS), n=20),
+            "problem_routes": T.problem_routes(df, 5, min_flights=P.MIN_ROUTE_FLIGHTS)}
+
+
 @memo_run
 def operational_run(spark: SparkSession, sf: str, rolling: bool = True) -> dict:
     """Operational features, time split, balanced RF(200, 10) with
-    isotonic calibration, threshold on test, cause report, worst hours,
-    problem routes and the rolling-year validation."""
-    df = model_frame(spark, sf)
-    CF.assert_years_absent(df.where(F.col("Year").isin(*P.TRAIN_YEARS, *P.TEST_YEARS)), P.EXCLUDE_YEARS)
-    causes = R.cause_report(df)
-    df = M.time_split(df, P.TRAIN_YEARS, P.TEST_YEARS)
-    data = _prep(df, OPERATIONAL, "operational", extra=["split"]).persist(StorageLevel.MEMORY_AND_DISK)
-    train = M.balanced_weights(data.where(F.col("split") == "train"), "label")
-    test = data.where(F.col("split") == "test")
-    est = M.rf_classifier(200, 10, weight="weight", min_instances=10)
-    cal = M.fit_calibrated(est, train, "label", 3, P.SEED)
-    imp = M.feature_importance(cal.base_models[0], OPERATIONAL, 10)
-    scored = cal.transform(test)
+    isotonic calibration, threshold on test, the tables over all rows and the
+    rolling-year validation."""
+    data = operational_data(spark, sf)
+    cal = operational_fit(spark, sf, tuple(P.TRAIN_YEARS))
+    imp = mean_importance(cal.base_models, OPERATIONAL, 10)
+    scored = _write_scored(cal.transform(data.where(F.col("Year").isin(*P.TEST_YEARS))))
     thr = K.threshold_for_recall(scored, 0.80).first()["threshold"]
-    data.unpersist()
-    out = _scored_summary(scored, thr)
-    out["cause_report"] = causes
+    out = _scored_summary(scored, thr) | operational_tables(cleaned_table(spark, sf))
     out["feature_importance"] = spark.createDataFrame(imp, "feature string, importance double")
-    out["worst_hours"] = T.worst_hours(R.hourly_delays(df.where(F.col("split") == "test")), 3)
-    out["problem_routes"] = T.problem_routes(df.where(F.col("split") == "test"), 5,
-                                             min_flights=P.MIN_ROUTE_FLIGHTS)
     if rolling:
         out["rolling_cv"] = rolling_year_cv(spark, sf, priors=False)
-    ap, acc = out["average_precision"].first()[0], out["accuracy"].first()[0]
-    out["run_summary"] = run_summary(spark, "operational", "RandomForest", thr, None, ap, acc)
+    out["run_summary"] = run_summary(spark, "operational", "RandomForest", thr, None, out["average_precision"].first()[0],
+                                     out["accuracy"].first()[0])
     return out
 
 
 @memo_run
-def realistic_run(spark: SparkSession, sf: str, sample: int | None = 500_000, boosted: bool = False) -> dict:
+def realistic_run(spark: SparkSession, sf: str, fit_rows: int | None = None, boosted: bool = False) -> dict:
     """Realistic features, stratified 80/20 split, selection, isotonic
     calibration refit on 80 % of train with the threshold chosen on the
-    other 20 %, the 4-class bucket model, worst hours and problem routes."""
+    other 20 %, the 4-class bucket model, worst hours and problem routes.
+    ``fit_rows`` bounds the rows the models are fitted on (off by default);
+    test rows and reports are always whole."""
     from delaylens.sources.files import sample_n
-    df = model_frame(spark, sf)
-    if sample:
-        df = sample_n(df, sample, P.SEED)      # the original trains on a 500,000-row sample
-    df = M.stratified_split(df, "IsDelayed", 0.8, P.SEED, cols=KEYS + [D])
+    df = M.stratified_split(model_frame(spark, sf), "IsDelayed", 0.8, P.SEED, cols=KEYS)
     data = _prep(df, REALISTIC, "realistic", extra=["split"]).persist(StorageLevel.MEMORY_AND_DISK)
-    train = M.balanced_weights(data.where(F.col("split") == "train"), "label")
-    test = data.where(F.col("split") == "test")
+    train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
+    if fit_rows:
+        train = sample_n(train, fit_rows, P.SEED + 2, cols=KEYS)
+    train = M.balanced_weights(train, "label").drop("split")
     cands = {"RandomForest": M.rf_classifier(300, 12, weight="weight")}
     if boosted:
         cands["GBT"] = M.gbt_classifier(400, 6, 0.07)
-    # selection and threshold use the same 80/20 split of train, as the original does
-    best, est, metrics = M.select_classifier(cands, train.drop("split"), "label", seed=P.SEED, cols=KEYS + [D])
-    inner = M.stratified_split(train.drop("split"), "label", 0.8, P.SEED, cols=KEYS + [D])
-    fit_part = inner.where(F.col("split") == "train").drop("split")
-    val = inner.where(F.col("split") == "test").drop("split")
-    cal = M.fit_calibrated(est, fit_part, "label", 3, P.SEED)
-    thr = K.threshold_for_recall(cal.transform(val), 0.80).first()["threshold"]
-    scored = cal.transform(test)
+    # one inner 80/20 split for selection and threshold, as the original has it; its seed differs from the outer one
+    inner_seed = P.SEED + 1
+    inner = M.stratified_split(train, "label", 0.8, inner_seed, cols=KEYS)
+    fit_part, val = (inner.where(F.col("split") == k).drop("split") for k in ("train", "test"))
     bucket_w = M.balanced_weights(train, "DelayBucket", out="bw")
-    bucket = M.rf_classifier(300, 12, label="DelayBucket", weight="bw").fit(bucket_w)
-    bucket_pred = bucket.transform(test).select(*KEYS, "DelayBucket", F.col("prediction").cast("int").alias("bucket_pred"))
-    bucket_pred = materialize(bucket_pred, "bucket-pred")
+
+    def bucket_fit():
+        model = M.rf_classifier(300, 12, label="DelayBucket", weight="bw").fit(bucket_w)
+        return materialize(model.transform(test).select(*KEYS, "DelayBucket", F.col("prediction").cast("int").alias("bucket_pred")),
+                           "bucket-pred")
+
+    (best, est, metrics), bucket_pred = M.side_by_side(
+        [lambda: M.select_classifier(cands, train, "label", seed=inner_seed, cols=KEYS), bucket_fit])
+    cal = M.fit_calibrated(est, fit_part, "label", 3, P.SEED)
+    thr = K.threshold_for_recall(_write_scored(cal.transform(val)), 0.80).first()["threshold"]
+    scored = _write_scored(cal.transform(test))
     data.unpersist()
     out = _scored_summary(scored, thr)
     out["selection"] = metrics
@@ -188,80 +241,81 @@ def realistic_run(spark: SparkSession, sf: str, sample: int | None = 500_000, bo
     out["bucket_macro_f1"] = K.macro_f1(bucket_pred, "DelayBucket", "bucket_pred", classes=[0, 1, 2, 3])
     out["worst_hours"] = T.worst_hours(R.hourly_delays(df), 3)
     out["problem_routes"] = T.problem_routes(df, 5, min_flights=P.MIN_ROUTE_FLIGHTS)
-    ap, acc = out["average_precision"].first()[0], out["accuracy"].first()[0]
-    out["run_summary"] = run_summary(spark, "realistic", best, thr, metrics, ap, acc)
+    out["run_summary"] = run_summary(spark, "realistic", best, thr, metrics, out["average_precision"].first()[0],
+                                     out["accuracy"].first()[0])
     return out
 
 
+FOLD_METRICS = ["threshold", "precision", "recall", "average_precision", "roc_auc", "accuracy", "brier"]
+
+
+def fold_metrics(scored: DataFrame) -> tuple:
+    """The columns of FOLD_METRICS of one fold's scored rows, at the threshold for recall 0.80."""
+    thr = K.threshold_for_recall(scored, 0.80).first()["threshold"]
+    s = K.apply_threshold(scored, thr)
+    c = K.confusion_counts(s, "label", "prediction").first()
+    ratio = lambda a, b: a / b if b else 0.0
+    return (float(thr), ratio(c["tp"], c["tp"] + c["fp"]), ratio(c["tp"], c["tp"] + c["fn"]),
+            *(float(x.first()[0]) for x in (K.average_precision(s), K.roc_auc(s), K.accuracy(s), K.brier(s))))
+
+
 @memo_run
 def rolling_year_cv(spark: SparkSession, sf: str, folds=P.ROLLING_FOLDS, priors: bool = True) -> DataFrame:
     """For each (train years -> validation years) fold with validation
     rows present: (priors refit on the fold's train years), calibrated
-    RF, threshold for recall 0.80 on the fold, metrics; plus an average row."""
-    base = model_frame(spark, sf)
-    feats = CONSUMER if priors else OPERATIONAL
-    rows = []
-    for tr_years, va_years in folds:
-        df = M.time_split(base, tr_years, va_years).withColumn("is_train", F.col("split") == "train")
-        if priors:
-            df = E.train_traffic_prior(E.train_priors(df))
-        data = _prep(df, feats, "fold", extra=["split"]).persist(StorageLevel.MEMORY_AND_DISK)
-        va = data.where(F.col("split") == "test")
-        if va.limit(1).count() == 0:
-            data.unpersist()
-            continue
-        tr = M.balanced_weights(data.where(F.col("split") == "train"), "label")
-        cal = M.fit_calibrated(M.rf_classifier(200, 10, weight="weight", min_instances=10), tr, "label", 3, P.SEED)
-        scored = cal.transform(va)
-        thr = K.threshold_for_recall(scored, 0.80).first()["threshold"]
-        s = K.apply_threshold(scored, thr)
-        m = (K.average_precision(s).first()[0], K.roc_auc(s).first()[0], K.accuracy(s).first()[0],
-             K.brier(s).first()[0])
-        rows.append((",".join(map(str, tr_years)), ",".join(map(str, va_years)), float(thr), *map(float, m)))
-        data.unpersist()
+    RF, threshold for recall 0.80 on the fold, its metrics; plus their averages."""
+
+    def one(tr_years, va_years):
+        if not priors:
+            va = operational_data(spark, sf).where(F.col("Year").isin(*va_years))
+            if va.isEmpty():
+                return None
+            cal = operational_fit(spark, sf, tuple(tr_years))
+        else:
+            df = M.time_split(model_frame(spark, sf), tr_years, va_years).withColumn("is_train", F.col("split") == "train")
+            data = _prep(E.train_traffic_prior(E.train_priors(df)), CONSUMER, "fold", extra=["split"])
+            va = data.where(F.col("split") == "test")
+            if va.isEmpty():
+                return None
+            tr = M.balanced_weights(data.where(F.col("split") == "train"), "label")
+            cal = M.fit_calibrated(M.rf_classifier(200, 10, weight="weight", min_instances=10), tr, "label", 3, P.SEED)
+        return (",".join(map(str, tr_years)), ",".join(map(str, va_years)), *fold_metrics(_write_scored(cal.transform(va))))
+
+    if not priors:
+        operational_data(spark, sf)      # written before the folds start side by side
+    rows = [r for r in M.side_by_side([lambda t=t, v=v: one(t, v) for t, v in folds], at_once=2) if r]
     if rows:
-        avg = ["average", "", *[sum(r[i] for r in rows) / len(rows) for i in range(2, 7)]]
-        rows.append(tuple(avg))
-    return spark.createDataFrame(rows, "train_years string, valid_years string, threshold double, "
-                                       "average_precision double, roc_auc double, accuracy double, brier double")
+        rows.append(("average", "", *[sum(r[i] for r in rows) / len(rows) for i in range(2, 2 + len(FOLD_METRICS))]))
+    return spark.createDataFrame(rows, "train_years string, valid_years string, "
+                                 + ", ".join(f"{m} double" for m in FOLD_METRICS))
 
 
 @memo_run
-def regressor_comparison(spark: SparkSession, sf: str, sample: int | None = 200_000) -> dict:
+def regressor_comparison(spark: SparkSession, sf: str) -> dict:
     """Delay minutes regressors on the 25 'improved' features (random
     80/20 split): RF(200, 15), GBT(200, 8, 0.1), Ridge(1.0) and Lasso(0.1)
-    on scaled features, and the mean of RF(100) + GBT(100) + unscaled Ridge."""
-    from delaylens.sources.files import sample_n
-    df = model_frame(spark, sf)
-    if sample:
-        df = sample_n(df, sample, P.SEED)      # the original uses a 200,000-row sample
-    df = E.group_stats_rich(df)
-    df = M.random_split(df, 0.8, P.SEED, cols=KEYS + [D]).where(F.col(D).isNotNull())
-    data = _prep(df, IMPROVED, "improved", extra=["split"]).withColumn("y", F.col(D))
-    train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
-    scaler, scaled = M.standard_scale(train, data)
+    on scaled features, and the mean of RF(100), GBT(100, depth 3) and
+    unscaled Ridge. All cleaned rows take part."""
+    df = E.group_stats_rich(model_frame(spark, sf))
+    df = M.random_split(df, 0.8, P.SEED, cols=KEYS)
+    data = _prep(df.where(F.col(D).isNotNull()), IMPROVED, "improved", extra=["split"]).withColumn("y", F.col(D))
+    scaler, scaled = M.standard_scale(data.where(F.col("split") == "train"), data)
     scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
     s_train, s_test = scaled.where(F.col("split") == "train"), scaled.where(F.col("split") == "test")
     st = s_train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("y").alias("sd")).first()
-    models = {
-        "RandomForest": M.rf_regressor(200, 15),
-        "GradientBoosting": M.gbt_regressor(200, 8, 0.1),
-        "Ridge": M.ridge(1.0, st["n"], st["sd"], features="scaled"),
-        "Lasso": M.lasso(0.1, features="scaled"),
-    }
+    models = {      # the forest's minimum of 10 rows to split is 5 rows per child here
+        "p_RandomForest": M.rf_regressor(200, 15, min_instances=5), "p_GradientBoosting": M.gbt_regressor(200, 8, 0.1),
+        "p_Ridge": M.ridge(1.0, st["n"], st["sd"], features="scaled"), "p_Lasso": M.lasso(0.1, features="scaled"),
+        "e_rf": M.rf_regressor(100, 15), "e_gb": M.gbt_regressor(100, 3, 0.1), "e_ridge": M.ridge(1.0, st["n"], st["sd"])}
+    fitted = M.side_by_side([lambda e=e, n=n: e.setPredictionCol(n).fit(s_train) for n, e in models.items()])
     preds = s_test.select(*KEYS, "y", "scaled", "features")
-    rows = []
-    for name, est in models.items():
-        m = est.setPredictionCol(f"p_{name}").fit(s_train)
+    for m in fitted:
         preds = m.transform(preds)
-    ens = [M.rf_regressor(100, 15).setPredictionCol("e_rf"), M.gbt_regressor(100, 8, 0.1).setPredictionCol("e_gb"),
-           M.ridge(1.0, st["n"], st["sd"]).setPredictionCol("e_ridge")]
-    for est in ens:
-        preds = est.fit(s_train).transform(preds)
     preds = preds.withColumn("p_Ensemble", (F.col("e_rf") + F.col("e_gb") + F.col("e_ridge")) / 3.0)
     preds = materialize(preds.drop("scaled", "features"), "reg-preds")
     scaled.unpersist()
-    for name in [*models, "Ensemble"]:
+    rows = []
+    for name in ["RandomForest", "GradientBoosting", "Ridge", "Lasso", "Ensemble"]:
         m = K.regression_metrics(preds, "y", f"p_{name}").first()
         md = K.regression_metrics(preds.where(F.col("y") > 0), "y", f"p_{name}").first()
         rows.append((name, float(m["mae"]), float(m["r2"]), float(md["mae"]), float(md["r2"])))
@@ -280,7 +334,7 @@ def model_testing(spark: SparkSession, sf: str) -> dict:
     tables, hour and weekday reports and cause and route summaries."""
     df = model_frame(spark, sf)
     df = M.time_split(df, P.TRAIN_YEARS, P.TEST_YEARS)
-    data = _prep(df, TESTER, "tester", extra=["split", "DayOfWeek"]).withColumn(
+    data = _prep(df, TESTER, "tester", extra=["split"]).withColumn(
         "y", F.coalesce(F.col(D), F.lit(0.0))).persist(StorageLevel.MEMORY_AND_DISK)
     train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
     two = M.two_stage(train, test, "label", "y")
@@ -306,11 +360,8 @@ def model_testing(spark: SparkSession, sf: str) -> dict:
 def ml_features(spark: SparkSession, sf: str) -> dict:
     """P5: the feature-engineering stage: all-row group statistics (E1),
     encodings, assembled and scaled matrix on the time split."""
-    df = model_frame(spark, sf)
-    CF.assert_years_absent(df.where(F.col("Year").isin(*P.TRAIN_YEARS, *P.TEST_YEARS)), P.EXCLUDE_YEARS)
-    df = E.group_stats_lookup(df)
-    df = M.label_encode(df, ["Route", "CarrierName", "DistanceLabel"]) if "DistanceLabel" in df.columns \
-        else M.label_encode(df, ["Route", "CarrierName"])
+    df = E.group_stats_lookup(model_frame(spark, sf))
+    df = M.label_encode(df, ["Route", "CarrierName", "DistanceLabel"])
     feats = ["HourOfDay", "DayOfWeek", "Month", "Quarter", "SeasonEncoded", "RouteFrequency", "RouteAvgDelay",
              "OriginAvgDelay", "DestAvgDelay", "Distance", "TaxiOut", "TaxiIn",
              *[f"{c}_Binary" for c in ["WeatherDelay", "CarrierDelay", "NASDelay", "SecurityDelay",
@@ -324,8 +375,8 @@ def ml_features(spark: SparkSession, sf: str) -> dict:
 
 
 def example_predictions(scored: DataFrame, n: int = 10, seed: int = P.SEED) -> DataFrame:
-    """``n`` rows chosen by a seeded hash of their keys."""
-    cols = [c for c in ["OriginCity", "DestCity", "CRSDepTimeHour", "score", "label", "prediction"] if c in scored.columns]
+    """``n`` rows chosen by a seeded hash of their keys, with hour, weekday, season and actual minutes."""
+    cols = [c for c in ["OriginCity", "DestCity", "CRSDepTimeHour", "DayOfWeek", "Season", D, "score", "label", "prediction"] if c in scored.columns]
     return (scored.orderBy(F.xxhash64(*[F.col(k) for k in KEYS], F.lit(seed)), *KEYS).limit(n)
             .select(*KEYS, *cols))
 

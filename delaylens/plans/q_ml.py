@@ -22,8 +22,7 @@ D = "DepDelayMinutes"
 
 def _op_data(spark, sf):
     """Operational features on the time split, materialized once."""
-    df = M.time_split(MD.model_frame(spark, sf), P.TRAIN_YEARS, P.TEST_YEARS)
-    return MD._prep(df, MD.OPERATIONAL, "op-data", extra=["split"])
+    return M.time_split(MD.operational_data(spark, sf), P.TRAIN_YEARS, P.TEST_YEARS)
 
 
 @q("assemble")
@@ -43,20 +42,31 @@ def time_split(spark, sf):
     return M.time_split(trips(spark, sf), P.TRAIN_YEARS, P.TEST_YEARS).select(*KEYS, "Year", "split")
 
 
-@q("stratified_split")
+#: the row hash of splits and samples in SQL: 48 bits of md5 over seed and keys
+def place_sql(seed: int, keys=KEYS) -> str:
+    text = " || '|' || ".join([f"'{seed}'", *[f"coalesce(CAST({k} AS VARCHAR), 'null')" for k in keys]])
+    return f"CAST('0x' || substr(md5({text}), 1, 12) AS BIGINT)"
+
+
+@q("stratified_split", with_("trips", extra={
+    "p": f"SELECT {K_}, CAST(CASE WHEN {D} > 0 THEN 1 ELSE 0 END AS INTEGER) AS IsDelayed, {place_sql(P.SEED)} AS place FROM trips",
+    "r": "SELECT *, row_number() OVER (PARTITION BY IsDelayed ORDER BY place) AS rn, round(count(*) OVER (PARTITION BY IsDelayed) * 0.8e0) AS goal FROM p",
+    "c": "SELECT IsDelayed, max(place) AS last FROM r WHERE rn <= goal GROUP BY IsDelayed"}) +
+   f"SELECT {K_}, IsDelayed, CASE WHEN place <= last THEN 'train' ELSE 'test' END AS split FROM p JOIN c USING (IsDelayed)")
 def stratified_split(spark, sf):
-    """J3 (rows-only)."""
+    """80 % of each class."""
     from delaylens.operators.features import add_is_delayed
     from delaylens.plans.inputs import trips
     df = add_is_delayed(trips(spark, sf))
-    return M.stratified_split(df, "IsDelayed", 0.8, P.SEED, cols=KEYS + [D]).select(*KEYS, "IsDelayed", "split")
+    return M.stratified_split(df, "IsDelayed", 0.8, P.SEED, cols=KEYS).select(*KEYS, "IsDelayed", "split")
 
 
-@q("random_split")
+@q("random_split", with_("trips") + f"""
+SELECT {K_}, CASE WHEN {place_sql(P.SEED)} / 281474976710656.0e0 < 0.8e0 THEN 'train' ELSE 'test' END AS split FROM trips""")
 def random_split(spark, sf):
-    """J4 (rows-only)."""
+    """J4."""
     from delaylens.plans.inputs import trips
-    return M.random_split(trips(spark, sf), 0.8, P.SEED, cols=KEYS + [D]).select(*KEYS, "split")
+    return M.random_split(trips(spark, sf), 0.8, P.SEED, cols=KEYS).select(*KEYS, "split")
 
 
 _SCALE_FEATS = ["HourOfDay", "DayOfWeek", "Distance", "TaxiOut", "TaxiIn"]
@@ -96,10 +106,11 @@ _FITS: dict = {}
 
 def _fit_score(spark, sf, est, weighted=True):
     key = (app_key(spark), sf, weighted, type(est).__name__,
-           tuple(sorted((p.name, str(v)) for p, v in est.extractParamMap().items() if p.name != "seed")))
-    if key not in _FITS:
-        _FITS[key] = _fit_score_once(spark, sf, est, weighted)
-    return _FITS[key]
+           tuple(sorted((p.name, str(v)) for p, v in est.extractParamMap().items())))
+    state = MD.input_state(spark, sf)
+    if key not in _FITS or _FITS[key][0] != state:
+        _FITS[key] = state, _fit_score_once(spark, sf, est, weighted)
+    return _FITS[key][1]
 
 
 def _fit_score_once(spark, sf, est, weighted):
@@ -110,7 +121,7 @@ def _fit_score_once(spark, sf, est, weighted):
     model = est.fit(train)
     out = model.transform(data.where(F.col("split") == "test")).withColumn("score", M.prob1())
     out = materialize(out.select(*KEYS, "label", "score", F.col("prediction").cast("int").alias("prediction"),
-                                 "OriginCity", "DestCity", "CRSDepTimeHour"), "scored")
+                                 "OriginCity", "DestCity", "CRSDepTimeHour", "DayOfWeek", "Season", D), "scored")
     data.unpersist()
     return model, out
 

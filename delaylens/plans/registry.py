@@ -22,10 +22,4 @@ def q(name: str, sql: str | None = None):
 
 def load_all() -> None:
     # importing registers
-    from delaylens.plans import q_sources, q_rows, q_reports  # noqa: F401
-    for mod in ("q_series", "q_stats", "q_eval", "q_ml", "q_composite"):
-        try:
-            __import__(f"delaylens.plans.{mod}")
-        except ModuleNotFoundError as e:
-            if e.name != f"delaylens.plans.{mod}":
-                raise
+    from delaylens.plans import q_composite, q_eval, q_ml, q_reports, q_rows, q_sources, q_stats  # noqa: F401

@@ -3,6 +3,9 @@ checkpoint folder taken from the cluster configuration."""
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -43,18 +46,13 @@ def app_key(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
-def parallelism(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local tests) is a scratch folder created."""
+    Only when it is unset in a local session (tests) is a scratch folder
+    created; on a cluster each executor would write to a disk of its own, so
+    an unset folder raises there."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001
@@ -64,7 +62,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="delaylens-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is None:
         return d

@@ -35,20 +35,20 @@ def scan_csv_chunked(spark: SparkSession, paths: Sequence[str], schema: T.Struct
     return out
 
 
-def sample_rows(df: DataFrame, per_mille: int, seed: int = 42) -> DataFrame:
-    """A4: deterministic sample of about ``per_mille``/1000 of the rows,
-    by a hash of every column (repeatable under any partitioning,
-    unlike ``limit`` or ``sample`` on many files)."""
-    h = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed)), F.lit(1000))
-    return df.where(h < per_mille)
+def sample_rows(df: DataFrame, per_mille: int, seed: int = 42, cols: Sequence[str] | None = None) -> DataFrame:
+    """A4: deterministic sample of about ``per_mille``/1000 of the rows, by a
+    hash of ``cols`` (default: every column), repeatable under any
+    partitioning, unlike ``limit`` or ``sample`` on many files."""
+    from delaylens.operators.ml import hash_unit
+    return df.where(hash_unit(df, seed, cols) < per_mille / 1000.0)
 
 
-def sample_n(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
+def sample_n(df: DataFrame, n: int, seed: int = 42, cols: Sequence[str] | None = None) -> DataFrame:
     """A4 by size: about ``n`` rows by the same row hash; the fraction is
     n / count(*) from a scalar subquery (all rows when n >= count)."""
+    from delaylens.operators.ml import hash_unit
     total = df.agg(F.count(F.lit(1))).scalar()
-    u = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed)), F.lit(1_000_000)) / 1_000_000.0
-    return df.where(u < F.lit(float(n)) / total)
+    return df.where(hash_unit(df, seed, cols) < F.lit(float(n)) / total)
 
 
 def sink_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> str:
