@@ -14,7 +14,7 @@ import re
 
 import numpy as np
 
-PART = 4 << 20
+PART = 1 << 20
 BASE = np.uint64(0xD6E8FEB86659FD93)
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63,
                 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0xA0761D6478BD642F], np.uint64)
