@@ -29,7 +29,7 @@ def _buckets(df: DataFrame) -> int:
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # noqa: BLE001
         n = 200
-    return max(1, min(n, 1000))
+    return max(1, n)
 
 
 def running_totals(df: DataFrame, order: str | Column, sums: Sequence[str], descending: bool = False,

@@ -1,14 +1,16 @@
 """Filters and predicates (C-family). Plain ``where`` clauses on source
-columns are pushed into the parquet scan by Catalyst."""
+columns are pushed into the parquet scan by Catalyst; sets of years reach it
+as date ranges (``sources.flights.shipped_in``)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaylens.functions import columns as C
+from delaylens.session import materialize
 
 
 def filter_carrier(df: DataFrame, code: str = "WN", col: str = "Marketing_Airline_Network") -> DataFrame:
@@ -34,12 +36,11 @@ def range_filter(df: DataFrame, col: str, lo: float, hi: float) -> DataFrame:
 def high_risk_groups(stats: DataFrame, key: str, a: str = "Avg_Delay", b: str = "Major_Delay_Rate",
                      q: float = 0.8) -> DataFrame:
     """Groups strictly above the ``q`` quantile in both metrics. The
-    input is one row per group, so the quantiles are window aggregates over
-    the whole (group-level) frame: the per-group aggregate is computed once
-    and the single window task holds one row per group."""
-    w = Window.partitionBy()
-    return (stats.withColumns({"__qa": F.percentile(a, q).over(w), "__qb": F.percentile(b, q).over(w)})
-            .where((F.col(a) > F.col("__qa")) & (F.col(b) > F.col("__qb"))).drop("__qa", "__qb"))
+    group statistics are written once; both quantiles come from one aggregate
+    over them and enter the filter as one scalar struct."""
+    stats = materialize(stats, "group-stats")
+    cut = stats.agg(F.struct(F.percentile(a, q).alias("a"), F.percentile(b, q).alias("b"))).scalar()
+    return stats.where((F.col(a) > cut.getField("a")) & (F.col(b) > cut.getField("b")))
 
 
 def outliers_above_quantile(df: DataFrame, col: str, q: float = 0.99) -> DataFrame:

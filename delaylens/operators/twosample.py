@@ -25,23 +25,24 @@ def value_histogram(df: DataFrame, value: str, in_a: Column, in_b: Column) -> Da
 def ks_2samp(df: DataFrame, value: str, in_a: Column, in_b: Column) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov D = max |F_A(v) - F_B(v)| and the
     asymptotic two-sided p (Kolmogorov series with Stephens' correction on
-    the effective size n_a*n_b/(n_a+n_b))."""
+    the effective size n_a*n_b/(n_a+n_b)); both null when a sample is empty."""
     h = value_histogram(df, value, in_a, in_b)
     cum = running_totals(h, "v", ["a", "b"])
     n = h.agg(F.struct(F.sum("a").alias("a"), F.sum("b").alias("b"))).scalar()
     na, nb = n.getField("a"), n.getField("b")
-    d = (cum.agg(F.max(F.abs(F.col("cum_a") / na - F.col("cum_b") / nb)).alias("ks_statistic"))
+    d = (cum.agg(F.max(F.abs(F.try_divide("cum_a", na) - F.try_divide("cum_b", nb))).alias("ks_statistic"))
          .select(na.cast("bigint").alias("n_a"), nb.cast("bigint").alias("n_b"), "ks_statistic"))
     n1, n2 = F.col("n_a").cast("double"), F.col("n_b").cast("double")
-    en = (n1 * n2) / (n1 + n2)
-    lam = (F.sqrt(en) + F.lit(0.12) + F.lit(0.11) / F.sqrt(en)) * F.col("ks_statistic")
-    return d.withColumn("ks_pvalue", kolmogorov_sf(lam))
+    en = F.try_divide(n1 * n2, n1 + n2)
+    lam = (F.sqrt(en) + F.lit(0.12) + F.try_divide(F.lit(0.11), F.sqrt(en))) * F.col("ks_statistic")
+    return d.withColumn("ks_pvalue", F.when(lam.isNotNull(), kolmogorov_sf(lam)))
 
 
 def mann_whitney_u(df: DataFrame, value: str, in_a: Column, in_b: Column, continuity: bool = True) -> DataFrame:
     """U of sample A from mid-ranks of the pooled sample, the tie term
     sum(t^3 - t), and the two-sided normal-approximation p with continuity
-    correction (as for large samples)."""
+    correction (as for large samples); z and p are null when a sample is
+    empty or all values tie."""
     h = value_histogram(df, value, in_a, in_b).withColumn("t", F.col("a") + F.col("b"))
     cum = running_totals(h, "v", ["t"], inclusive=False, prefix="before_")
     agg = cum.agg(
@@ -53,9 +54,9 @@ def mann_whitney_u(df: DataFrame, value: str, in_a: Column, in_b: Column, contin
     u1 = F.col("r_a") - n1 * (n1 + 1) / 2.0
     out = agg.withColumn("u_statistic", u1)
     u = F.greatest(u1, n1 * n2 - u1)
-    s = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.col("tie_term") / (n * (n - 1))))
-    z = (u - n1 * n2 / 2.0 - (0.5 if continuity else 0.0)) / s
-    p = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(2.0) * norm_sf(z)))
+    s = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.try_divide(F.col("tie_term"), n * (n - 1))))
+    z = F.try_divide(u - n1 * n2 / 2.0 - (0.5 if continuity else 0.0), s)
+    p = F.when(z.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(2.0) * norm_sf(z))))
     return out.select(F.col("n_a").cast("bigint").alias("n_a"), F.col("n_b").cast("bigint").alias("n_b"),
                       "u_statistic", "tie_term", z.alias("z"), p.alias("mw_pvalue"))
 

@@ -29,8 +29,9 @@ def preprocess(df: DataFrame, fill_delay_nulls: bool = False, redundancy_pass: s
     df = clean.drop_raw_dateparts(df)
     df = B.parse_date(df)
     df = B.split_city_state(df)
-    df = B.map_carrier(df)
+    # the carrier's name follows from its code: duplicates are found on the narrower row
     df, reports["dedupe"] = R.drop_duplicates_report(df)
+    df = B.map_carrier(df)
     if fill_delay_nulls:
         df = clean.fill_delay_nulls(df)
     df = B.date_parts(df)

@@ -58,7 +58,7 @@ def impact_analysis(spark, sf):
 @q("delay_analysis")
 def delay_analysis(spark, sf):
     """P4 (rows-only): the insights table of the analysis over the cleaned table."""
-    cleaned = _complete(raw_flights(spark, sf))[0]
+    cleaned = write_handover(_complete(raw_flights(spark, sf))[0], scratch_path(spark, "analysis-input"))
     return _delay(spark, cleaned)["insights"]
 
 

@@ -39,7 +39,7 @@ FROM trips WHERE Year IN {P.TRAIN_YEARS + P.TEST_YEARS}""")
 def time_split(spark, sf):
     """J2."""
     from delaylens.plans.inputs import trips
-    return M.time_split(trips(spark, sf), P.TRAIN_YEARS, P.TEST_YEARS).select(*KEYS, "Year", "split")
+    return M.time_split(trips(spark, sf, P.TRAIN_YEARS + P.TEST_YEARS), P.TRAIN_YEARS, P.TEST_YEARS).select(*KEYS, "Year", "split")
 
 
 #: the row hash of splits and samples in SQL: 48 bits of md5 over seed and keys
@@ -80,7 +80,7 @@ def standard_scale(spark, sf):
     """The scaler's mean and std, fitted on the train years."""
     from delaylens.operators.features import add_hour_of_day
     from delaylens.plans.inputs import trips
-    df = M.time_split(add_hour_of_day(trips(spark, sf)), P.TRAIN_YEARS, P.TEST_YEARS)
+    df = M.time_split(add_hour_of_day(trips(spark, sf, P.TRAIN_YEARS + P.TEST_YEARS)), P.TRAIN_YEARS, P.TEST_YEARS)
     a = M.assemble(df, _SCALE_FEATS)
     m, _ = M.standard_scale(a.where(F.col("split") == "train"), a)
     rows = list(zip(_SCALE_FEATS, m.mean.toArray().tolist(), m.std.toArray().tolist()))
@@ -97,7 +97,7 @@ def balanced_weights(spark, sf):
     """J6 on the train years."""
     from delaylens.operators.features import add_is_delayed
     from delaylens.plans.inputs import trips
-    df = add_is_delayed(trips(spark, sf)).where(F.col("Year").isin(*P.TRAIN_YEARS))
+    df = add_is_delayed(trips(spark, sf, P.TRAIN_YEARS)).where(F.col("Year").isin(*P.TRAIN_YEARS))
     return M.balanced_weights(df, "IsDelayed").select(*KEYS, "IsDelayed", "weight")
 
 

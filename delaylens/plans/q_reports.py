@@ -64,12 +64,6 @@ def drop_duplicates(spark, sf):
     return clean.drop_duplicates(trips(spark, sf))
 
 
-@q("dtype_counts")
-def dtype_counts(spark, sf):
-    """D4 (schema metadata; rows-only)."""
-    return G.dtype_counts(spark, trips(spark, sf))
-
-
 _DELAY_NUM = ["DepDelay", "ArrDelay", "DepDelayMinutes", "ArrDelayMinutes", "WeatherDelay",
               "CarrierDelay", "NASDelay", "SecurityDelay", "LateAircraftDelay"]
 

@@ -237,12 +237,6 @@ def period_label(spark, sf):
     return df.select(*KEYS, "Year", "Period", "PeriodShort")
 
 
-@q("find_columns")
-def find_columns(spark, sf):
-    """B24 (schema metadata; rows-only)."""
-    return G.find_columns(spark, trips(spark, sf))
-
-
 @q("select_available")
 def select_available(spark, sf):
     """B25 (rows-only): wanted features that exist plus encoded columns."""
@@ -252,14 +246,6 @@ def select_available(spark, sf):
                               extra=["Route_Prior"])
 
 
-@q("required_columns")
-def required_columns(spark, sf):
-    """B26 (rows-only)."""
-    req = {"Route": "origin → destination", "DepDelayMinutes": "departure delay",
-           "DepDate": "flight date", "CRSDepTimeHour": "scheduled hour", "WheelsOffHour": "wheels-off hour"}
-    return G.required_columns(spark, trips(spark, sf), req)
-
-
 # ---- C-family -------------------------------------------------------------
 
 @q("filter_carrier", with_("flights") + f"SELECT * FROM flights WHERE Marketing_Airline_Network = '{P.CARRIER}'")
@@ -271,14 +257,14 @@ def filter_carrier(spark, sf):
 @q("exclude_years", with_("trips") + f"SELECT * FROM trips WHERE Year IS NULL OR Year NOT IN {P.EXCLUDE_YEARS}")
 def exclude_years(spark, sf):
     """C2."""
-    return CF.exclude_years(trips(spark, sf), P.EXCLUDE_YEARS)
+    return CF.exclude_years(trips(spark, sf, without=P.EXCLUDE_YEARS), P.EXCLUDE_YEARS)
 
 
 @q("period_filter", with_("trips") + f"SELECT {K}, Year, {_period_case()} AS Period FROM trips "
    f"WHERE Year IN {P.PRE_YEARS + P.GAP_YEARS + P.POST_YEARS}")
 def period_filter(spark, sf):
     """One Period column instead of three scans."""
-    df = B.add_period(trips(spark, sf), P.PERIODS)
+    df = B.add_period(trips(spark, sf, P.PRE_YEARS + P.GAP_YEARS + P.POST_YEARS), P.PERIODS)
     return df.where(F.col("Period").isNotNull()).select(*KEYS, "Year", "Period")
 
 

@@ -29,9 +29,34 @@ SERIES_SQL = {
 }
 
 
-def _series(spark, sf):
-    s = R.daily_series(CF.exclude_years(trips(spark, sf), P.EXCLUDE_YEARS))
-    return E.densify_calendar(s)
+def _series(spark, sf, key=None):
+    s = R.daily_series(CF.exclude_years(trips(spark, sf, without=P.EXCLUDE_YEARS), P.EXCLUDE_YEARS), key=key)
+    return E.densify_calendar(s if key is None else s.where(F.col(key).isNotNull()), key=key)
+
+
+#: the same series per origin city
+CITY = "OriginCity"
+CITY_SQL = {k: v.replace("min(d) FROM s0)", "min(d) FROM s0 z WHERE z.OriginCity = c.OriginCity)") for k, v in SERIES_SQL.items()}
+CITY_SQL["s0"] = f"SELECT OriginCity, DepDate AS d, avg({D}) AS y FROM trips WHERE DepDate IS NOT NULL AND OriginCity IS NOT NULL AND (Year IS NULL OR Year NOT IN {P.EXCLUDE_YEARS}) GROUP BY 1, 2"
+CITY_SQL["s"] = """SELECT c.OriginCity, c.d, s0.y, CAST(c.d - c.lo AS INTEGER) AS i FROM
+  (SELECT OriginCity, lo, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d
+   FROM (SELECT OriginCity, min(d) AS lo, max(d) AS hi FROM s0 GROUP BY 1)) c LEFT JOIN s0 ON c.d = s0.d AND c.OriginCity = s0.OriginCity"""
+for _k in ("nb", "interp"):
+    CITY_SQL[_k] = SERIES_SQL[_k].replace("OVER (ORDER BY", "OVER (PARTITION BY OriginCity ORDER BY").replace("SELECT d,", "SELECT OriginCity, d,")
+
+
+@q("interpolate_linear_by_city", with_("trips", extra=CITY_SQL) + """
+SELECT OriginCity, d, y, i, y_filled, (y IS NULL AND y_filled IS NOT NULL) AS is_filled FROM interp""")
+def interpolate_linear_by_city(spark, sf):
+    """F1 per origin city: one window partition per series."""
+    return S.interpolate_linear(_series(spark, sf, CITY), key=CITY)
+
+
+@q("forward_fill_by_city", with_("trips", extra=CITY_SQL) + """
+SELECT OriginCity, d, y, last_value(y IGNORE NULLS) OVER (PARTITION BY OriginCity ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS y_filled FROM s""")
+def forward_fill_by_city(spark, sf):
+    """F2 per origin city."""
+    return S.forward_fill(_series(spark, sf, CITY), key=CITY)
 
 
 @q("interpolate_linear", with_("trips", extra=SERIES_SQL) + """
@@ -59,19 +84,22 @@ def gap_check(spark, sf):
     return S.gap_check(_series(spark, sf), GAP_START, GAP_END)
 
 
+def _city_stl(spark, sf):
+    filled = S.fill_gaps(_series(spark, sf, CITY), GAP_START, GAP_END, key=CITY)
+    return S.stl_decompose(filled, key=CITY)
+
+
 @q("stl_decompose")
 def stl_decompose(spark, sf):
-    """F4 (rows-only): weekly STL (period 7, seasonal smoother 365, robust)
-    of the interpolated daily series."""
-    filled = S.fill_gaps(_series(spark, sf), GAP_START, GAP_END)
-    return S.stl_decompose(filled)
+    """F4 (rows-only): weekly STL (period 7, seasonal smoother 365, robust) of
+    the gap-filled daily series of every origin city; a group is one series."""
+    return _city_stl(spark, sf)
 
 
 @q("component_stats")
 def component_stats(spark, sf):
-    """D25 (rows-only)."""
-    filled = S.fill_gaps(_series(spark, sf), GAP_START, GAP_END)
-    return S.component_stats(S.stl_decompose(filled))
+    """D25 (rows-only), per origin city."""
+    return S.component_stats(_city_stl(spark, sf), key=CITY)
 
 
 @q("trend_slope", with_("trips", extra=SERIES_SQL) + """

@@ -18,6 +18,10 @@ integer nation keys; place names are attached after the shuffles.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import datetime
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +37,7 @@ CAUSE_COLUMNS = ["WeatherDelay", "CarrierDelay", "NASDelay", "SecurityDelay",
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    return (nation.join(region, nation.n_regionkey == region.r_regionkey)
             .select("n_nationkey", F.concat("n_name", F.lit(", "), "r_name").alias("place")))
 
 
@@ -41,7 +45,29 @@ def _nonneg(c: Column) -> Column:
     return F.when(c.isNull(), F.lit(None).cast("double")).when(c < 0, F.lit(0.0)).otherwise(c)
 
 
-def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+def shipped_in(years: Sequence[int] = (), without: Sequence[int] = ()) -> Column | None:
+    """A condition on ``l_shipdate`` for a set of years as ranges of time, which
+    reach the file statistics; ``without`` leaves years out and keeps nulls."""
+    def spans(ys):
+        ys, out = sorted(set(ys)), []
+        for y in ys:
+            if out and out[-1][1] == y:
+                out[-1][1] = y + 1
+            else:
+                out.append([y, y + 1])
+        return [(F.lit(datetime(a, 1, 1)), F.lit(datetime(b, 1, 1))) for a, b in out]
+
+    at = F.col("l_shipdate")
+    cond = None
+    if years:
+        cond = reduce(lambda p, q: p | q, [(at >= a) & (at < b) for a, b in spans(years)])
+    for a, b in spans(without):
+        outside = at.isNull() | (at < a) | (at >= b)
+        cond = outside if cond is None else cond & outside
+    return cond
+
+
+def flights(spark: SparkSession, sf_dir: str, shipped: Column | None = None) -> DataFrame:
     places = _places(spark, sf_dir)
     supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -51,12 +77,14 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_shipdate")
+    if shipped is not None:
+        li = li.where(shipped)
     # the big shuffles carry 4-byte nation keys; the place names are
-    # attached last from the 25-row broadcast table
+    # attached last from the 25-row table
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
          .join(supp, li.l_suppkey == supp.s_suppkey))
-    origin = F.broadcast(places.select(F.col("n_nationkey").alias("__on"), F.col("place").alias("OriginCityName")))
-    dest = F.broadcast(places.select(F.col("n_nationkey").alias("__dn"), F.col("place").alias("DestCityName")))
+    origin = places.select(F.col("n_nationkey").alias("__on"), F.col("place").alias("OriginCityName"))
+    dest = places.select(F.col("n_nationkey").alias("__dn"), F.col("place").alias("DestCityName"))
     j = (j.join(origin, F.col("s_nationkey") == F.col("__on"))
          .join(dest, F.col("c_nationkey") == F.col("__dn")))
 
