@@ -242,13 +242,13 @@ def select_classifier(candidates: dict[str, Estimator], train: DataFrame, label:
     Raises when a part holds no rows of one class."""
     from delaylens.operators.evaluate import average_precision
     sp = stratified_split(train, label, frac, seed, cols=cols)
+    kinds = {r["split"]: r["n"] for r in sp.groupBy("split").agg(F.count_distinct(label).alias("n")).collect()}
+    if min(kinds.get("train", 0), kinds.get("test", 0)) < 2:
+        raise ValueError(f"selection needs rows of both classes to fit and to validate on; classes per part: {kinds}")
     fit_part, val = sp.where(F.col("split") == "train").drop("split"), sp.where(F.col("split") == "test").drop("split")
 
     def one(name: str, est: Estimator):
         s = materialize(est.copy().fit(fit_part).transform(val).select(label, prob1().alias("score")), "selection-scored")
-        kinds = s.agg(F.count_distinct(label)).first()[0]
-        if kinds < 2:
-            raise ValueError(f"the validation part of {name} holds {kinds} of 2 classes")
         return name, float(average_precision(s, label=label).first()[0])
 
     rows = side_by_side([lambda n=n, e=e: one(n, e) for n, e in candidates.items()])
