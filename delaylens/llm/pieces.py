@@ -40,9 +40,13 @@ def cut(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         spot = (ends - counts)[whole]
         index[spot] = 2 * n + np.arange(len(spot))
         keep[spot] = True
-    used, index = np.unique(index[keep], return_inverse=True)
-    words = codes.dictionary.take(pa.array(used[used < 2 * n] // 2)).to_pylist()
-    pieces = [w if k % 2 else " " + w for w, k in zip(words, used[used < 2 * n])]
+    index = index[keep]
+    seen = np.zeros(2 * n + int(whole.sum()), bool)
+    seen[index] = True
+    used = np.flatnonzero(seen[:2 * n])
+    index = (np.cumsum(seen) - 1)[index]
+    words = codes.dictionary.take(pa.array(used // 2)).to_pylist()
+    pieces = [w if first else " " + w for w, first in zip(words, (used % 2).tolist())]
     if whole.any():
         pieces += texts.filter(pa.array(whole)).to_pylist()
     return pieces, index, np.cumsum(np.where(whole, 1, counts))

@@ -13,7 +13,7 @@ documents form one array in ascending id order. The array lies in shards
 
 An Elias-Fano code of n rising numbers below u keeps the low ``l = log2(u / n)``
 bits of each in a packed array and the high parts as unary gaps in a bit
-vector: n * (2 + l) bits in all, against 64 n for a table. ``select(i)`` finds
+vector: at most n * (3 + l) bits in all, against 64 n for a table. ``select(i)`` finds
 the i-th one of the bit vector through a sampled directory (one entry in
 ``SAMPLE`` ones), so a document's offset is read without decoding the others.
 
@@ -29,6 +29,7 @@ empty table gives no files and no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import struct
 import uuid
 import zlib
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import Memo, byte_slices
+from delaylens.llm.common import byte_slices
 from delaylens.llm.files import create, open_input
 from delaylens.llm.pieces import cut, gather
 from delaylens.llm.token_count import load_tokenizer
@@ -48,7 +49,9 @@ from delaylens.session import materialize, scratch_path
 MAGIC = b"DLTI1\0\0\0"
 HEAD = struct.Struct("<7Q")
 SAMPLE = 256
-KEPT_PIECES = 300_000
+KEPT_PIECES = 600_000
+SLICE_BYTES = 8 << 20
+RUN_PIECES = 512
 READ_IDS = 1 << 20
 
 
@@ -115,28 +118,68 @@ class EliasFano:
 
 
 class PieceIds:
-    """Ids of texts from ids of their pieces, as the tokenizers library gives them."""
+    """Ids of texts from ids of their pieces, as the tokenizers library gives
+    them. Pieces met before are codes into one flat pool of ids; a pool of
+    more than KEPT_PIECES pieces is begun anew."""
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = load_tokenizer(path), Memo(KEPT_PIECES)
+        self.tokenizer = load_tokenizer(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        # byte-level tokens are written with one character per byte
+        vocabulary = self.tokenizer.get_vocab()
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.n_bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self._begin()
+
+    def _begin(self) -> None:
+        self.code, self.ids, self.ends = {}, np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, the order in which the pieces have them, and their number per piece in that order. Pieces that begin with a
+        space and a letter or digit are matched the same when they stand side by
+        side, so runs of them are encoded as one text; as every id stands for
+        whole bytes, the bytes tell where a piece ends."""
+        alone = np.array([len(p) < 2 or p[0] != " " or not p[1].isalnum() or "<|" in p for p in pieces], bool)
+        together = [p for p, a in zip(pieces, alone.tolist()) if not a]
+        runs = [together[k:k + RUN_PIECES] for k in range(0, len(together), RUN_PIECES)]
+        got = iter(self.tokenizer.encode_batch_fast(["".join(r) for r in runs], add_special_tokens=False))
+        single = iter(self.tokenizer.encode_batch_fast([p for p, a in zip(pieces, alone.tolist()) if a], add_special_tokens=False))
+        sizes, flat = [], []
+        for r in runs:
+            ids = next(got).ids
+            stop = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum([len(p.encode()) for p in r])) + 1
+            sizes.append(np.diff(stop, prepend=0))
+            flat.append(ids)
+        size = np.zeros(len(pieces), np.int64)
+        size[~alone] = np.concatenate(sizes) if sizes else 0
+        rest = [next(single).ids for _ in range(int(alone.sum()))]
+        size[alone] = [len(x) for x in rest]
+        ids = np.fromiter(itertools.chain(*flat, *rest), np.uint32, int(size.sum()))
+        order = np.concatenate([np.flatnonzero(~alone), np.flatnonzero(alone)])
+        return ids, order, size[order]
+
+    def _codes(self, pieces: list[str]) -> np.ndarray:
+        found = np.array([self.code.get(p, -1) for p in pieces], np.int64)
+        at = np.flatnonzero(found < 0)
+        ids, order, sizes = self._encode([pieces[k] for k in at.tolist()])
+        at = at[order]
+        found[at] = np.arange(len(self.ends), len(self.ends) + len(at))
+        self.code.update(zip([pieces[k] for k in at.tolist()], found[at].tolist()))
+        first = int(self.ends[-1]) if len(self.ends) else 0
+        self.ids = np.concatenate([self.ids, ids])
+        self.ends = np.concatenate([self.ends, first + np.cumsum(sizes)])
+        return found
 
     def texts(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids with the end ids, and the number of ids of each text."""
         pieces, index, stops = cut(texts)
-        entries = [self.known.get(p) for p in pieces]
-        new = [p for p, e in zip(pieces, entries) if e is None]
-        got = iter(self.tokenizer.encode_batch_fast(new, add_special_tokens=False))
-        for k, p in enumerate(pieces):
-            if entries[k] is None:
-                entries[k] = np.array(next(got).ids, np.uint32)
-                if len(p) < 64:
-                    self.known.put(p, entries[k])
-        end = np.full(1, end_id, np.uint32)
-        pool = np.concatenate([*entries, end])
-        ends = np.cumsum([*map(len, entries), 1])
-        index = np.insert(index, stops, len(entries))      # the end id after each text
+        index = self._codes(pieces)[index] if pieces else index
+        pool = np.append(self.ids, np.uint32(end_id))
+        ends = np.append(self.ends, len(pool))
+        index = np.insert(index, stops, len(ends) - 1)      # the end id after each text
         ids, at = gather(pool, ends, index)
+        if len(self.code) > KEPT_PIECES:
+            self._begin()
         closing = at[stops + np.arange(len(stops))]
         return ids, np.diff(closing, prepend=0)
 
@@ -157,7 +200,7 @@ def _write_shard(folder: str, path: str, end_id: int, batches: Iterator[pa.Recor
     sizes, docs, nulls, n_ids, out = [], [], 0, 0, None
     width = max(own.width, 2 if end_id < 1 << 16 else 4)
     for batch in batches:
-        for part in byte_slices(batch, 1):
+        for part in byte_slices(batch, 1, SLICE_BYTES):
             if out is None:
                 out = create(name)
                 out.write(MAGIC)

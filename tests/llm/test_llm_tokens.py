@@ -72,7 +72,7 @@ def test_elias_fano(values):
     for a, b in [(0, len(values)), (len(values) // 3, len(values) // 2), (len(values), len(values))]:
         assert code.slice(a, b).tolist() == values[a:b]
     if len(values) > 1000:
-        assert len(code.low) + len(code.high) <= len(values) * (2 + code.low_bits) / 8 + 16
+        assert len(code.low) + len(code.high) <= len(values) * (3 + code.low_bits) / 8 + 16
 
 
 @pytest.mark.parametrize("shards", [1, 5])
