@@ -14,7 +14,7 @@ non-overlapping occurrences of the least-ranked pair at once wherever that is
 the same as one after the other: a merge is "early" if it forms a token that
 some merge of lower rank uses, and early merges still go one by one.
 
-Per task memory is bounded: slices of about 4 MB of text, words in runs of
+Per task memory is bounded: slices of about 8 MB of text, words in runs of
 ``RUN_BYTES`` bytes and ``STEPS`` contractions per query (unfinished words go
 on in the next query), and ``KEPT_PIECES`` pieces remembered per worker.
 
@@ -39,13 +39,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import Memo, byte_slices
-from delaylens.llm.pieces import cut
+from delaylens.llm.common import byte_slices
+from delaylens.llm.pieces import Pool, cut
 
-RUN_BYTES = 200_000
+RUN_BYTES = 600_000
 LONG = 256
 STEPS = 64
-KEPT_PIECES = 400_000
+KEPT_PIECES = 600_000
+SLICE_BYTES = 8 << 20
 
 #: one contraction per word and step: rows (w, p, t, n) hold a token t at place p of word w and the next token n
 SHORT_WORDS = """
@@ -82,14 +83,11 @@ WITH RECURSIVE step AS (
 SELECT it, w, p, t FROM step JOIN (SELECT w, max(it) AS it FROM step GROUP BY w) USING (w, it)
 """
 
-#: ids of each word, as decimal text and bytes in hexadecimal, in order of place
-COLLECT = """
-SELECT w, string_agg(t, ',' ORDER BY p), string_agg(hex, '' ORDER BY p), count(*)
-FROM tokens JOIN ranks ON t = rank GROUP BY w
-"""
+#: the words' tokens and their bytes in order of place
+COLLECT = "SELECT w, t, bytes FROM tokens JOIN ranks ON t = rank ORDER BY w, p"
 
 DECODE = """
-SELECT d, string_agg(hex, '' ORDER BY p), count(*), count(hex)
+SELECT d, string_agg(hex(bytes), '' ORDER BY p), count(*), count(bytes)
 FROM ids LEFT JOIN ranks ON t = rank GROUP BY d
 """
 
@@ -113,14 +111,23 @@ class Bpe:
         merges = [(ranks[t[:i]], ranks[t[i:]], m) for t, m in ranks.items() for i in range(1, len(t))
                   if t[:i] in ranks and t[i:] in ranks]
         early = {x for left, right, m in merges for x in (left, right) if x > m}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": tempfile.gettempdir()})
-        self.db.register("given", pa.table({"rank": pa.array(ranks.values(), pa.int32()), "hex": [t.hex() for t in ranks]}))
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": tempfile.gettempdir()})
+        self.db.register("given", pa.table({"rank": pa.array(ranks.values(), pa.int32()), "bytes": pa.array(list(ranks), pa.binary())}))
         self.db.execute("CREATE TABLE ranks AS FROM given")
         left, right, made = (pa.array(c, pa.int32()) for c in zip(*merges)) if merges else (pa.array([], pa.int32()),) * 3
         self.db.register("given", pa.table({"l": left, "r": right, "m": made, "early": pa.array([m in early for *_, m in merges], pa.bool_())}))
         self.db.execute("CREATE TABLE merges AS FROM given")
         self.db.unregister("given")
-        self.known = Memo(KEPT_PIECES)
+        # decimals with a comma behind, by rank
+        decimals = [b"%d," % r for r in range(max(ranks.values()) + 1)]
+        self.decimals = Pool(np.uint8)
+        self.decimals.add(np.frombuffer(b"".join(decimals), np.uint8), np.cumsum([*map(len, decimals)]))
+        self._begin()
+
+    def _begin(self) -> None:
+        """Forget the pieces met so far."""
+        self.code: dict[str, int] = {}
+        self.ids, self.bytes = Pool(np.int32), Pool(np.uint8)
 
     def _merge(self, words: list[bytes], query: str) -> None:
         """Leave the words' final tokens in table ``tokens`` (w, p, t)."""
@@ -145,38 +152,60 @@ class Bpe:
             rows = got.filter(going).select(["w", "p", "t"]).cast(rows.schema)
         self.db.register("tokens", pa.concat_tables([done[0].cast(rows.schema), *done[1:]]))
 
-    def words(self, words: list[str]) -> dict[str, tuple[str, bytes, int]]:
-        """Ids as decimals joined by commas, decoded bytes and number of ids per word."""
-        out, coded = {}, [w.encode("utf-8") for w in words]
+    def words(self, words: list[str]) -> tuple[Pool, Pool]:
+        """Ids and decoded bytes of each word."""
+        coded = [w.encode("utf-8") for w in words]
+        where, ids, contents = [], Pool(np.int32), Pool(np.uint8)
         for long in (False, True):
-            some = [(w, b) for w, b in zip(words, coded) if (len(b) > LONG) == long]
-            ends = np.cumsum([len(b) for _, b in some]) // RUN_BYTES if some else []
-            for _, run in itertools.groupby(zip(ends, some), key=lambda x: x[0]):
-                run = [x for _, x in run]
-                self._merge([b for _, b in run], LONG_WORDS if long else SHORT_WORDS)
-                for w, ids, hexed, n in self.db.execute(COLLECT).fetchall():
-                    out[run[w][0]] = ids, bytes.fromhex(hexed), n
-        return out
-
-    def texts(self, texts: pa.Array) -> Iterator[tuple[list[str], bytes, int]]:
-        """Per text: its pieces' ids as decimals, its decoded bytes, its number of ids."""
+            some = [k for k, b in enumerate(coded) if (len(b) > LONG) == long]
+            runs = np.cumsum([len(coded[k]) for k in some]) // RUN_BYTES if some else []
+            for _, run in itertools.groupby(zip(runs, some), key=lambda x: x[0]):
+                run = [k for _, k in run]
+                self._merge([coded[k] for k in run], LONG_WORDS if long else SHORT_WORDS)
+                got = self.db.sql(COLLECT).to_arrow_table().combine_chunks()
+                n_ids = np.bincount(got["w"].to_numpy(), minlength=len(run))
+                ends = np.cumsum(n_ids)
+                size = pc.binary_length(got["bytes"]).to_numpy()
+                content = np.frombuffer(pc.binary_join(pa.LargeListArray.from_arrays(
+                    pa.array([0, len(got)], pa.int64()), got["bytes"].combine_chunks().cast(pa.large_binary())),
+                    pa.scalar(b"", pa.large_binary()))[0].as_buffer(), np.uint8)
+                ids.add(got["t"].to_numpy().astype(np.int32), ends)
+                contents.add(content, np.concatenate([[0], np.cumsum(size)])[ends])
+                where += run
+        order = np.empty(len(words), np.int64)
+        order[where] = np.arange(len(words))
+        for pool in (ids, contents):
+            data, ends = pool.take(order)
+            pool.data, pool.ends = data, ends
+        return ids, contents
+
+    def _codes(self, pieces: list[str]) -> np.ndarray:
+        found = np.array([self.code.get(p, -1) for p in pieces], np.int64)
+        at = np.flatnonzero(found < 0)
+        new = [pieces[k] for k in at.tolist()]
+        matches = [self.words_of(p) for p in new]
+        number: dict[str, int] = {}
+        flat = np.array([number.setdefault(w, len(number)) for ws in matches for w in ws], np.int64)
+        last = np.cumsum([*map(len, matches)]) if matches else np.zeros(0, np.int64)
+        for pool, words in zip((self.ids, self.bytes), self.words(list(number)) if number else (Pool(np.int32), Pool(np.uint8))):
+            data, stop = words.take(flat)
+            pool.add(data, np.concatenate([[0], stop])[last])
+        found[at] = np.arange(len(self.ids.ends) - len(new), len(self.ids.ends))
+        self.code.update(zip(new, found[at].tolist()))
+        return found
+
+    def texts(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, bytes, bytes]]:
+        """Per text: its ids, the ids as decimals joined by commas, the bytes the ids stand for."""
         pieces, index, stops = cut(texts)
-        entries = [self.known.get(p) for p in pieces]
-        new = {p: self.words_of(p) for p, e in zip(pieces, entries) if e is None}
-        found = self.words(list({w for ws in new.values() for w in ws}))
-        for k, p in enumerate(pieces):
-            if entries[k] is None:
-                ws = [found[w] for w in new[p]]
-                entries[k] = ",".join([w[0] for w in ws]), b"".join([w[1] for w in ws]), sum([w[2] for w in ws])
-                if len(p) < 64:
-                    self.known.put(p, entries[k])
-        ids, decoded, counts = (list(x) for x in zip(*entries)) if entries else ([], [], [])
-        index = index.tolist()
-        start = 0
-        for stop in stops.tolist():
-            own = index[start:stop]
-            start = stop
-            yield [ids[k] for k in own if counts[k]], b"".join([decoded[k] for k in own]), sum([counts[k] for k in own])
+        index = self._codes(pieces)[index] if pieces else index
+        (ids, id_stop), (content, byte_stop) = self.ids.take(index), self.bytes.take(index)
+        if len(self.code) > KEPT_PIECES:
+            self._begin()
+        id_ends, byte_ends = (np.concatenate([[0], x])[stops] for x in (id_stop, byte_stop))
+        a = c = 0
+        for b, d in zip(id_ends.tolist(), byte_ends.tolist()):
+            yield ids[a:b], self.decimals.take(ids[a:b])[0].tobytes()[:-1], content[c:d].tobytes()
+            a, c = b, d
 
 
 _LOADED: dict = {}
@@ -199,8 +228,8 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in byte_slices(batch, 1):
-                ids = [[int(i) for p in own for i in p.split(",")] for own, _, _ in bpe(path, pattern).texts(part.column(1))]
+            for part in byte_slices(batch, 1, SLICE_BYTES):
+                ids = [own for own, _, _ in bpe(path, pattern).texts(part.column(1))]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>")
@@ -235,9 +264,9 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in byte_slices(batch, 1):
-                got = [(n, hashlib.sha256(",".join(ids).encode()).hexdigest(), hashlib.sha256(content).hexdigest())
-                       for ids, content, n in bpe(path, pattern).texts(part.column(1))]
+            for part in byte_slices(batch, 1, SLICE_BYTES):
+                got = [(len(ids), hashlib.sha256(text).hexdigest(), hashlib.sha256(content).hexdigest())
+                       for ids, text, content in bpe(path, pattern).texts(part.column(1))]
                 n, ids, content = zip(*got)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(content)],
                                                  ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

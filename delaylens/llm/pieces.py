@@ -52,12 +52,31 @@ def cut(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return pieces, index, np.cumsum(np.where(whole, 1, counts))
 
 
-def gather(pool: np.ndarray, ends: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def gather(pool: np.ndarray, ends: np.ndarray, index: np.ndarray, run: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
     """Concatenate variable-length entries: entry k is ``pool[ends[k-1]:ends[k]]``.
-    Also returns the running end of each occurrence."""
-    starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+    Also returns the running end of each occurrence. Works in runs of
+    occurrences, so the work arrays stay small beside the result."""
+    starts = np.concatenate([np.zeros(1, np.int64), ends[:-1]]) if len(ends) else ends
     size = (ends - starts)[index]
     stop = np.cumsum(size)
-    total = int(stop[-1]) if len(stop) else 0
-    at = np.arange(total) + np.repeat(starts[index] - (stop - size), size)
-    return pool[at], stop
+    out = np.empty(int(stop[-1]) if len(stop) else 0, pool.dtype)
+    for a in range(0, len(index), run):
+        n, upto = size[a:a + run], stop[a:a + run]
+        begin = int(upto[0] - n[0])
+        shift = starts[index[a:a + run]] - (upto - n)
+        out[begin:int(upto[-1])] = pool[np.arange(begin, int(upto[-1])) + np.repeat(shift, n)]
+    return out, stop
+
+
+class Pool:
+    """Variable-length entries by code, in one growing array."""
+
+    def __init__(self, dtype):
+        self.data, self.ends = np.zeros(0, dtype), np.zeros(0, np.int64)
+
+    def add(self, data: np.ndarray, ends: np.ndarray) -> None:
+        self.ends = np.concatenate([self.ends, ends + len(self.data)])
+        self.data = np.concatenate([self.data, data])
+
+    def take(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return gather(self.data, self.ends, index)
