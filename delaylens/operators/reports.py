@@ -92,11 +92,12 @@ def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None, q: float =
                               F.stddev_samp(c).alias("Std"),
                               F.percentile(c, q).alias("Q")).alias(f"__s{i}")
                      for i, c in enumerate(cols)])
-    # outliers: a second pass over the rows against the quantiles, which
-    # enter as scalar subqueries (computed once, no join)
-    out = df.agg(*[F.count_if(F.col(c) > stats.select(f"__s{i}.Q").scalar()).alias(f"__o{i}")
-                   for i, c in enumerate(cols)])
-    rows = F.array(*[F.struct(F.col(f"__s{i}.*"), out.select(f"__o{i}").scalar().alias("Outliers_Q99"))
+    # outliers: a second pass over the rows against the quantiles; each pass is
+    # one aggregate whose values enter the next as one scalar struct
+    cut = stats.select(F.struct(*[F.col(f"__s{i}.Q").alias(f"q{i}") for i in range(len(cols))])).scalar()
+    out = df.agg(F.struct(*[F.count_if(F.col(c) > cut.getField(f"q{i}")).alias(f"o{i}")
+                            for i, c in enumerate(cols)])).scalar()
+    rows = F.array(*[F.struct(F.col(f"__s{i}.*"), out.getField(f"o{i}").alias("Outliers_Q99"))
                      for i in range(len(cols))])
     return stats.select(F.explode(rows).alias("r")).select("r.*").drop("Q")
 
@@ -152,8 +153,10 @@ def value_counts_many(df: DataFrame, cols: Sequence[str], top: dict[str, int] |
               .groupBy("Column", "Value").agg(F.count(F.lit(1)).alias("count")))
     if not top:
         return counts
-    w = Window.partitionBy("Column").orderBy(F.desc("count"), F.asc("Value"))
     limit = F.try_element_at(C.lit_map(dict(top)), F.col("Column"))
+    # only listed columns are ranked; the values of the others are spread over many small windows
+    spread = F.when(limit.isNull(), F.pmod(F.xxhash64("Value"), F.lit(1024))).otherwise(F.lit(-1))
+    w = Window.partitionBy("Column", spread).orderBy(F.desc("count"), F.asc("Value"))
     ranked = counts.withColumn("__r", F.row_number().over(w))
     return ranked.where(limit.isNull() | (F.col("__r") <= limit)).drop("__r")
 

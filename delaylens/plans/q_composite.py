@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from delaylens.operators import reports as R
 from delaylens.plans import modeling as MD
 from delaylens.plans.analysis import delay_analysis as _delay, impact_analysis as _impact
 from delaylens.plans.oracle_base import CARRIER_CASE, season_case, severity_case, with_
@@ -9,7 +12,8 @@ from delaylens.plans import params as P
 from delaylens.plans.inputs import trips
 from delaylens.plans.preprocess import preprocess_complete as _complete, preprocess_staged as _staged, write_handover
 from delaylens.session import scratch_path
-from delaylens.plans.registry import q
+from delaylens.plans.q_reports import _top_sql, group_sql
+from delaylens.plans.registry import ORACLES, q
 from delaylens.plans.q_stats import ADVICE_SQL
 from delaylens.sources.flights import raw_flights
 
@@ -105,3 +109,61 @@ def model_testing(spark, sf):
 def run_mode(spark, sf):
     """P11 (rows-only): dispatch by name ('consumer')."""
     return MD.run_mode(spark, sf, "consumer")["run_summary"]
+
+
+# ---- tables of P8 and P10 that need no model, over the cleaned table --------
+
+_CLEANED = with_("raw", extra={
+    "b": f"SELECT * EXCLUDE (DepDelay, ArrDelay, {HOUR_DIS}, Year, Month, DayofMonth, FlightDate, OriginCityName, DestCityName), {SPLIT} FROM raw",
+    "d": "SELECT DISTINCT * FROM b",
+    "g": f"SELECT *, {DERIVE} FROM d",
+    "trips": f"SELECT * FROM g {KEEP}"}).rstrip()
+_TEST = f"Year IN {P.TEST_YEARS}"
+
+
+def _over_cleaned(sql: str, base: str) -> str:
+    """The report's SQL with the cleaned table in place of its own input."""
+    body = sql.removeprefix(with_(base)) if sql.startswith(with_(base)) else sql.split(with_(base).rstrip(), 1)[1]
+    return _CLEANED + ("\n" if not body.startswith(",") else "") + body.replace("FROM flights", "FROM trips")
+
+
+def _hours(where: str = "", src: str = "trips") -> str:
+    return group_sql("CRSDepTimeHour", src, where=where)
+
+
+@q("operational_causes", _over_cleaned(ORACLES["cause_report"], "flights"))
+def operational_causes(spark, sf):
+    """The cause report over all cleaned rows."""
+    return MD.operational_tables(MD.cleaned_table(spark, sf))["cause_report"]
+
+
+@q("operational_taxi_distance", _over_cleaned(ORACLES["operational_means"], "flights"))
+def operational_taxi_distance(spark, sf):
+    """Taxi, distance and delay means over all cleaned rows."""
+    return MD.operational_tables(MD.cleaned_table(spark, sf))["operational_means"]
+
+
+@q("operational_worst_hours", _CLEANED + f", h AS ({_hours()})\n" + _top_sql("h", "Avg_Delay", 3, "CRSDepTimeHour"))
+def operational_worst_hours(spark, sf):
+    """The three worst hours over all cleaned rows."""
+    return MD.operational_tables(MD.cleaned_table(spark, sf))["worst_hours"]
+
+
+@q("operational_problem_routes", _CLEANED + f""", p AS (SELECT Route, CAST(count(DepDelayMinutes) AS BIGINT) AS Flight_Count, avg(DepDelayMinutes) AS Avg_Delay
+FROM trips WHERE Route IS NOT NULL GROUP BY Route HAVING count(DepDelayMinutes) >= {P.MIN_ROUTE_FLIGHTS})
+""" + _top_sql("p", "Avg_Delay", 5, "Route"))
+def operational_problem_routes(spark, sf):
+    """The five worst routes over all cleaned rows."""
+    return MD.operational_tables(MD.cleaned_table(spark, sf))["problem_routes"]
+
+
+@q("operational_top_routes", _over_cleaned(ORACLES["top_routes"], "trips"))
+def operational_top_routes(spark, sf):
+    """The top routes over all cleaned rows."""
+    return MD.operational_tables(MD.cleaned_table(spark, sf))["top_routes"]
+
+
+@q("testing_hourly", _CLEANED + "\n" + _hours(f"AND {_TEST}"))
+def testing_hourly(spark, sf):
+    """P10: hourly delays of the test years."""
+    return R.hourly_delays(MD.cleaned_table(spark, sf).where(F.col("Year").isin(*P.TEST_YEARS)))
