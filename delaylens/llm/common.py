@@ -70,6 +70,25 @@ def byte_slices(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Ite
         yield batch.slice(int(a), int(b - a))
 
 
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Groups of rows with equal values in the first ``keys`` columns, from sorted batches."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = list(zip(*(batch.column(k).to_pylist() for k in range(keys))))
+        cuts = [i for i in range(1, len(values)) if values[i] != values[i - 1]]
+        for a, b in zip([0, *cuts], [*cuts, len(values)]):
+            if held and values[a] != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = values[a]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 class Memo:
     """What was worked out before, ``limit`` entries at most: when the younger
     half is full it replaces the older one, and what is asked for again stays."""

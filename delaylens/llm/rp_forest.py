@@ -42,9 +42,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import small_side
+from delaylens.llm.common import small_side, sorted_groups
 from delaylens.llm.components import connected_components, local_roots
-from delaylens.llm.ngram_join import _sorted_groups
 from delaylens.session import materialize
 
 MIN_COS = 0.98
@@ -140,7 +139,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (leaf, cell, x, y, cls, tree, block, weight, leaves, v) of one pair of
     blocks: links per class, counted in the first leaf two classes share, and the
     smallest partner."""
-    for group in _sorted_groups(batches, 2):
+    for group in sorted_groups(batches, 2):
         cls, first = np.unique(group["cls"].to_numpy(), return_index=True)
         pick = pa.array(first)
         x, y, block = group["x"][0].as_py(), group["y"][0].as_py(), group["block"].to_numpy()[first]
