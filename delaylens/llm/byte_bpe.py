@@ -14,7 +14,7 @@ non-overlapping occurrences of the least-ranked pair at once wherever that is
 the same as one after the other: a merge is "early" if it forms a token that
 some merge of lower rank uses, and early merges still go one by one.
 
-Per task memory is bounded: slices of about 8 MB of text, words in runs of
+Per task memory is bounded: slices of about 2 MB of text, words in runs of
 ``RUN_BYTES`` bytes and ``STEPS`` contractions per query (unfinished words go
 on in the next query), and ``KEPT_PIECES`` pieces remembered per worker.
 
@@ -39,14 +39,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import byte_slices
+from delaylens.llm.common import byte_slices, small_batches
 from delaylens.llm.pieces import Pool, cut
+from delaylens.session import materialize
 
-RUN_BYTES = 600_000
+RUN_BYTES = 200_000
 LONG = 256
 STEPS = 64
-KEPT_PIECES = 600_000
-SLICE_BYTES = 8 << 20
+KEPT_PIECES = 250_000
+SLICE_BYTES = 2 << 20
 
 #: one contraction per word and step: rows (w, p, t, n) hold a token t at place p of word w and the next token n
 SHORT_WORDS = """
@@ -111,7 +112,7 @@ class Bpe:
         merges = [(ranks[t[:i]], ranks[t[i:]], m) for t, m in ranks.items() for i in range(1, len(t))
                   if t[:i] in ranks and t[i:] in ranks]
         early = {x for left, right, m in merges for x in (left, right) if x > m}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": tempfile.gettempdir()})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "150MB", "temp_directory": tempfile.gettempdir()})
         self.db.register("given", pa.table({"rank": pa.array(ranks.values(), pa.int32()), "bytes": pa.array(list(ranks), pa.binary())}))
         self.db.execute("CREATE TABLE ranks AS FROM given")
         left, right, made = (pa.array(c, pa.int32()) for c in zip(*merges)) if merges else (pa.array([], pa.int32()),) * 3
@@ -271,4 +272,6 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(content)],
                                                  ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    with small_batches(docs.sparkSession):
+        return materialize(rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"),
+                           "bpe-digests")
