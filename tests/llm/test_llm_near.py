@@ -97,6 +97,20 @@ def test_one_group_holds_most_rows(spark):
     check(spark, rows)
 
 
+def test_star_of_copies_over_slices(spark, monkeypatch):
+    """Copies in two slices that only their base links, which lies in one of them where each of its tokens is hot."""
+    monkeypatch.setattr(ngram_join, "FREQUENT", 0)
+    base = [f"w{k}" for k in range(400)]
+    cuts = lambda at: [" ".join(base[:at + k] + base[at + k + 90:]) for k in range(60)]
+    near = list(enumerate([*cuts(0), " ".join(base), *cuts(130)]))
+    far = [(1000 + i, t) for i, t in enumerate(cuts(250))]
+    want = brute(near + far)
+    assert {c for *_, c in want} == {0} and {c for *_, c in brute(near[:60] + near[61:] + far)} == {0, 61, 1000}
+    monkeypatch.setattr(ngram_join, "SLICE_BYTES", sum(len(t) for _, t in near) + 1)
+    docs = frame(spark, near + far).coalesce(1)
+    assert sorted(map(tuple, ngram_join.ngram_components(docs).collect())) == sorted(want)
+
+
 def test_ngram_empty_and_wordless(spark):
     assert ngram_join.ngram_components(frame(spark, [])).count() == 0
     check(spark, [(1, None), (2, ""), (3, " ")])
