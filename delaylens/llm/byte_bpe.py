@@ -5,9 +5,10 @@ token form a row (left, right, merged) of the merge table. The words of a
 slice of texts (matches of the pattern; each distinct word once) become
 token-position rows, one per byte. A recursive query joins neighbouring rows
 with the merge table, contracts each word's leftmost pair of least rank and
-repeats until no word has a pair left. Ordered aggregation then gives each
-word's ids and, through the vocabulary's bytes, its decoded bytes; a text is
-the concatenation of its words.
+repeats until no word has a pair left; rows in order of place are each word's
+ids. Decoding takes ids alone: an ordered aggregation over the vocabulary's
+bytes, in a slice of texts once per distinct piece. A text is the
+concatenation of its pieces.
 
 Long words (over ``LONG`` bytes) take a second query that contracts all
 non-overlapping occurrences of the least-ranked pair at once wherever that is
@@ -84,8 +85,8 @@ WITH RECURSIVE step AS (
 SELECT it, w, p, t FROM step JOIN (SELECT w, max(it) AS it FROM step GROUP BY w) USING (w, it)
 """
 
-#: the words' tokens and their bytes in order of place
-COLLECT = "SELECT w, t, bytes FROM tokens JOIN ranks ON t = rank ORDER BY w, p"
+#: the words' tokens in order of place
+COLLECT = "SELECT w, t FROM tokens ORDER BY w, p"
 
 DECODE = """
 SELECT d, string_agg(hex(bytes), '' ORDER BY p), count(*), count(bytes)
@@ -128,7 +129,7 @@ class Bpe:
     def _begin(self) -> None:
         """Forget the pieces met so far."""
         self.code: dict[str, int] = {}
-        self.ids, self.bytes = Pool(np.int32), Pool(np.uint8)
+        self.ids = Pool(np.int32)
 
     def _merge(self, words: list[bytes], query: str) -> None:
         """Leave the words' final tokens in table ``tokens`` (w, p, t)."""
@@ -153,32 +154,33 @@ class Bpe:
             rows = got.filter(going).select(["w", "p", "t"]).cast(rows.schema)
         self.db.register("tokens", pa.concat_tables([done[0].cast(rows.schema), *done[1:]]))
 
-    def words(self, words: list[str]) -> tuple[Pool, Pool]:
-        """Ids and decoded bytes of each word."""
+    def words(self, words: list[str]) -> Pool:
+        """Ids of each word."""
         coded = [w.encode("utf-8") for w in words]
-        where, ids, contents = [], Pool(np.int32), Pool(np.uint8)
+        where, ids = [], Pool(np.int32)
         for long in (False, True):
             some = [k for k, b in enumerate(coded) if (len(b) > LONG) == long]
             runs = np.cumsum([len(coded[k]) for k in some]) // RUN_BYTES if some else []
             for _, run in itertools.groupby(zip(runs, some), key=lambda x: x[0]):
                 run = [k for _, k in run]
                 self._merge([coded[k] for k in run], LONG_WORDS if long else SHORT_WORDS)
-                got = self.db.sql(COLLECT).to_arrow_table().combine_chunks()
-                n_ids = np.bincount(got["w"].to_numpy(), minlength=len(run))
-                ends = np.cumsum(n_ids)
-                size = pc.binary_length(got["bytes"]).to_numpy()
-                content = np.frombuffer(pc.binary_join(pa.LargeListArray.from_arrays(
-                    pa.array([0, len(got)], pa.int64()), got["bytes"].combine_chunks().cast(pa.large_binary())),
-                    pa.scalar(b"", pa.large_binary()))[0].as_buffer(), np.uint8)
-                ids.add(got["t"].to_numpy().astype(np.int32), ends)
-                contents.add(content, np.concatenate([[0], np.cumsum(size)])[ends])
+                got = self.db.sql(COLLECT).to_arrow_table()
+                ids.add(got["t"].to_numpy().astype(np.int32), np.cumsum(np.bincount(got["w"].to_numpy(), minlength=len(run))))
                 where += run
         order = np.empty(len(words), np.int64)
         order[where] = np.arange(len(words))
-        for pool in (ids, contents):
-            data, ends = pool.take(order)
-            pool.data, pool.ends = data, ends
-        return ids, contents
+        ids.data, ids.ends = ids.take(order)
+        return ids
+
+    def decoded(self, ids: pa.Array | np.ndarray, sizes: np.ndarray) -> list[bytes]:
+        """The bytes that runs of ``sizes`` ids stand for."""
+        self.db.register("ids", pa.table({"d": np.repeat(np.arange(len(sizes)), sizes), "p": np.arange(len(ids)), "t": ids}))
+        content = [b""] * len(sizes)
+        for d, hexed, n_ids, n_known in self.db.execute(DECODE).fetchall():
+            if n_ids != n_known:
+                raise ValueError("an id is not in the vocabulary")
+            content[d] = bytes.fromhex(hexed)
+        return content
 
     def _codes(self, pieces: list[str]) -> np.ndarray:
         found = np.array([self.code.get(p, -1) for p in pieces], np.int64)
@@ -188,18 +190,22 @@ class Bpe:
         number: dict[str, int] = {}
         flat = np.array([number.setdefault(w, len(number)) for ws in matches for w in ws], np.int64)
         last = np.cumsum([*map(len, matches)]) if matches else np.zeros(0, np.int64)
-        for pool, words in zip((self.ids, self.bytes), self.words(list(number)) if number else (Pool(np.int32), Pool(np.uint8))):
-            data, stop = words.take(flat)
-            pool.add(data, np.concatenate([[0], stop])[last])
+        data, stop = (self.words(list(number)) if number else Pool(np.int32)).take(flat)
+        self.ids.add(data, np.concatenate([[0], stop])[last])
         found[at] = np.arange(len(self.ids.ends) - len(new), len(self.ids.ends))
         self.code.update(zip(new, found[at].tolist()))
         return found
 
     def texts(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, bytes, bytes]]:
-        """Per text: its ids, the ids as decimals joined by commas, the bytes the ids stand for."""
+        """Per text: its ids, the ids as decimals joined by commas, the bytes the ids
+        decode to. Every distinct piece's ids are decoded anew in each slice."""
         pieces, index, stops = cut(texts)
-        index = self._codes(pieces)[index] if pieces else index
-        (ids, id_stop), (content, byte_stop) = self.ids.take(index), self.bytes.take(index)
+        own, forms = Pool(np.int32), Pool(np.uint8)
+        if pieces:
+            own.add(*self.ids.take(self._codes(pieces)))
+            found = self.decoded(own.data, np.diff(own.ends, prepend=0))
+            forms.add(np.frombuffer(b"".join(found), np.uint8), np.cumsum([*map(len, found)]))
+        (ids, id_stop), (content, byte_stop) = own.take(index), forms.take(index)
         if len(self.code) > KEPT_PIECES:
             self._begin()
         id_ends, byte_ends = (np.concatenate([[0], x])[stops] for x in (id_stop, byte_stop))
@@ -245,14 +251,8 @@ def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
         for batch in batches:
             for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
                 sizes = pc.list_value_length(part.column(1)).to_numpy().astype(np.int64)
-                flat, n = part.column(1).flatten(), int(sizes.sum())
-                own = bpe(path, pattern)
-                own.db.register("ids", pa.table({"d": np.repeat(np.arange(len(sizes)), sizes), "p": np.arange(n), "t": flat}))
-                content = [b""] * len(sizes)
-                for d, hexed, n_ids, n_known in own.db.execute(DECODE).fetchall():
-                    if n_ids != n_known:
-                        raise ValueError("an id is not in the vocabulary")
-                    content[d] = bytes.fromhex(hexed)
+                flat = part.column(1).flatten()
+                content = bpe(path, pattern).decoded(flat, sizes)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(content, pa.binary())], ["doc_id", "content"])
 
     return rows.mapInArrow(run, f"doc_id {kind}, content binary")

@@ -130,6 +130,17 @@ def test_bpe_encode_decode(spark):
     assert byte_bpe.round_trip(docs(spark, []), path, P.PATTERN).count() == 0
 
 
+def test_bpe_bytes_come_from_the_ids():
+    """Faulty ids show in the decoded bytes."""
+    own = byte_bpe.Bpe(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    texts = pa.array(["some words, then others"])
+    assert [content for *_, content in own.texts(texts)] == [b"some words, then others"]
+    own.ids.data = own.ids.data[::-1].copy()
+    [(ids, _, content)] = own.texts(texts)
+    form = {rank: token for token, rank in own.ranks.items()}
+    assert content == b"".join(form[i] for i in ids.tolist()) != b"some words, then others"
+
+
 def test_bpe_unknown_id_raises(spark):
     bad = spark.createDataFrame([(1, [0, 10 ** 6])], "doc_id long, ids array<int>")
     with pytest.raises(Exception, match="vocabulary"):
