@@ -6,8 +6,9 @@ look across an ASCII blank: a text is split there, which is a safe boundary,
 the distinct words of a slice are encoded as one batch by the library, and a
 text's count is the sum over its words. Any other vocabulary (``.model``) gets
 whole texts. Slices hold about ``SLICE_BYTES`` of text however long the single
-texts are, and a text longer than a slice is cut at blanks too, so work arrays
-and batches are balanced by bytes, not rows.
+texts are, and in word vocabularies a text longer than a slice is cut at blanks
+too and its parts' counts are added, so work arrays and batches are balanced by
+bytes, not rows. Whole texts (``.model``) cost memory with the longest text.
 
 Counts of words seen before are kept per Python worker, ``KEPT_WORDS`` at
 most. Nulls: a null text counts as empty (0 bytes, 0 tokens). Rows that repeat
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaylens.llm.common import Memo, byte_slices
+from delaylens.llm.shingles import _parts
 
 SLICE_BYTES = 4 << 20
 KEPT_WORDS = 400_000
@@ -65,6 +67,14 @@ class WordCounter:
         return np.fromiter((found[w] if n is None else n for w, n in zip(words, counts)), np.int64, len(words))
 
     def texts(self, texts: pa.Array) -> np.ndarray:
+        long = pc.binary_length(texts).to_numpy() > SLICE_BYTES
+        out = np.zeros(len(texts), np.int64)
+        out[~long] = self._short(texts.filter(pa.array(~long)))
+        for k in np.flatnonzero(long).tolist():
+            out[k] = sum(int(self._short(pa.array([part.decode("utf-8")]))[0]) for part in _parts(texts[k].as_py().encode("utf-8")))
+        return out
+
+    def _short(self, texts: pa.Array) -> np.ndarray:
         parts = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
         codes = pc.dictionary_encode(parts.flatten())
         per_word = self.words(codes.dictionary.to_pylist())

@@ -48,6 +48,20 @@ def test_long_text_is_cut_into_slices():
     assert not list(common.byte_slices(batch.slice(0, 0), 0))
 
 
+def test_count_of_a_long_text_goes_in_parts(monkeypatch):
+    import delaylens.llm.shingles as S
+    path = P.path("word_bpe_49k.json")
+    own, given = token_count.WordCounter(path), []
+    words = own.words
+    monkeypatch.setattr(own, "words", lambda w: given.append(len(w)) or words(w))
+    monkeypatch.setattr(token_count, "SLICE_BYTES", 10_000)
+    monkeypatch.setattr(S, "PART", 5000)
+    texts = ["short one", " ".join(map(str, range(10_000))), "", "é\t\u3000x " * 3000, "z" * 12_000]
+    encode = Tokenizer.from_file(path).encode
+    assert own.texts(pa.array(texts)).tolist() == [len(encode(t, add_special_tokens=False).ids) for t in texts]
+    assert max(given) < 2500 and own.texts(pa.array([], pa.string())).tolist() == []
+
+
 def test_pieces_join_to_the_texts():
     texts = [t or "" for t in TEXTS]
     found, index, stops = pieces.cut(pa.array(texts))
