@@ -10,9 +10,9 @@ urls, and how many of them it rests on).
 The trees are fitted on labelled urls, ``SAMPLE`` of each label at most (the
 first by a hash): a bounded, documented sample. ``judge`` takes any labelled
 table; without one the urls that rules decide serve as labels. Features, rules
-and scoring are built-in expressions and Spark ML; suffix statistics reach the
-rows as a literal map of at most ``SUFFIXES`` entries, unknown suffixes get the
-overall rate.
+and scoring are built-in expressions and Spark ML; the statistics of all suffixes
+are a written table that is joined on (broadcast if a count shows it small),
+unknown suffixes get the overall rate.
 
 Nulls and ties: a null url, or one without ``://``, has empty host and path, no
 rule, and is judged by its features like any other (the null url as the empty
@@ -30,8 +30,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from delaylens.llm.common import small_side
+from delaylens.session import materialize
+
 SAMPLE = 4000
-SUFFIXES = 1000
 SMOOTHING = 20.0
 TREES, DEPTH = 12, 3
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -75,13 +77,10 @@ def lexical(urls: DataFrame, url: str = "url") -> DataFrame:
         "suffix": F.substring_index("host", ".", -1)})
 
 
-def _with_suffix(rows: DataFrame, known: dict[str, tuple[float, float]], rate: float) -> DataFrame:
-    pair = [F.lit(x) for k, v in known.items() for x in (k, v)]
-    if not pair:
-        return rows.withColumns({"suffix_rate": F.lit(rate), "suffix_known": F.lit(0.0)})
-    entry = lambda i: F.try_element_at(F.create_map(
-        *[x for k, v in known.items() for x in (F.lit(k), F.lit(float(v[i])))]), F.col("suffix"))
-    return rows.withColumns({"suffix_rate": F.coalesce(entry(0), F.lit(rate)), "suffix_known": F.coalesce(entry(1), F.lit(0.0))})
+def _with_suffix(rows: DataFrame, known: DataFrame, rate: float) -> DataFrame:
+    k = small_side(known)
+    return (rows.join(k, F.col("suffix") == F.col("known_suffix"), "left").drop("known_suffix")
+            .withColumns({"suffix_rate": F.coalesce("suffix_rate", F.lit(rate)), "suffix_known": F.coalesce("suffix_known", F.lit(0.0))}))
 
 
 class UrlModel:
@@ -106,11 +105,11 @@ def fit(labelled: DataFrame, seed: int = 7) -> UrlModel:
     rows = rows.withColumns({"host": host, "path": path})
     counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
-        return UrlModel({}, 0.0, None, "block" if 1.0 in counts else "allow")
+        return UrlModel(None, 0.0, None, "block" if 1.0 in counts else "allow")
     rate = counts[1.0] / (counts[0.0] + counts[1.0])
-    stats = (rows.groupBy(F.substring_index("host", ".", -1).alias("suffix"))
-             .agg(F.sum("label").alias("bad"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "suffix").limit(SUFFIXES).collect())
-    known = {r["suffix"]: ((r["bad"] + SMOOTHING * rate) / (r["n"] + SMOOTHING), float(min(r["n"], SAMPLE))) for r in stats}
+    known = materialize(rows.groupBy(F.substring_index("host", ".", -1).alias("known_suffix"))
+                        .agg(((F.sum("label") + SMOOTHING * rate) / (F.count(F.lit(1)) + SMOOTHING)).alias("suffix_rate"),
+                             F.count(F.lit(1)).cast("double").alias("suffix_known")), "url-suffixes")
     place = F.xxhash64("url")
     picked = [rows.where(F.col("label") == k).orderBy(place, "url").limit(SAMPLE) for k in (0.0, 1.0)]
     few = _with_suffix(lexical(picked[0].unionByName(picked[1])), known, rate)

@@ -136,6 +136,16 @@ def test_trees_learn_lexical_signs(spark):
     assert right >= 0.95 * 200
 
 
+def test_all_suffixes_are_known(spark):
+    """Only the last label tells the urls apart, and there are more than 1,000 of them."""
+    url = lambda i, k: f"http://h{i}.t{k:04d}/p"
+    of = lambda k: hash_of(k) % 2
+    hash_of = lambda k: int(hashlib.md5(str(k).encode()).hexdigest(), 16)
+    labelled = spark.createDataFrame([(url(i, k), of(k)) for k in range(1200) for i in range(3)], "url string, label int")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge(urls(spark, [url(7, k) for k in range(1200)]), [], labelled).collect()}
+    assert got == {k: "block" if of(k) else "allow" for k in range(1200)}
+
+
 def test_no_or_one_label(spark):
     assert {r["verdict"] for r in url_filter.judge(urls(spark), []).collect()} == {"allow"}
     assert {r["verdict"] for r in url_filter.judge(urls(spark), [("block", "net/fr/")]).collect()} == {"block"}
