@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from delaylens.llm import byte_bpe, exact_dedup, mixing, ngram_join, quality, rp_forest, token_count, token_ids, url_filter, warc
+from delaylens.llm import byte_bpe, conversation_repair, exact_dedup, mixing, ngram_join, quality, rp_forest, token_count, token_ids, url_filter, warc
 from delaylens.sources.tables import table_path
 
 QUERIES: dict[str, Callable] = {}
@@ -98,3 +98,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compression score of every whole document, learnt from the rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
     return quality.quality(docs, quality.fit(docs, table(spark, sf_dir, "labels")), threshold=0.7)
+
+
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by the query's rule, repaired by the cheapest edits."""
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair_report(rows, conversation_repair.damage(rows))
