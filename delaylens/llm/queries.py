@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from delaylens.llm import byte_bpe, conversation_repair, exact_dedup, mixing, ngram_join, quality, rp_forest, token_count, token_ids, url_filter, warc
+from delaylens.llm import byte_bpe, collocations, conversation_repair, exact_dedup, mixing, ngram_join, quality, rp_forest, token_count, token_ids, url_filter, warc
 from delaylens.sources.tables import table_path
 
 QUERIES: dict[str, Callable] = {}
@@ -105,3 +105,9 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, damaged by the query's rule, repaired by the cheapest edits."""
     rows = table(spark, sf_dir, "conversations")
     return conversation_repair.repair_report(rows, conversation_repair.damage(rows))
+
+
+@query("op13_collocations", collocations.ORACLE)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 best phrases of two or three words in all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"), support=10, longest=3, inside_pct=50, top=2000)
