@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from delaylens.llm import byte_bpe, collocations, conversation_repair, exact_dedup, mixing, ngram_join, quality, rp_forest, token_count, token_ids, url_filter, warc
+from delaylens.llm import byte_bpe, collocations, conversation_repair, exact_dedup, mixing, ngram_join, quality, rp_forest, token_count, token_ids, topk_search, url_filter, warc
 from delaylens.sources.tables import table_path
 
 QUERIES: dict[str, Callable] = {}
@@ -107,6 +107,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_report(rows, conversation_repair.damage(rows))
 
 
+@query("op12_topk_search", topk_search.ORACLE)
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 largest integer inner products of every vector whose id is divisible by 50, over all vectors."""
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), k=5, query_modulo=50, scale=256)
+
+
 @query("op13_collocations", collocations.ORACLE)
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each language's 2,000 best phrases of two or three words in all documents."""
