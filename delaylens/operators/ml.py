@@ -8,10 +8,8 @@ statistics across executors); only model parameters reach the driver."""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -22,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaylens.functions.guards import numeric_columns
+from delaylens.operators.forest import EarlyStopped, Forest, side_by_side
+from delaylens.operators.isotonic import isotonic_blocks
 from delaylens.session import materialize
 
 #: memory for split statistics per pass of tree induction: fewer passes over the rows per level
@@ -154,22 +154,23 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
 
 def rf_classifier(num_trees: int = 200, max_depth: int = 10, seed: int = 42, label: str = "label",
                   weight: str | None = None, min_instances: int = 1, max_bins: int = 32):
-    """J7 (min_samples_split=20 is approximated by minInstancesPerNode=10)."""
+    """J7 (min_samples_split=20 is approximated by minInstancesPerNode=10); grown in groves."""
     p = dict(featuresCol="features", labelCol=label, numTrees=num_trees, maxDepth=max_depth, seed=seed,
              minInstancesPerNode=min_instances, maxBins=max_bins, maxMemoryInMB=TREE_MEMORY_MB)
     if weight:
         p["weightCol"] = weight
-    return RandomForestClassifier(**p)
+    return Forest(RandomForestClassifier(**p))
 
 
 def gbt_classifier(max_iter: int = 300, max_depth: int = 6, step: float = 0.07, seed: int = 42,
-                   label: str = "label", weight: str | None = None, subsample: float = 0.8):
-    """Gradient-boosted trees in place of the external boosting engines."""
+                   label: str = "label", weight: str | None = None, subsample: float = 0.8, early: bool = True):
+    """Gradient-boosted trees in place of the external boosting engines; at most
+    ``max_iter`` rounds, fewer once a held-out tenth gains nothing more (``early``)."""
     p = dict(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth, stepSize=step,
              subsamplingRate=subsample, seed=seed)
     if weight:
         p["weightCol"] = weight
-    return GBTClassifier(**p)
+    return EarlyStopped(GBTClassifier(**p), seed=seed) if early else GBTClassifier(**p)
 
 
 def prob1(col: str = "probability") -> Column:
@@ -199,32 +200,55 @@ class CalibratedModel:
         return [b for b, _ in self.parts]
 
 
-def fold_column(df: DataFrame, k: int, seed: int, out: str = "__fold") -> DataFrame:
-    return df.withColumn(out, F.pmod(F.xxhash64(*[F.col(c) for c, t in df.dtypes if not t.startswith("vector")],
-                                                F.lit(seed)), F.lit(k)).cast("int"))
-
-
-def side_by_side(jobs: Sequence, at_once: int = 4) -> list:
-    """Run independent fits in threads of the driver: tree induction is many
-    short jobs, and fits that overlap keep the executors busy."""
-    with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(jobs)))) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(j)) for j in jobs]]
+def stratified_folds(df: DataFrame, label: str, k: int = 3, seed: int = 42, out: str = "__fold",
+                     cols: Sequence[str] | None = None, buckets: int = 4096) -> DataFrame:
+    """Deal every class's rows to ``k`` folds of equal size (within one row): by a
+    seeded hash, cut at each k-th of the class. The cuts are found as in
+    ``stratified_split``, from counts of hash ranges and then of the hashes in the
+    ranges that hold a cut; they reach the rows as one small map by class. Rows with
+    equal hashes (equal ``cols``) go together; null is a class of its own."""
+    width = (1 << HASH_BITS) // buckets
+    rows = df.withColumns({"__place": hash_place(df, seed, cols), "__class": F.coalesce(F.col(label).cast("string"), F.lit("null"))})
+    ranged = rows.select("__place", "__class", F.floor(F.col("__place") / width).alias("__range"))
+    before = Window.partitionBy("__class").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("__class")
+    counts = ranged.groupBy("__class", "__range").agg(F.count(F.lit(1)).alias("__n"))
+    cut = (counts.withColumns({"__before": F.coalesce(F.sum("__n").over(before), F.lit(0)), "__all": F.sum("__n").over(whole)})
+           .withColumn("__cut", F.explode(F.sequence(F.lit(1), F.lit(k - 1))))
+           .withColumn("__goal", F.round(F.col("__all") * F.col("__cut") / k))
+           .where((F.col("__before") < F.col("__goal")) & (F.col("__goal") <= F.col("__before") + F.col("__n")))
+           .select("__class", "__range", "__cut", (F.col("__goal") - F.col("__before")).alias("__need")))
+    inside = (ranged.join(cut, ["__class", "__range"]).groupBy("__class", "__cut", "__place", "__need").agg(F.count(F.lit(1)).alias("__n")))
+    upto = Window.partitionBy("__class", "__cut").orderBy("__place").rowsBetween(Window.unboundedPreceding, -1)
+    lasts = (inside.withColumn("__before", F.coalesce(F.sum("__n").over(upto), F.lit(0)))
+             .where(F.col("__before") < F.col("__need")).groupBy("__class", "__cut").agg(F.max("__place").alias("__last"))
+             .groupBy("__class").agg(F.collect_list("__last").alias("__lasts")))
+    cuts = lasts.agg(F.map_from_entries(F.collect_list(F.struct("__class", "__lasts")))).scalar()     # k - 1 numbers a class
+    return (rows.withColumn("__cuts", cuts)
+            .withColumn("__own", F.coalesce(F.try_element_at("__cuts", F.col("__class")), F.array().cast("array<bigint>")))
+            # a cut without rows before it lies below every place
+            .withColumn(out, (F.lit(k - 1) - F.size(F.filter("__own", lambda x: x >= F.col("__place")))).cast("int"))
+            .drop("__place", "__class", "__cuts", "__own"))
 
 
 def fit_isotonic(scored: DataFrame, score: str, label: str) -> Model:
-    """Isotonic map of a score on the mean label, from one row per distinct
-    score with its count as weight: the driver pools scores, not rows."""
+    """Isotonic map of a score on the mean label. Rows are combined by score, scores
+    pooled range by range (``operators.isotonic``); the model is built from the ends
+    of the blocks that are left, between which it interpolates."""
     means = scored.groupBy(score).agg(F.avg(F.col(label).cast("double")).alias("__mean"),
                                       F.count(F.lit(1)).cast("double").alias("__rows"))
+    blocks = isotonic_blocks(means, score, "__mean", "__rows")
+    ends = blocks.select(F.explode(F.array_distinct(F.array("lo", "hi"))).alias(score), (F.col("total") / F.col("weight")).alias("__mean"),
+                         F.lit(1.0).alias("__rows"))
     return IsotonicRegression(featuresCol=score, labelCol="__mean", weightCol="__rows", predictionCol="__iso",
-                              isotonic=True).fit(means)
+                              isotonic=True).fit(ends)
 
 
 def fit_calibrated(estimator: Estimator, train: DataFrame, label: str = "label", folds: int = 3,
-                   seed: int = 42) -> CalibratedModel:
-    """Per fold, fit the estimator on the other folds and an isotonic
+                   seed: int = 42, cols: Sequence[str] | None = None) -> CalibratedModel:
+    """Per stratified fold, fit the estimator on the other folds and an isotonic
     map of its class-1 probability on the held-out fold; folds side by side."""
-    t = fold_column(train, folds, seed)
+    t = materialize(stratified_folds(train, label, folds, seed, cols=cols), "folds")
 
     def one(i: int):
         base = estimator.copy().fit(t.where(F.col("__fold") != i))
@@ -261,8 +285,8 @@ def select_classifier(candidates: dict[str, Estimator], train: DataFrame, label:
 
 def rf_regressor(num_trees: int = 200, max_depth: int = 15, seed: int = 42, label: str = "y",
                  min_instances: int = 1, features: str = "features"):
-    return RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=num_trees, maxDepth=max_depth,
-                                 seed=seed, minInstancesPerNode=min_instances, maxMemoryInMB=TREE_MEMORY_MB)
+    return Forest(RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=num_trees, maxDepth=max_depth,
+                                        seed=seed, minInstancesPerNode=min_instances, maxMemoryInMB=TREE_MEMORY_MB))
 
 
 def gbt_regressor(max_iter: int = 200, max_depth: int = 8, step: float = 0.1, seed: int = 42,
