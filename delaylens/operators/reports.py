@@ -13,6 +13,7 @@ nulls as "no" (T1)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -153,22 +154,22 @@ def value_counts_many(df: DataFrame, cols: Sequence[str], top: dict[str, int] |
               .groupBy("Column", "Value").agg(F.count(F.lit(1)).alias("count")))
     if not top:
         return counts
-    limit = F.try_element_at(C.lit_map(dict(top)), F.col("Column"))
-    # only listed columns are ranked; the values of the others are spread over many small windows
-    spread = F.when(limit.isNull(), F.pmod(F.xxhash64("Value"), F.lit(1024))).otherwise(F.lit(-1))
-    w = Window.partitionBy("Column", spread).orderBy(F.desc("count"), F.asc("Value"))
-    ranked = counts.withColumn("__r", F.row_number().over(w))
-    return ranked.where(limit.isNull() | (F.col("__r") <= limit)).drop("__r")
+    # listed columns of one limit are ranked together against that literal, so each task passes on its first n alone
+    first = Window.partitionBy("Column").orderBy(F.desc("count"), F.asc("Value"))
+    parts = [counts.where(F.col("Column").isin([c for c in top if top[c] == n])).withColumn("__r", F.row_number().over(first))
+             .where(F.col("__r") <= n).drop("__r") for n in sorted(set(top.values()))]
+    rest = counts.where(~F.col("Column").isin(list(top)))
+    return reduce(DataFrame.unionByName, parts, rest)
 
 
 def cardinality(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Distinct (non-null) values per column, as (column, n_distinct).
-    Each column is its own distinct aggregate; Spark rewrites several
-    distinct aggregates into one Expand + two-level aggregation."""
-    agg = df.agg(*[F.count_distinct(c).alias(f"__d{i}") for i, c in enumerate(cols)])
-    return agg.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"__d{i}").alias("n_distinct"))
-        for i, c in enumerate(cols)])).alias("s")).select("s.*")
+    (column, value) pairs are stacked once and combined on the map side."""
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols]))
+                      .alias("s")).select("s.*")
+    found = pairs.distinct().groupBy("column").agg(F.count("value").alias("n"))
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("column"))
+    return names.join(found, "column", "left").select("column", F.coalesce("n", F.lit(0).cast("long")).alias("n_distinct"))
 
 
 def year_counts_before_after(df: DataFrame, exclude_years: Sequence[int], year: str = "Year") -> DataFrame:
@@ -253,19 +254,36 @@ def period_contrast(df: DataFrame, gap_years: Sequence[int], normal_years: Seque
 
 def route_stats(df: DataFrame, key: str = "Route", delay: str = "DepDelayMinutes",
                 date: str = "DepDate", min_flights: int = 100) -> DataFrame:
-    """D16 (+E5, C4): a single aggregate per route: count, mean, median,
-    std, max, distinct days, delay frequency, major rate, on-time rate;
-    routes with fewer than ``min_flights`` non-null delays are dropped.
-    Distinct days are the size of the route's set of dates (bounded by the
-    calendar), which keeps the whole report one aggregation keyed by route
-    instead of a (route, day) expansion for ``count(distinct)``."""
-    d = F.col(delay)
-    return (df.where(F.col(key).isNotNull()).groupBy(key)
-            .agg(*_delay_aggs(delay, with_std=True, with_max=True),
-                 F.size(F.collect_set(date)).cast("bigint").alias("Days_Operated"),
-                 C.pct(d > 0).alias("Delay_Frequency"),
-                 C.pct(d > 60).alias("Major_Delay_Rate"),
-                 C.pct(d == 0).alias("On_Time_Rate"))
+    """D16 (+E5, C4): count, mean, median, std, max, distinct days, delay
+    frequency, major rate, on-time rate; routes with fewer than ``min_flights``
+    non-null delays are dropped. One hash aggregate makes a histogram of minutes
+    and, by ``bit_or``, 64-day words of the days operated per route; all figures,
+    the exact median included, come from that small table. No buffer holds a
+    route's values or days."""
+    day = F.unix_date(F.col(date))
+    # two entries a row: its minutes, and its day as a bit in a word of 64 days
+    entries = F.array(F.struct(F.lit(0).alias("kind"), F.col(delay).cast("double").alias("minutes"), F.lit(None).cast("int").alias("word"),
+                               F.lit(0).cast("long").alias("bit")),
+                      F.struct(F.lit(1).alias("kind"), F.lit(None).cast("double").alias("minutes"), F.floor(day / 64).cast("int").alias("word"),
+                               F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(day, F.lit(64)).cast("int")).alias("bit")))
+    table = (df.where(F.col(key).isNotNull()).select(key, F.explode(entries).alias("e")).select(key, "e.*")
+             .groupBy(key, "kind", "minutes", "word").agg(F.count(F.lit(1)).alias("n"), F.bit_or("bit").alias("days")))
+    # at most one row per route and distinct minute from here on
+    m, n = F.col("minutes"), F.col("n")
+    here = (F.col("kind") == 0) & m.isNotNull()
+    flights, some = F.sum(F.when(here, n).otherwise(0)), Window.partitionBy(key)
+    upto = some.orderBy("kind", F.col("minutes").asc_nulls_first(), "word").rowsBetween(Window.unboundedPreceding, 0)
+    table = table.withColumns({"upto": flights.over(upto), "all": flights.over(some)})
+    at = lambda k: F.min(F.when(here & (F.col("upto") > k), m))
+    low, high = F.floor((F.col("all") - 1) / 2), F.floor(F.col("all") / 2)
+    share = lambda cond: F.sum(F.when(cond & here, n).otherwise(0)) / F.sum(F.when(F.col("kind") == 0, n)) * 100.0
+    total, squares = F.sum(F.when(here, m * n)), F.sum(F.when(here, m * m * n))
+    count = flights
+    return (table.groupBy(key)
+            .agg(count.alias("Flight_Count"), (total / count).alias("Avg_Delay"), ((at(low) + at(high)) / 2).alias("Median_Delay"),
+                 F.when(count > 1, F.sqrt(F.greatest(squares - total * total / count, F.lit(0.0)) / (count - 1))).alias("Delay_Std"),
+                 F.max(F.when(here, m)).alias("Max_Delay"), F.sum(F.bit_count("days")).cast("bigint").alias("Days_Operated"),
+                 share(m > 0).alias("Delay_Frequency"), share(m > 60).alias("Major_Delay_Rate"), share(m == 0).alias("On_Time_Rate"))
             .where(F.col("Flight_Count") >= min_flights))
 
 

@@ -138,7 +138,7 @@ def consumer_run(spark: SparkSession, sf: str, boosted: bool = False) -> dict:
     if boosted:
         cands["GBT"] = M.gbt_classifier(300, 6, 0.1)
     best, est, metrics = M.select_classifier(cands, train_w, "label", seed=P.SEED, cols=KEYS)
-    cal = M.fit_calibrated(est, train_w, "label", 3, P.SEED)
+    cal = M.fit_calibrated(est, train_w, "label", 3, P.SEED, cols=KEYS)
     scored = _write_scored(cal.transform(test))
     data.unpersist()
     thr = K.threshold_for_recall(scored, 0.80).first()["threshold"]
@@ -229,9 +229,18 @@ def realistic_run(spark: SparkSession, sf: str, fit_rows: int | None = None, boo
         return materialize(model.transform(test).select(*KEYS, "DelayBucket", F.col("prediction").cast("int").alias("bucket_pred")),
                            "bucket-pred")
 
-    (best, est, metrics), bucket_pred = M.side_by_side(
-        [lambda: M.select_classifier(cands, train, "label", seed=inner_seed, cols=KEYS), bucket_fit])
-    cal = M.fit_calibrated(est, fit_part, "label", 3, P.SEED)
+    def select():
+        return M.select_classifier(cands, train, "label", seed=inner_seed, cols=KEYS)
+
+    def calibrate(est):
+        return M.fit_calibrated(est, fit_part, "label", 3, P.SEED, cols=KEYS)
+
+    if len(cands) == 1:      # what is calibrated is known before it is validated: all fits side by side
+        [only] = cands.values()
+        (best, _, metrics), bucket_pred, cal = M.side_by_side([select, bucket_fit, lambda: calibrate(only)])
+    else:
+        (best, est, metrics), bucket_pred = M.side_by_side([select, bucket_fit])
+        cal = calibrate(est)
     thr = K.threshold_for_recall(_write_scored(cal.transform(val)), 0.80).first()["threshold"]
     scored = _write_scored(cal.transform(test))
     data.unpersist()
