@@ -7,7 +7,9 @@ language. The table is cut into ``shards`` shards (its partitions in turn).
    language and phrase, count) that tasks combine before the shuffle. A phrase is
    locally frequent if its count reaches the support times the shard's share of all
    text. Shares add up to one, so a phrase with the support in the whole table is
-   locally frequent in one shard at least.
+   locally frequent in one shard at least. Words and pairs are mined first; a longer
+   phrase is mined where both its parts of one word less are in the union below, as no
+   phrase is more frequent than its parts.
 2. Unite: the union of the locally frequent phrases goes into a bitmap of ``2 ** BITS``
    bits, a fixed size whatever the data hold. Equal bits let more through, never less.
 3. Count: the texts are read again; phrases in the bitmap are counted as strings,
@@ -27,7 +29,7 @@ counted in parts. An empty table gives no rows. Other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaylens.llm.common import small_batches, text_of
-from delaylens.llm.phrase_counts import LONGEST, Slices
+from delaylens.llm.phrase_counts import LONGEST, Counted, Slices
 from delaylens.session import materialize
 
 SHARDS = 4
@@ -47,13 +49,27 @@ def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), text_of(text_col).alias("text"))
 
 
-def _counted(batches: Iterator[pa.RecordBatch], longest: int):
-    slices = Slices(longest)
+def _counted(batches: Iterator[pa.RecordBatch]):
+    slices = Slices()
     for batch in batches:
         yield from slices.add(batch.column(0).to_pylist(), batch.column(1))
     yield from slices.rest()
 
 
+def _levels(found: Counted, lang: str, longest: int, known: dict[int, np.ndarray], bits: int):
+    """(level, hashes, which are in the union) for each length; lengths without a union have None."""
+    alive = None
+    for k in range(1, longest + 1):
+        level = found.level(k, alive)
+        h = found.hashes(lang, level)
+        member = None
+        if k in known:
+            byte, bit = spots(h, bits)
+            member = ((known[k][byte] >> bit) & 1).astype(bool)
+            alive = found.alive(level, member)
+        yield level, h, member
+
+
 def local_supports(rows: DataFrame, support: int, shards: int) -> list[int]:
     """Per shard the support lowered to its share of all bytes, at least 1 (``rows``: shard, text)."""
     sizes = dict(rows.groupBy("shard").agg(F.sum(F.octet_length("text")).alias("n")).collect())     # one row per shard
@@ -61,14 +77,17 @@ def local_supports(rows: DataFrame, support: int, shards: int) -> list[int]:
     return [max(1, math.ceil(support * sizes.get(s, 0) / total)) for s in range(shards)]
 
 
-def locally_frequent(docs: DataFrame, support: int = 10, shards: int = SHARDS, longest: int = LONGEST,
-                     text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(shard, phrase_hash, n): what each shard holds at its lowered support or more."""
+def locally_frequent(docs: DataFrame, support: int = 10, shards: int = SHARDS, lengths: Sequence[int] = (1, 2),
+                     known: dict[int, bytes] | None = None, text_col: str = "text", lang_col: str = "lang", bits: int = BITS) -> DataFrame:
+    """(shard, phrase_hash, n): phrases of the given lengths that a shard holds at its
+    lowered support or more; ``known`` are the unions of shorter ones."""
     rows = _texts(docs, text_col, lang_col).withColumn("shard", F.spark_partition_id() % shards)
     needs = local_supports(rows, support, shards)
+    unions = known or {}
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = 0
+        below = {k: np.frombuffer(b, np.uint8) for k, b in unions.items()}
 
         def watched():
             nonlocal shard
@@ -76,8 +95,11 @@ def locally_frequent(docs: DataFrame, support: int = 10, shards: int = SHARDS, l
                 if batch.num_rows:
                     shard = batch.column(2)[0].as_py()
                 yield batch
-        for lang, found in _counted(watched(), longest):
-            for h, n in zip(found.hashes(lang), found.counts):
+        for lang, found in _counted(watched()):
+            for level, h, _ in _levels(found, lang, max(lengths), below, bits):
+                if level.k not in lengths:
+                    continue
+                h, n = h[level.counts > 0], level.counts[level.counts > 0]
                 for a in range(0, len(h), BATCH):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(h[a:a + BATCH]), shard), pa.int32()), pa.array(h[a:a + BATCH]),
@@ -111,16 +133,19 @@ def frequent_phrases(docs: DataFrame, support: int = 10, shards: int = SHARDS, l
                      text_col: str = "text", lang_col: str = "lang", bits: int = BITS) -> DataFrame:
     """(lang, k, phrase, f) of all phrases with f >= support; k = 0 holds each language's number of words. A written table."""
     with small_batches(docs.sparkSession):
-        union = bitmap(locally_frequent(docs, support, shards, longest, text_col, lang_col), bits)
+        given = dict(support=support, shards=shards, text_col=text_col, lang_col=lang_col, bits=bits)
+        pairs = bitmap(locally_frequent(docs, lengths=(1, 2), **given), bits)
+        unions = {1: pairs, 2: pairs}
+        for k in range(3, longest + 1):
+            unions[k] = bitmap(locally_frequent(docs, lengths=(k,), known=dict(unions), **given), bits)
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = np.frombuffer(union, np.uint8)
-            for lang, found in _counted(batches, longest):
+            known = {k: np.frombuffer(b, np.uint8) for k, b in unions.items()}
+            for lang, found in _counted(batches):
                 rows = [(0, pa.array([""], pa.large_utf8()), np.array([found.n_words]))]
-                for k, (h, n) in enumerate(zip(found.hashes(lang), found.counts), 1):
-                    byte, bit = spots(h, bits)
-                    which = np.flatnonzero((known[byte] >> bit) & 1)
-                    rows += [(k, found.texts(k, w), n[w]) for w in (which[a:a + BATCH] for a in range(0, len(which), BATCH))]
+                for level, _, member in _levels(found, lang, longest, known, bits):
+                    which = np.flatnonzero(member & (level.counts > 0))
+                    rows += [(level.k, found.texts(level, w), level.counts[w]) for w in (which[a:a + BATCH] for a in range(0, len(which), BATCH))]
                 for k, phrases, n in rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang] * len(n), pa.string()), pa.array(np.full(len(n), k), pa.int32()), phrases.cast(pa.string()),

@@ -42,9 +42,9 @@ def parts(data: bytes) -> Iterator[tuple[bytes, int]]:
 
 
 class Counted:
-    """The distinct phrases of up to ``longest`` words of a slice with their counts."""
+    """The words of a slice in order, and its distinct phrases length by length."""
 
-    def __init__(self, data: bytes, own: int, longest: int = LONGEST):
+    def __init__(self, data: bytes, own: int):
         raw = np.frombuffer(data, np.uint8)
         kind = CLASS[raw]
         inside = kind == 0
@@ -54,63 +54,80 @@ class Counted:
         words = pa.Array.from_buffers(pa.large_utf8(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(LOWER[raw[inside]])])
         coded = words.dictionary_encode()
         self.words = coded.dictionary
-        code = coded.indices.to_numpy().astype(np.int64)
+        self.code = coded.indices.to_numpy().astype(np.int64)
         self.bits = max(1, len(self.words).bit_length())
-        if self.bits * longest > 63:
+        if self.bits * LONGEST > 63:
             raise ValueError("too many distinct words in a slice")
-        piece = np.cumsum(kind == 2, dtype=np.int32)[start]
-        begins = int(np.searchsorted(start, own))
-        self.n_words = begins
-        self.keys, self.counts = [], []
-        for k in range(1, longest + 1):
-            n = max(0, min(begins, len(code) - k + 1))
-            key = code[:n] + 1
-            for j in range(1, k):
-                key = (key << self.bits) | (code[j:n + j] + 1)
-            key = np.sort(key[piece[:n] == piece[k - 1:n + k - 1]])
-            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-            self.keys.append(key[first])
-            self.counts.append(np.diff(first, append=len(key)))
+        self.piece = np.cumsum(kind == 2, dtype=np.int32)[start]
+        self.n_words = int(np.searchsorted(start, own))
+        self.named: np.ndarray | None = None
+
+    def level(self, k: int, alive: np.ndarray | None = None) -> Level:
+        """Phrases of k words; ``alive`` tells where phrases of one word less may begin."""
+        n = max(0, len(self.code) - k + 1)
+        key = self.code[:n] + 1
+        for j in range(1, k):
+            key = (key << self.bits) | (self.code[j:n + j] + 1)
+        fits = self.piece[:n] == self.piece[k - 1:n + k - 1]
+        if alive is not None:
+            fits &= alive[:n] & alive[1:n + 1]
+        return Level(k, np.flatnonzero(fits), key[fits], self.n_words)
+
+    def alive(self, level: Level, member: np.ndarray) -> np.ndarray:
+        """By place: a phrase that is a member begins there."""
+        out = np.zeros(len(self.code) + 1, bool)
+        out[level.at[member[np.searchsorted(level.distinct, level.key)]]] = True
+        return out
 
     def codes(self, k: int, key: np.ndarray) -> list[np.ndarray]:
         """Codes of the words of k-word phrases, in order."""
         return [((key >> (self.bits * (k - 1 - j))) & ((1 << self.bits) - 1)) - 1 for j in range(k)]
 
-    def hashes(self, salt: str) -> list[np.ndarray]:
-        """Per length a 64-bit hash of every distinct phrase."""
-        own = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words.to_pylist()], np.uint64)
+    def hashes(self, salt: str, level: Level) -> np.ndarray:
+        """A 64-bit hash of every distinct phrase of the level."""
+        if self.named is None:
+            self.named = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words.to_pylist()], np.uint64)
         base = np.array([xxhash.xxh3_64_intdigest(salt)], np.uint64)
-        out = []
-        for k, key in enumerate(self.keys, 1):
-            h = np.repeat(base + ODD[6:7] * np.uint64(k), len(key))
-            for j, code in enumerate(self.codes(k, key)):
-                h += own[code] * ODD[j]
-            out.append(mix(h).view(np.int64))
-        return out
+        h = np.repeat(base + ODD[6:7] * np.uint64(level.k), len(level.distinct))
+        for j, code in enumerate(self.codes(level.k, level.distinct)):
+            h += self.named[code] * ODD[j]
+        return mix(h).view(np.int64)
 
-    def texts(self, k: int, which: np.ndarray) -> pa.Array:
+    def texts(self, level: Level, which: np.ndarray) -> pa.Array:
         """The phrases themselves, words joined by a space."""
-        words = [self.words.take(pa.array(c)) for c in self.codes(k, self.keys[k - 1][which])]
-        return words[0] if k == 1 else pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_utf8()))
+        words = [self.words.take(pa.array(c)) for c in self.codes(level.k, level.distinct[which])]
+        return words[0] if level.k == 1 else pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_utf8()))
+
+
+class Level:
+    """Phrases of k words: their places and keys, the distinct keys in order and how often each begins in the slice's own words."""
+
+    def __init__(self, k: int, at: np.ndarray, key: np.ndarray, own: int):
+        self.k, self.at, self.key = k, at, key
+        in_order = np.sort(key)
+        first = np.flatnonzero(np.concatenate([[True], in_order[1:] != in_order[:-1]])) if len(key) else np.zeros(0, np.int64)
+        self.distinct = in_order[first]
+        self.counts = np.diff(first, append=len(key))
+        np.subtract.at(self.counts, np.searchsorted(self.distinct, key[at >= own]), 1)
 
 
 class Slices:
     """Texts gathered by language until a slice is full."""
 
-    def __init__(self, longest: int = LONGEST):
-        self.longest, self.held, self.size, self.total = longest, {}, {}, 0
+    def __init__(self):
+        self.held, self.size, self.total = {}, {}, 0
 
     def _count(self, lang: str) -> Counted:
         data = b"\n".join(self.held.pop(lang))
         self.total -= self.size.pop(lang)
-        return Counted(data, len(data), self.longest)
+        return Counted(data, len(data))
 
     def add(self, langs: list[str], texts: pa.Array) -> Iterator[tuple[str, Counted]]:
         for lang, text in zip(langs, texts):
             data = text.as_buffer().to_pybytes()
             if len(data) > PART:
                 for part, own in parts(data):
-                    yield lang, Counted(part, own, self.longest)
+                    yield lang, Counted(part, own)
                 continue
             self.held.setdefault(lang, []).append(data)
             self.size[lang] = self.size.get(lang, 0) + len(data) + 1
