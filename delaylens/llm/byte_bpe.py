@@ -7,8 +7,8 @@ token-position rows, one per byte. A recursive query joins neighbouring rows
 with the merge table, contracts each word's leftmost pair of least rank and
 repeats until no word has a pair left; rows in order of place are each word's
 ids. Decoding takes ids alone: an ordered aggregation over the vocabulary's
-bytes, in a slice of texts once per distinct piece. A text is the
-concatenation of its pieces.
+bytes, once per piece when it is first met; its ids and the bytes they decode to
+are remembered side by side. A text is the concatenation of its pieces.
 
 Long words (over ``LONG`` bytes) take a second query that contracts all
 non-overlapping occurrences of the least-ranked pair at once wherever that is
@@ -17,7 +17,7 @@ some merge of lower rank uses, and early merges still go one by one.
 
 Per task memory is bounded: slices of about 2 MB of text, words in runs of
 ``RUN_BYTES`` bytes and ``STEPS`` contractions per query (unfinished words go
-on in the next query), and ``KEPT_PIECES`` pieces remembered per worker.
+on in the next query), and pieces of ``KEPT_BYTES`` bytes remembered per worker.
 
 Nulls: a null text counts as empty and has no ids; a null or unknown id makes
 ``decode`` raise. Repeated rows give equal results, other columns are ignored,
@@ -47,7 +47,7 @@ from delaylens.session import materialize
 RUN_BYTES = 200_000
 LONG = 256
 STEPS = 64
-KEPT_PIECES = 250_000
+KEPT_BYTES = 96 << 20
 SLICE_BYTES = 2 << 20
 
 #: one contraction per word and step: rows (w, p, t, n) hold a token t at place p of word w and the next token n
@@ -89,8 +89,8 @@ SELECT it, w, p, t FROM step JOIN (SELECT w, max(it) AS it FROM step GROUP BY w)
 COLLECT = "SELECT w, t FROM tokens ORDER BY w, p"
 
 DECODE = """
-SELECT d, string_agg(hex(bytes), '' ORDER BY p), count(*), count(bytes)
-FROM ids LEFT JOIN ranks ON t = rank GROUP BY d
+SELECT d, list(bytes ORDER BY p) AS parts, sum(octet_length(bytes)) AS size, count(*) AS n_ids, count(bytes) AS n_known
+FROM ids LEFT JOIN ranks ON t = rank GROUP BY d ORDER BY d
 """
 
 
@@ -129,7 +129,7 @@ class Bpe:
     def _begin(self) -> None:
         """Forget the pieces met so far."""
         self.code: dict[str, int] = {}
-        self.ids = Pool(np.int32)
+        self.ids, self.forms, self.named = Pool(np.int32), Pool(np.uint8), 0
 
     def _merge(self, words: list[bytes], query: str) -> None:
         """Leave the words' final tokens in table ``tokens`` (w, p, t)."""
@@ -172,15 +172,18 @@ class Bpe:
         ids.data, ids.ends = ids.take(order)
         return ids
 
-    def decoded(self, ids: pa.Array | np.ndarray, sizes: np.ndarray) -> list[bytes]:
-        """The bytes that runs of ``sizes`` ids stand for."""
+    def decoded(self, ids: pa.Array | np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes that runs of ``sizes`` ids stand for, in one array, and the end of each run."""
         self.db.register("ids", pa.table({"d": np.repeat(np.arange(len(sizes)), sizes), "p": np.arange(len(ids)), "t": ids}))
-        content = [b""] * len(sizes)
-        for d, hexed, n_ids, n_known in self.db.execute(DECODE).fetchall():
-            if n_ids != n_known:
-                raise ValueError("an id is not in the vocabulary")
-            content[d] = bytes.fromhex(hexed)
-        return content
+        got = self.db.sql(DECODE).to_arrow_table()
+        if not pc.all(pc.equal(got["n_ids"], got["n_known"]), min_count=0).as_py():
+            raise ValueError("an id is not in the vocabulary")
+        length = np.zeros(len(sizes), np.int64)
+        length[got["d"].to_numpy()] = got["size"].to_numpy()
+        flat = got["parts"].combine_chunks().flatten().cast(pa.large_binary()) if len(got) else pa.array([], pa.large_binary())
+        ends = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset:flat.offset + len(flat) + 1] if len(flat) else np.zeros(1, np.int64)
+        data = np.frombuffer(flat.buffers()[2], np.uint8)[ends[0]:ends[-1]] if len(flat) and ends[-1] else np.zeros(0, np.uint8)
+        return data, np.cumsum(length)
 
     def _codes(self, pieces: list[str]) -> np.ndarray:
         found = np.array([self.code.get(p, -1) for p in pieces], np.int64)
@@ -191,22 +194,21 @@ class Bpe:
         flat = np.array([number.setdefault(w, len(number)) for ws in matches for w in ws], np.int64)
         last = np.cumsum([*map(len, matches)]) if matches else np.zeros(0, np.int64)
         data, stop = (self.words(list(number)) if number else Pool(np.int32)).take(flat)
-        self.ids.add(data, np.concatenate([[0], stop])[last])
+        ends = np.concatenate([[0], stop])[last]
+        self.ids.add(data, ends)
+        if new:
+            self.forms.add(*self.decoded(data, np.diff(ends, prepend=0)))
+            self.named += sum(map(len, new))
         found[at] = np.arange(len(self.ids.ends) - len(new), len(self.ids.ends))
         self.code.update(zip(new, found[at].tolist()))
         return found
 
     def texts(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, bytes, bytes]]:
-        """Per text: its ids, the ids as decimals joined by commas, the bytes the ids
-        decode to. Every distinct piece's ids are decoded anew in each slice."""
+        """Per text: its ids, the ids as decimals joined by commas, the bytes the ids decode to."""
         pieces, index, stops = cut(texts)
-        own, forms = Pool(np.int32), Pool(np.uint8)
-        if pieces:
-            own.add(*self.ids.take(self._codes(pieces)))
-            found = self.decoded(own.data, np.diff(own.ends, prepend=0))
-            forms.add(np.frombuffer(b"".join(found), np.uint8), np.cumsum([*map(len, found)]))
-        (ids, id_stop), (content, byte_stop) = own.take(index), forms.take(index)
-        if len(self.code) > KEPT_PIECES:
+        code = self._codes(pieces)[index] if pieces else index
+        (ids, id_stop), (content, byte_stop) = self.ids.take(code), self.forms.take(code)
+        if self.ids.data.nbytes + self.forms.data.nbytes + 4 * self.named + 100 * len(self.code) > KEPT_BYTES:
             self._begin()
         id_ends, byte_ends = (np.concatenate([[0], x])[stops] for x in (id_stop, byte_stop))
         a = c = 0
@@ -252,7 +254,8 @@ def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
             for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
                 sizes = pc.list_value_length(part.column(1)).to_numpy().astype(np.int64)
                 flat = part.column(1).flatten()
-                content = bpe(path, pattern).decoded(flat, sizes)
+                data, ends = bpe(path, pattern).decoded(flat, sizes)
+                content = [data[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(content, pa.binary())], ["doc_id", "content"])
 
     return rows.mapInArrow(run, f"doc_id {kind}, content binary")

@@ -144,12 +144,20 @@ def test_bpe_encode_decode(spark):
     assert byte_bpe.round_trip(docs(spark, []), path, P.PATTERN).count() == 0
 
 
-def test_bpe_bytes_come_from_the_ids():
-    """Faulty ids show in the decoded bytes."""
+def test_bpe_bytes_come_from_the_ids(monkeypatch):
+    """Faulty ids show in the decoded bytes: the fault is put into what the encoder emits."""
     own = byte_bpe.Bpe(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
     texts = pa.array(["some words, then others"])
     assert [content for *_, content in own.texts(texts)] == [b"some words, then others"]
-    own.ids.data = own.ids.data[::-1].copy()
+    own._begin()
+    words = own.words
+
+    def faulty(given):
+        pool = words(given)
+        pool.data = pool.data[::-1].copy()
+        return pool
+
+    monkeypatch.setattr(own, "words", faulty)
     [(ids, _, content)] = own.texts(texts)
     form = {rank: token for token, rank in own.ranks.items()}
     assert content == b"".join(form[i] for i in ids.tolist()) != b"some words, then others"
@@ -159,3 +167,14 @@ def test_bpe_unknown_id_raises(spark):
     bad = spark.createDataFrame([(1, [0, 10 ** 6])], "doc_id long, ids array<int>")
     with pytest.raises(Exception, match="vocabulary"):
         byte_bpe.decode(bad, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN).collect()
+
+
+def test_what_is_remembered_is_bounded_by_bytes(monkeypatch):
+    """Texts that stand as one piece do not pile up."""
+    monkeypatch.setattr(byte_bpe, "KEPT_BYTES", 100_000)
+    own = byte_bpe.Bpe(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    for k in range(40):
+        texts = [f"if x{k}_{j}:\n    return {j}   # {k}\n" * 5 for j in range(20)]
+        got = list(own.texts(pa.array(texts)))
+        assert [c.decode() for _, _, c in got] == texts
+        assert own.ids.data.nbytes + own.forms.data.nbytes + 4 * own.named <= 100_000
