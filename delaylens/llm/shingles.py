@@ -1,7 +1,7 @@
 """Sets of hashed word shingles, for a slice of texts at once.
 
-Words are runs of anything but the six ASCII blanks, A-Z lower-cased. A word's
-hash is a polynomial over its bytes, read off running sums, and a mix; a
+Words are runs of anything but the six ASCII blanks, A-Z lower-cased. Words get
+codes by a dictionary of the slice and each distinct word one 64-bit hash (xxh3); a
 shingle's hash mixes those of its words in order. Texts are cut at blanks into
 parts of about ``PART`` bytes, so work arrays stay bounded however long a
 text is. A text with fewer words than a shingle has one shingle, the whole
@@ -13,21 +13,19 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 
 PART = 1 << 20
-BASE = np.uint64(0xD6E8FEB86659FD93)
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63,
                 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0xA0761D6478BD642F], np.uint64)
 IS_BLANK = np.zeros(256, bool)
 IS_BLANK[[9, 10, 11, 12, 13, 32]] = True
-LOWER = np.arange(256, dtype=np.uint64) + np.uint64(1)
-LOWER[65:91] += np.uint64(32)
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 LAST_BLANK = re.compile(rb"[\x20\x09-\x0D][^\x20\x09-\x0D]*\Z")
 NEXT_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
-_POWERS: list[np.ndarray] = []
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser."""
     x = x ^ (x >> np.uint64(30))
@@ -37,27 +35,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE ** i and its inverse modulo 2 ** 64, for i below n."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, PART + (PART >> 2))
-        inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-        _POWERS[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, x)])) for x in (BASE, inverse)]
-    return _POWERS[0][:n], _POWERS[1]
-
-
 def _hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of every word."""
     raw = np.frombuffer(data, np.uint8)
-    if not len(raw):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     inside = ~IS_BLANK[raw]
     edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
     start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    power, inverse = _powers(len(raw))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(LOWER[raw] * power)])
-    h = (sums[stop] - sums[start]) * inverse[start]
-    return start, mix(h + (stop - start).astype(np.uint64) * ODD[7])
+    ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(stop - start)])
+    words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(LOWER[raw[inside]])])
+    coded = words.dictionary_encode()
+    own = np.array([xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
+    return start, own[coded.indices.to_numpy()]
 
 
 def _parts(data: bytes):
