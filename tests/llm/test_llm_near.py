@@ -241,13 +241,28 @@ def test_quality_edges(spark, model):
     assert quality.quality(docs.limit(0), model).count() == 0
 
 
-def test_quality_needs_both_labels(spark):
-    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
-    with pytest.raises(ValueError):
-        quality.fit(docs, spark.createDataFrame([(1, 1), (None, 0), (3, None)], "doc_id long, quality int"))
-
-
 def test_held_out_is_by_crc(spark):
     import zlib
     rows = spark.range(50).select("id", quality.is_held_out(F.col("id")).alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 4 == 2) for r in rows)
+
+
+def test_words_of_equal_polynomials_stay_apart(spark):
+    """The Thue-Morse word and its complement agree in every polynomial hash modulo 2 ** 64."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    one, two = S.shingle_sets([word, other])
+    assert one.tolist() != two.tolist()
+    frame = spark.createDataFrame([(1, word), (2, other)], "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_components(frame).collect()} == {1: 1, 2: 2}
+
+
+def test_quality_without_labels_or_documents(spark):
+    from delaylens.llm import quality
+    docs = spark.createDataFrame([(1, "some text"), (2, None), (3, "")], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    some = spark.createDataFrame([(1, 1), (3, 1)], "doc_id long, quality int")
+    for labels, want in ((none, 0.5), (some, 1.0)):
+        got = quality.quality(docs, quality.fit(docs, labels)).collect()
+        assert [round(r["score"], 6) for r in got] == [want] * 3
+    assert quality.quality(docs.limit(0), quality.fit(docs.limit(0), some)).count() == 0
