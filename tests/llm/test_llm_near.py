@@ -251,14 +251,13 @@ def test_words_of_equal_polynomials_stay_apart(spark):
     """The Thue-Morse word and its complement agree in every polynomial hash modulo 2 ** 64."""
     word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
     other = word.translate(str.maketrans("ab", "ba"))
-    one, two = S.shingle_sets([word, other])
+    one, two = shingle_sets([word, other])
     assert one.tolist() != two.tolist()
     frame = spark.createDataFrame([(1, word), (2, other)], "doc_id long, text string")
     assert {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_components(frame).collect()} == {1: 1, 2: 2}
 
 
 def test_quality_without_labels_or_documents(spark):
-    from delaylens.llm import quality
     docs = spark.createDataFrame([(1, "some text"), (2, None), (3, "")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int")
     some = spark.createDataFrame([(1, 1), (3, 1)], "doc_id long, quality int")
