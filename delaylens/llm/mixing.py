@@ -17,9 +17,12 @@ sorts a source's documents and a source with a third of all rows costs one
 partial aggregation.
 
 Nulls and ties: a null text has size 0; the null source is a source of its
-own, last in order; a null id is a value like others in the hash. Rows that
-repeat id and size share a hash and are taken together. Sources without words
-have target 0. Reruns agree: nothing depends on partitions.
+own, last in order; a null id is a value like others in the hash. Sources without
+words have target 0. Rows that repeat id and size share a place. Where the cut
+falls among them, as many of them as fit are taken, the first by row number:
+radix selection again, this time counting rows. Reruns agree in (id, taken); if
+such rows differ in text, which of them ``mixed_documents`` takes follows the
+order in which the table is read.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ from delaylens.session import materialize
 
 HASH_BITS = 60
 DIGITS = (50, 40, 30)     # bits below each radix digit: at most 1,024 rows per source and digit
+ROW_DIGITS = (52, 41, 30, 19, 8, 0)     # the same for row numbers of 63 bits: at most 2,048
 
 
 def n_words(column: str) -> Column:
@@ -76,16 +80,17 @@ def water_fill(sources: DataFrame, max_epochs: int = 3, share: float = 1.0) -> D
             .select("source", "source_size", "target", "whole", "rest"))
 
 
-def _running(group: str, words: DataFrame) -> DataFrame:
-    """Words before each ``group`` value of a source."""
-    before = Window.partitionBy("source").orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
+def _running(words: DataFrame, *order: str) -> DataFrame:
+    """Words before each row of a source in the given order."""
+    before = Window.partitionBy("source").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return words.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
 
 
 def mixing_plan(sized: DataFrame, cycle: Sequence[int] = (5, 2, 1), max_epochs: int = 3,
                 share: float = 1.0) -> DataFrame:
-    """One row per source: size, target, whole repetitions, and ``last``: documents
-    up to this place in the source are taken once more.
+    """One row per source: size, target, whole repetitions, and where the rest ends:
+    documents before ``(last, last_size)`` in (place, size) are taken once more, and
+    of the ``last_rows`` documents there ``last_taken`` are.
     ``sized`` is a written table (source, size, place)."""
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = materialize(water_fill(cycled_weights(sources, cycle), max_epochs, share), "mix-plan")
@@ -95,18 +100,27 @@ def mixing_plan(sized: DataFrame, cycle: Sequence[int] = (5, 2, 1), max_epochs:
         own = F.shiftright("place", below)
         part = _inside(sized, cut, digit)
         words = part.groupBy("source", own.alias("digit"), "rest").agg(F.sum("size").alias("words"))
-        cut = materialize(_running("digit", words)
+        cut = materialize(_running(words, "digit")
                           .where((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words")))
                           .select("source", "digit", (F.col("rest") - F.col("before")).alias("rest")), "mix-cut")
         digit = own
-    words = _inside(sized, cut, digit).groupBy("source", "place", "digit", "rest").agg(F.sum("size").alias("words"))
-    fits = F.col("before") + F.col("words") / 2 <= F.col("rest")
-    last = (_running("place", words).groupBy("source")
-            .agg(F.coalesce(F.max(F.when(fits, F.col("place"))),
-                            F.shiftleft(F.min("digit"), DIGITS[-1]) - 1).alias("last")))
+    words = (_inside(sized, cut, digit).groupBy("source", "place", "size", "digit", "rest")
+             .agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows")))
+    # a document is taken if its middle lies within the rest
+    room = F.floor((F.col("rest") - F.col("before")) / F.col("size") - 0.5) + 1
+    taken = F.when(F.col("size") > 0, F.least(F.greatest(room, F.lit(0)), F.col("rows"))).otherwise(
+        F.when(F.col("before") <= F.col("rest"), F.col("rows")).otherwise(0)).cast("long")
+    end = F.max(F.when(taken > 0, F.struct("place", "size", F.col("rows").alias("rows"), taken.alias("taken"))))
+    last = _running(words, "place", "size").groupBy("source").agg(end.alias("end"), F.min("digit").alias("digit"))
+    before_digit = F.shiftleft("digit", DIGITS[-1]) - 1
+    last = last.select("source", F.coalesce("end.place", before_digit).alias("last"),
+                       F.coalesce("end.size", F.lit((1 << 63) - 1)).alias("last_size"),
+                       F.col("end.rows").alias("last_rows"), F.col("end.taken").alias("last_taken"))
     a, b = plan.alias("a"), last.alias("b")
     return materialize(a.join(b, F.col("a.source").eqNullSafe(F.col("b.source")), "left")
-                       .select("a.*", F.coalesce("b.last", F.lit(-1)).alias("last")), "mix-last")
+                       .select("a.*", F.coalesce("b.last", F.lit(-1)).alias("last"), F.coalesce("b.last_size", F.lit(0)).alias("last_size"),
+                               F.coalesce("b.last_rows", F.lit(0)).alias("last_rows"),
+                               F.coalesce("b.last_taken", F.lit(0)).alias("last_taken")), "mix-last")
 
 
 def _inside(sized: DataFrame, cut: DataFrame, digit: Column | None) -> DataFrame:
@@ -120,36 +134,89 @@ def _inside(sized: DataFrame, cut: DataFrame, digit: Column | None) -> DataFrame
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(text_col).alias("size"))
-    return materialize(rows.withColumn("place", place(F.col("doc_id"), F.col("size"), seed)), "mix-sizes")
+    return materialize(rows.withColumns({"place": place(F.col("doc_id"), F.col("size"), seed),
+                                         "row": F.monotonically_increasing_id()}), "mix-sizes")
 
 
-def _repeats() -> Column:
-    return F.col("whole") + F.when(F.col("place") <= F.col("last"), 1).otherwise(0)
+def _divided(plan: DataFrame) -> DataFrame | None:
+    """The sources whose cut falls among rows of one place and size, if there are any."""
+    divided = plan.where(F.col("last_taken").between(1, F.col("last_rows") - 1))
+    return None if divided.isEmpty() else divided
+
+
+def _at_the_cut(size: Column, at: Column) -> Column:
+    return (at == F.col("p.last")) & (size == F.col("p.last_size"))
+
+
+def _last_rows(ties: DataFrame, plan: DataFrame) -> DataFrame:
+    """(source, last_row): of the written rows ``ties`` (source, row) of each source the
+    ``last_taken`` first by row number go up to this one. Row numbers are unique."""
+    cut = materialize(plan.select("source", F.col("last_taken").cast("double").alias("rest")), "mix-rows-cut")
+    digit = None
+    for below in ROW_DIGITS:
+        own = F.shiftright("row", below)
+        counts = _inside(ties, cut, digit).groupBy("source", own.alias("digit"), "rest").agg(F.count(F.lit(1)).alias("words"))
+        cut = materialize(_running(counts, "digit")
+                          .where((F.col("before") < F.col("rest")) & (F.col("rest") <= F.col("before") + F.col("words")))
+                          .select("source", "digit", (F.col("rest") - F.col("before")).alias("rest")), "mix-rows-cut")
+        digit = own
+    return cut.select("source", F.col("digit").alias("last_row"))
+
+
+def _once_more(size: Column, at: Column) -> Column:
+    """1 for the rows that the rest takes, rows at a divided cut left out."""
+    whole_cut = _at_the_cut(size, at) & (F.col("p.last_taken") == F.col("p.last_rows"))
+    before = (at < F.col("p.last")) | ((at == F.col("p.last")) & (size < F.col("p.last_size")))
+    return F.when(before | whole_cut, 1).otherwise(0)
 
 
 def mix(docs: DataFrame, cycle: Sequence[int] = (5, 2, 1), max_epochs: int = 3, share: float = 1.0, seed: int = 7,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Per row: ``doc_id, size, source_size, target, taken``."""
     sized = _sized(docs, id_col, text_col, source_col, seed)
-    plan = small_side(mixing_plan(sized, cycle, max_epochs, share))
-    return (sized.alias("s").join(plan.alias("p"), F.col("s.source").eqNullSafe(F.col("p.source")))
-            .select("doc_id", "size", "source_size", "target", (F.col("size") * _repeats()).alias("taken")))
+    plan = mixing_plan(sized, cycle, max_epochs, share)
+    p, same = small_side(plan).alias("p"), F.col("s.source").eqNullSafe(F.col("p.source"))
+    size, at = F.col("s.size"), F.col("s.place")
+    rows, more = sized.alias("s").join(p, same), _once_more(size, at)
+    divided = _divided(plan)
+    if divided is not None:
+        ties = materialize(sized.alias("s").join(small_side(divided).alias("p"), same & _at_the_cut(size, at)).select("s.source", "s.row"),
+                           "mix-ties")
+        last = small_side(_last_rows(ties, divided)).alias("l")
+        rows = rows.join(last, F.col("s.source").eqNullSafe(F.col("l.source")), "left")
+        more = F.when(_at_the_cut(size, at) & F.col("l.last_row").isNotNull(),
+                      F.when(F.col("s.row") <= F.col("l.last_row"), 1).otherwise(0)).otherwise(more)
+    return rows.select("s.doc_id", "s.size", "p.source_size", "p.target", (size * (F.col("p.whole") + more)).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, cycle: Sequence[int] = (5, 2, 1), max_epochs: int = 3, share: float = 1.0,
                     seed: int = 7, id_col: str = "doc_id", text_col: str = "text",
                     source_col: str = "source") -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken (0 to
-    ``max_epochs`` times), columns as they are. The texts are not shuffled."""
+    ``max_epochs`` times), columns as they are. The texts are not shuffled; rows
+    that share the place where a source's cut falls are written once, to number them."""
     plan = mixing_plan(_sized(docs, id_col, text_col, source_col, seed), cycle, max_epochs, share)
-    size, at, again = spare(docs, "mix_size", "mix_place", "mix_again")
-    rows = docs.withColumn(size, n_words(text_col))
-    rows = rows.withColumn(at, place(F.col(id_col), F.col(size), seed)).alias("d")
-    p = small_side(plan.select(F.col("source").alias("mix_source"), "whole", "last")).alias("p")
-    times = F.col("p.whole") + F.when(F.col(f"d.{at}") <= F.col("p.last"), 1).otherwise(0)
-    return (rows.join(p, F.col(f"d.{source_col}").eqNullSafe(F.col("p.mix_source")))
-            .select(*[F.col(f"d.{c}") for c in docs.columns],
-                    F.explode(F.array_repeat(F.lit(0), times.cast("int"))).alias(again)).drop(again))
+    size, at, number, again = spare(docs, "mix_size", "mix_place", "mix_row", "mix_again")
+    sized = docs.withColumn(size, n_words(text_col))
+    sized = sized.withColumn(at, place(F.col(id_col), F.col(size), seed)).alias("d")
+    own = [F.col(f"d.{c}") for c in docs.columns]
+    same = F.col(f"d.{source_col}").eqNullSafe(F.col("p.source"))
+    p, size_of, at_of = small_side(plan).alias("p"), F.col(f"d.{size}"), F.col(f"d.{at}")
+
+    def repeated(rows: DataFrame, times: Column) -> DataFrame:
+        return rows.select(*own, F.explode(F.array_repeat(F.lit(0), times.cast("int"))).alias(again)).drop(again)
+
+    # a divided cut's rows go their whole repetitions here and once more below
+    out = repeated(sized.join(p, same), F.col("p.whole") + _once_more(size_of, at_of))
+    divided = _divided(plan)
+    if divided is None:
+        return out
+    ties = materialize(sized.join(small_side(divided).alias("p"), same & _at_the_cut(size_of, at_of))
+                       .select(*own).withColumn(number, F.monotonically_increasing_id()), "mix-ties")
+    last = small_side(_last_rows(ties.select(F.col(source_col).alias("source"), F.col(number).alias("row")), divided)).alias("l")
+    first = ties.alias("d").join(last, F.col(f"d.{source_col}").eqNullSafe(F.col("l.source"))
+                                 & (F.col(f"d.{number}") <= F.col("l.last_row")))
+    return out.unionByName(first.select(*own))
 
 
 ORACLE = """
@@ -180,16 +247,13 @@ targets AS (
   FROM clamped),
 plan AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM targets),
-steps AS (
-  SELECT source, place, sum(size) AS words FROM placed GROUP BY source, place),
 sums AS (
-  SELECT *, coalesce(sum(words) OVER (PARTITION BY source ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
          AS before
-  FROM steps)
+  FROM placed)
 SELECT d.doc_id, d.size, p.source_size, p.target,
-       CAST(d.size * (p.whole + CASE WHEN CAST(s.before AS DOUBLE) + CAST(s.words AS DOUBLE) / 2
+       CAST(d.size * (p.whole + CASE WHEN CAST(d.before AS DOUBLE) + CAST(d.size AS DOUBLE) / 2
                                           <= greatest(p.target - p.whole * p.source_size, 0) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM placed d
+FROM sums d
 JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
-JOIN sums s ON d.source IS NOT DISTINCT FROM s.source AND d.place = s.place
 """

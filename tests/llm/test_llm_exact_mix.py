@@ -7,6 +7,7 @@ from fractions import Fraction
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from delaylens.llm import exact_dedup, mixing
 
@@ -52,7 +53,6 @@ def test_exact_empty_table(spark):
 
 def test_equal_hashes_of_different_bytes_stay_apart(spark, monkeypatch):
     """With a hash that always collides the byte comparison still parts the texts."""
-    from pyspark.sql import functions as F
     monkeypatch.setattr(exact_dedup.F, "md5", lambda c: F.substring(F.lit("00"), 1, 2))
     got = {r["doc_id"]: r["keep_id"] for r in exact_dedup.exact_groups(docs(spark, [(1, "a", "s"), (2, "b", "s"), (3, "a", "s")])).collect()}
     assert got == {1: 1, 2: 2, 3: 1}
@@ -117,3 +117,31 @@ def test_mix_matches_sql_with_nulls(spark):
     want = con.sql(mixing.ORACLE).fetchall()
     got = [tuple(r) for r in mixing.mix(frame).collect()]
     assert sorted(map(str, got)) == sorted(str((a, b, c, d, e)) for a, b, c, d, e in want)
+
+
+def test_mix_takes_some_of_repeated_rows(spark):
+    """A source of one row repeated, and one of null ids: the target is met to half a document."""
+    rows = ([(7, "x y z w v", "a")] * 1000 + [(None, "p q r", "b")] * 700 + [(k, "one two", "c") for k in range(900)]
+            + [(9, f"text of repeat {k}", "c") for k in range(300)])
+    frame = docs(spark, rows).repartition(6)
+    got = mixing.mix(frame).collect()
+    assert len(got) == len(rows)
+    by_size = {5000: 5, 2100: 3, 3000: 4}
+    for size, longest in by_size.items():
+        own = [r for r in got if r["source_size"] == size]
+        assert own and abs(sum(r["taken"] for r in own) - own[0]["target"]) <= longest / 2 + 1e-6
+    out = mixing.mixed_documents(frame)
+    assert out.columns == frame.columns
+    words = {r["source"]: r["w"] for r in out.groupBy("source").agg(F.sum(mixing.n_words("text")).alias("w")).collect()}
+    for source, size in (("a", 5000), ("b", 2100), ("c", 3000)):
+        assert words[source] == sum(r["taken"] for r in got if r["source_size"] == size)
+
+
+def test_mix_of_repeats_matches_sql(spark):
+    rows = [(i % 3, "a b c d", "s1") for i in range(500)] + [(None, "w " * (i % 2), None) for i in range(300)] + [(1, "k l", "s2")] * 90
+    frame = docs(spark, rows)
+    documents = frame.toArrow()  # noqa: F841  read by the SQL
+    con = duckdb.connect()
+    con.register("documents", documents)
+    want = con.sql(mixing.ORACLE).fetchall()
+    assert sorted(str(tuple(r)) for r in mixing.mix(frame).collect()) == sorted(map(str, want))
