@@ -14,8 +14,9 @@ documents form one array in ascending id order. The array lies in shards
 An Elias-Fano code of n rising numbers below u keeps the low ``l = log2(u / n)``
 bits of each in a packed array and the high parts as unary gaps in a bit
 vector: at most n * (3 + l) bits in all, against 64 n for a table. ``select(i)`` finds
-the i-th one of the bit vector through a sampled directory (one entry in
-``SAMPLE`` ones), so a document's offset is read without decoding the others.
+the i-th one of the bit vector through a directory of one 32-bit count to
+``STRETCH`` bytes, so a document's offset is read without decoding the others. The
+reader takes the end of every run of documents from it.
 
 A shard knows only its own offsets; the start of a shard is the sum of the
 shards before it, taken over the manifest (one row per file). Files are
@@ -48,33 +49,52 @@ from delaylens.session import materialize, scratch_path
 
 MAGIC = b"DLTI1\0\0\0"
 HEAD = struct.Struct("<7Q")
-SAMPLE = 256
-KEPT_PIECES = 600_000
+STRETCH = 64         # bytes of high bits to a directory entry
+SUPER = 1 << 12      # directory entries to a superblock
+ENCODE_RUN = 1 << 16
+READ_DOCS = 1 << 13
+KEPT_BYTES = 96 << 20      # of remembered pieces, their ids and about 150 bytes to each for the table
 SLICE_BYTES = 8 << 20
 RUN_PIECES = 512
 READ_IDS = 1 << 20
 
 
 class EliasFano:
-    """A rising sequence of non-negative numbers in near-minimal space."""
+    """A rising sequence of non-negative numbers in near-minimal space.
+
+    ``select`` rests on two small tables: the ones before each stretch of ``STRETCH``
+    bytes of the high bits, as 32-bit counts from the start of a superblock of
+    ``SUPER`` stretches, and 64-bit counts of the superblocks: about 1/16 of the
+    high bits. Inside a stretch the ones are counted."""
 
     def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray):
         self.n, self.low_bits, self.low, self.high = n, low_bits, low, high
-        bits = np.bitwise_count(high).astype(np.int64)
-        self.before = np.concatenate([[0], np.cumsum(bits)])     # ones before each byte
-        self.jump = np.searchsorted(self.before, np.arange(0, n, SAMPLE), side="right") - 1
+        stretches = -(-len(high) // STRETCH)
+        counts = np.zeros(stretches, np.uint16)
+        for a in range(0, stretches, SUPER):      # a superblock at a time: work arrays stay small
+            part = high[a * STRETCH:(a + SUPER) * STRETCH]
+            counts[a:a + SUPER] = np.add.reduceat(np.bitwise_count(part), np.arange(0, len(part), STRETCH), dtype=np.uint16)
+        self.near = np.zeros(stretches, np.uint32)
+        self.far = np.zeros(-(-stretches // SUPER) + 1, np.int64)
+        for k, a in enumerate(range(0, stretches, SUPER)):
+            ends = np.cumsum(counts[a:a + SUPER], dtype=np.uint32)
+            self.near[a + 1:a + SUPER] = ends[:-1]
+            self.far[k + 1] = self.far[k] + int(ends[-1])
 
     @classmethod
     def encode(cls, values: np.ndarray) -> EliasFano:
         n = len(values)
         top = int(values[-1]) if n else 0
         low_bits = max(0, (max(1, top) // max(1, n)).bit_length() - 1)
-        values = values.astype(np.uint64)
+        low = np.zeros((n * low_bits + 7) // 8, np.uint8)
+        high = np.zeros(((top >> low_bits) + n - 1) // 8 + 1 if n else 0, np.uint8)
         shifts = np.arange(low_bits, dtype=np.uint64)
-        low = np.packbits((values[:, None] >> shifts & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little")
-        at = (values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
-        high = np.zeros((int(at[-1]) // 8 + 1) if n else 0, np.uint8)
-        np.bitwise_or.at(high, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+        for a in range(0, n, ENCODE_RUN):      # a multiple of 8, so runs meet at bytes
+            run = np.asarray(values[a:a + ENCODE_RUN]).astype(np.uint64)
+            bits = np.packbits((run[:, None] >> shifts & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little")
+            low[a * low_bits // 8:a * low_bits // 8 + len(bits)] = bits
+            at = (run >> np.uint64(low_bits)).astype(np.int64) + np.arange(a, a + len(run))
+            np.bitwise_or.at(high, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
         return cls(n, low_bits, low, high)
 
     def to_bytes(self) -> bytes:
@@ -85,30 +105,35 @@ class EliasFano:
         n, low_bits, n_low, n_high = struct.unpack_from("<4Q", data)
         return cls(n, low_bits, np.frombuffer(data, np.uint8, n_low, 32), np.frombuffer(data, np.uint8, n_high, 32 + n_low))
 
+    def directory_bytes(self) -> int:
+        return self.near.nbytes + self.far.nbytes
+
+    def _stretch(self, i: int) -> tuple[int, int]:
+        """The stretch that holds the i-th one, and the ones before it."""
+        block = int(np.searchsorted(self.far, i, side="right")) - 1
+        first = block * SUPER
+        at = first + int(np.searchsorted(self.near[first:first + SUPER], i - int(self.far[block]), side="right")) - 1
+        return at, int(self.far[block]) + int(self.near[at])
+
     def select(self, i: int) -> int:
         """The i-th value: the place of the i-th one in the high bits, and its low bits."""
-        byte = int(self.jump[i // SAMPLE])
-        while self.before[byte + 1] <= i:
-            byte += 1
-        left, bits, place = i - int(self.before[byte]), int(self.high[byte]), 0
-        while left or not bits & 1:
-            left -= bits & 1
-            bits >>= 1
-            place += 1
+        at, before = self._stretch(i)
+        bits = np.unpackbits(self.high[at * STRETCH:(at + 1) * STRETCH], bitorder="little")
+        place = 8 * STRETCH * at + int(np.flatnonzero(bits)[i - before])
         low = 0
         for b in range(self.low_bits):
-            at = i * self.low_bits + b
-            low |= (int(self.low[at >> 3]) >> (at & 7) & 1) << b
-        return (8 * byte + place - i) << self.low_bits | low
+            k = i * self.low_bits + b
+            low |= (int(self.low[k >> 3]) >> (k & 7) & 1) << b
+        return (place - i) << self.low_bits | low
 
     def slice(self, a: int, b: int) -> np.ndarray:
-        """Values a to b - 1 at once."""
+        """Values a to b - 1 at once: the ends by the directory, the ones between them in one go."""
         if a >= b:
             return np.zeros(0, np.int64)
-        first = int(np.searchsorted(self.before, a, side="right")) - 1
-        last = int(np.searchsorted(self.before, b, side="left"))
-        ones = np.flatnonzero(np.unpackbits(self.high[first:last], bitorder="little"))[a - int(self.before[first]):][:b - a]
-        high = ones + 8 * first - np.arange(a, b)
+        first, before = self._stretch(a)
+        last, _ = self._stretch(b - 1)
+        ones = np.flatnonzero(np.unpackbits(self.high[first * STRETCH:(last + 1) * STRETCH], bitorder="little"))
+        high = ones[a - before:][:b - a] + 8 * STRETCH * first - np.arange(a, b)
         if not self.low_bits:
             return high
         start, stop = a * self.low_bits, b * self.low_bits
@@ -119,8 +144,8 @@ class EliasFano:
 
 class PieceIds:
     """Ids of texts from ids of their pieces, as the tokenizers library gives
-    them. Pieces met before are codes into one flat pool of ids; a pool of
-    more than KEPT_PIECES pieces is begun anew."""
+    them. Pieces met before are codes into one flat pool of ids; a pool that holds
+    more than KEPT_BYTES is begun anew."""
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
@@ -132,7 +157,7 @@ class PieceIds:
         self._begin()
 
     def _begin(self) -> None:
-        self.code, self.ids, self.ends = {}, np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.code, self.ids, self.ends, self.held = {}, np.zeros(0, np.uint32), np.zeros(0, np.int64), 0
 
     def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, the order in which the pieces have them, and their number per piece in that order. Pieces that begin with a
@@ -165,6 +190,7 @@ class PieceIds:
         at = at[order]
         found[at] = np.arange(len(self.ends), len(self.ends) + len(at))
         self.code.update(zip([pieces[k] for k in at.tolist()], found[at].tolist()))
+        self.held += sum(len(pieces[k]) for k in at.tolist()) + ids.nbytes + 150 * len(at)
         first = int(self.ends[-1]) if len(self.ends) else 0
         self.ids = np.concatenate([self.ids, ids])
         self.ends = np.concatenate([self.ends, first + np.cumsum(sizes)])
@@ -178,7 +204,7 @@ class PieceIds:
         ends = np.append(self.ends, len(pool))
         index = np.insert(index, stops, len(ends) - 1)      # the end id after each text
         ids, at = gather(pool, ends, index)
-        if len(self.code) > KEPT_PIECES:
+        if self.held > KEPT_BYTES:
             self._begin()
         closing = at[stops + np.arange(len(stops))]
         return ids, np.diff(closing, prepend=0)
@@ -261,17 +287,27 @@ class Shard:
     def document(self, i: int) -> np.ndarray:
         return self.ids(self.ends.select(i - 1) if i else 0, self.ends.select(i))
 
+    def _run_end(self, a: int, from_id: int) -> int:
+        """The document after the run that starts at ``a``: as many as end within READ_IDS
+        ids, one at least and READ_DOCS at most, by bisection over ``select``."""
+        low, high = a + 1, min(self.n, a + READ_DOCS)
+        while low < high:
+            middle = (low + high + 1) // 2
+            if self.ends.select(middle - 1) <= from_id + READ_IDS:
+                low = middle
+            else:
+                high = middle - 1
+        return low
+
     def runs(self) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
         """Runs of whole documents of about READ_IDS ids: document ids, ends within the run, ids."""
         a, from_id = 0, 0
         while a < self.n:
-            b = min(self.n, a + 65_536)
+            b = self._run_end(a, from_id)
             ends = self.ends.slice(a, b)
-            b = a + max(1, int(np.searchsorted(ends, from_id + READ_IDS, side="right")))
-            ends = ends[:b - a]
             known = self.names.slice(max(0, a - self.nulls), max(0, b - self.nulls)) + self.least
             docs = [None] * (b - a - len(known)) + known.tolist()
-            yield docs, ends - from_id, self.ids(from_id, int(ends[-1]))
+            yield docs, ends - from_id, self.ids(from_id, self.ends.select(b - 1))
             a, from_id = b, int(ends[-1])
 
 

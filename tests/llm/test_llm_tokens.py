@@ -89,6 +89,33 @@ def test_elias_fano(values):
         assert len(code.low) + len(code.high) <= len(values) * (3 + code.low_bits) / 8 + 16
 
 
+def test_elias_fano_over_superblocks():
+    """Several superblocks, stretches without ones, and a directory under a quarter of the code."""
+    rnd = np.random.default_rng(3)
+    gaps = rnd.integers(0, 400, 2_500_000)
+    gaps[[10, 1_200_000]] = 60_000_000_000
+    values = np.cumsum(gaps)
+    made = token_ids.EliasFano.encode(values)
+    code = token_ids.EliasFano.from_bytes(made.to_bytes())
+    assert len(code.far) > 3 and 4 * code.directory_bytes() < len(code.low) + len(code.high)
+    for i in [0, 9, 10, 11, 1_199_999, 1_200_000, 1_200_001, 2_499_999, *rnd.integers(0, 2_500_000, 300).tolist()]:
+        assert code.select(i) == values[i]
+    for a, b in [(0, 50), (5, 15), (1_199_990, 1_200_010), (777_777, 900_001), (2_499_000, 2_500_000)]:
+        assert (code.slice(a, b) == values[a:b]).all()
+
+
+def test_remembered_pieces_are_weighed(monkeypatch):
+    """Long pieces fill the memo by bytes; what is encoded stays right."""
+    monkeypatch.setattr(token_ids, "KEPT_BYTES", 50_000)
+    path = P.path("byte_bpe_50k.json")
+    own, encode = token_ids.PieceIds(path), Tokenizer.from_file(path).encode
+    for k in range(6):
+        texts = [" " * (3000 * k + j) + f"word{k} end" for j in range(8)] + ["", "short"]
+        ids, n = own.texts(pa.array(texts), 0)
+        assert own.held <= 50_000
+        assert ids.tolist() == [x for t in texts for x in [*encode(t, add_special_tokens=False).ids, 0]]
+
+
 @pytest.mark.parametrize("shards", [1, 5])
 def test_token_files(spark, shards):
     path = P.path("byte_bpe_50k.json")
