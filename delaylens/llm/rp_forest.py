@@ -10,7 +10,10 @@ between the node's quantiles in the middle half, so that a dense cluster falls
 on one side whole. Vectors within the margin of the threshold go to both sides
 (spill). A node becomes a leaf when it holds ``LEAF`` vectors at most, or when the
 middle half of its projections is narrower than ``DENSE``: such a node is a
-cluster of near copies that no direction parts. Thresholds come from one
+cluster of near copies that no direction parts. Directions have length
+sqrt(dimension): a linked pair then lies sqrt(2 - 2 * ``MIN_COS``) = 0.2 deviations of
+all vectors apart at most times a standard normal, whatever the dimension, and
+margin and density mean the same at 64 and at 4,096. Thresholds come from one
 ``percentile_approx`` per level over all nodes of all trees; the number of
 levels grows with the number of vectors and nothing is fitted on a sample.
 
@@ -50,8 +53,8 @@ MIN_COS = 0.98
 TREES = 10
 LEAF = 256
 BLOCK = 1024
-MARGIN = 0.02
-DENSE = 0.03
+MARGIN = 0.16     # of a direction of length sqrt(dimension), on which a random unit vector has deviation 1
+DENSE = 0.24
 SEED = 20240501
 MAX_LEVELS = 40
 
@@ -88,7 +91,7 @@ def _project(classes: DataFrame, trees: int, levels: int) -> DataFrame:
                 part = batch.filter(pa.array(size == d))
                 if d not in directions:
                     r = np.random.default_rng([SEED, int(d)]).standard_normal((trees, levels, int(d)))
-                    directions[d] = r / np.sqrt((r * r).sum(2, keepdims=True))
+                    directions[d] = r * np.sqrt(d / (r * r).sum(2, keepdims=True))
                 p = np.einsum("nd,tld->ntl", _unit(_matrix(part.column(2))), directions[d]).astype(np.float32)
                 n = part.num_rows
                 at = pa.array(np.repeat(np.arange(n), trees))
@@ -100,14 +103,15 @@ def _project(classes: DataFrame, trees: int, levels: int) -> DataFrame:
 
 
 def _leaves(classes: DataFrame, trees: int, leaf: int, margin: float, dense: float) -> DataFrame:
-    """(cls, tree, node): the leaves each class lies in."""
+    """(cls, root, tree, leaf): the leaves each class lies in. Hashes of two leaves may
+    be equal within a root (they are compared as one then), roots are kept apart."""
     largest = classes.groupBy("label", F.size("v")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     levels = 1
     while leaf << (levels - 1) < largest and levels < MAX_LEVELS:
         levels += 1
     levels = min(MAX_LEVELS, levels + levels // 2 + 1)      # unequal splits and spill need a few more
     open_rows = materialize(_project(classes, trees, levels)
-                            .withColumn("node", F.concat_ws("/", "root", F.col("tree").cast("string"))).drop("root"), "vector-rows")
+                            .withColumn("node", F.concat_ws("/", "root", F.col("tree").cast("string"))), "vector-rows")
     done = []
     cuts = [0.25 + 0.05 * k for k in range(11)]
     for level in range(levels):
@@ -121,25 +125,25 @@ def _leaves(classes: DataFrame, trees: int, leaf: int, margin: float, dense: flo
             (F.col("n") > leaf) & (F.element_at("q", 11) - F.element_at("q", 1) > dense), widest["cut"]).alias("cut"))
         split = small_side(materialize(split, "vector-splits"))
         put = rows.join(split.withColumnRenamed("of", "node"), ["tree", "node"])
-        done.append(put.where("cut is null").select("cls", "tree", "node"))
+        done.append(put.where("cut is null").select("cls", "root", "tree", "node"))
         left, right = F.when(F.col("x") < F.col("cut") + margin, F.lit("0")), F.when(F.col("x") >= F.col("cut") - margin, F.lit("1"))
         sides = F.explode(F.filter(F.array(left, right), lambda s: s.isNotNull()))
-        below = put.where("cut is not null").select("cls", "tree", "p", F.col("node").alias("over"), sides.alias("side"))
-        open_rows = materialize(below.select("cls", "tree", "p", F.concat("over", "side").alias("node")), "vector-rows")
+        below = put.where("cut is not null").select("cls", "root", "tree", "p", F.col("node").alias("over"), sides.alias("side"))
+        open_rows = materialize(below.select("cls", "root", "tree", "p", F.concat("over", "side").alias("node")), "vector-rows")
         if open_rows.isEmpty():
             break
-    done.append(open_rows.select("cls", "tree", "node"))
+    done.append(open_rows.select("cls", "root", "tree", "node"))
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    return materialize(out.withColumn("leaf", F.xxhash64("node")).select("cls", "tree", "leaf"), "vector-leaves")
+    return materialize(out.withColumn("leaf", F.xxhash64("node")).select("cls", "root", "tree", "leaf"), "vector-leaves")
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (leaf, cell, x, y, cls, tree, block, weight, leaves, v) of one pair of
+    """Rows (root, leaf, cell, x, y, cls, tree, block, weight, leaves, v) of one pair of
     blocks: links per class, counted in the first leaf two classes share, and the
     smallest partner."""
-    for group in sorted_groups(batches, 2):
+    for group in sorted_groups(batches, 3):
         cls, first = np.unique(group["cls"].to_numpy(), return_index=True)
         pick = pa.array(first)
         x, y, block = group["x"][0].as_py(), group["y"][0].as_py(), group["block"].to_numpy()[first]
@@ -202,18 +206,18 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).alias("v"))
     classes = _classes(rows)
     in_leaves = _leaves(classes, trees, leaf, margin, dense)
-    sizes = in_leaves.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    sizes = in_leaves.groupBy("root", "tree", "leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
     own = in_leaves.groupBy("cls").agg(F.collect_list(F.struct("tree", "leaf")).alias("leaves"))
     carried = classes.select("cls", "weight", F.col("v").cast("array<double>").alias("v")).join(own, "cls")
-    placed = (in_leaves.join(sizes.withColumn("blocks", blocks), ["tree", "leaf"])
+    placed = (in_leaves.join(sizes.withColumn("blocks", blocks), ["root", "tree", "leaf"])
               .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     cells = (placed.withColumn("other", other).withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")})
-             .withColumn("cell", F.xxhash64("tree", "leaf", "x", "y"))
-             .join(carried, "cls").select("leaf", "cell", "x", "y", "cls", "tree", "block", "weight", "leaves", "v"))
+             .withColumn("cell", F.xxhash64("root", "tree", "leaf", "x", "y"))
+             .join(carried, "cls").select("root", "leaf", "cell", "x", "y", "cls", "tree", "block", "weight", "leaves", "v"))
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = materialize(cells.repartition(parts, "leaf", "cell").sortWithinPartitions("leaf", "cell")
+    found = materialize(cells.repartition(parts, "root", "leaf", "cell").sortWithinPartitions("root", "leaf", "cell")
                         .mapInArrow(_compare, "cls long, links long, partner long"), "vector-links")
     roots = connected_components(found.select(F.col("cls").alias("a"), F.col("partner").alias("b")), "vector-components")
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))

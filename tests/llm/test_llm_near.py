@@ -196,9 +196,10 @@ def test_vectors_exact_in_one_leaf(spark):
     assert got == want
 
 
-def test_vector_forest_recall(spark):
+@pytest.mark.parametrize("dim", [32, 768])
+def test_vector_forest_recall(spark, dim):
     """Small leaves and blocks, a dense cluster: links found are true, nine tenths are found."""
-    rows = planted(300, seed=5, hot=120)
+    rows = planted(300, seed=5, hot=120, dim=dim)
     want = rp_forest.brute_force(*map(list, zip(*rows)))
     got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in
            rp_forest.near_duplicates(vectors(spark, rows), leaf=24, block=40).collect()}
@@ -265,3 +266,15 @@ def test_quality_without_labels_or_documents(spark):
         got = quality.quality(docs, quality.fit(docs, labels)).collect()
         assert [round(r["score"], 6) for r in got] == [want] * 3
     assert quality.quality(docs.limit(0), quality.fit(docs.limit(0), some)).count() == 0
+
+
+@pytest.mark.parametrize("dim", [16, 64, 2048])
+def test_forest_splits_alike_at_any_dimension(spark, dim):
+    """Random vectors part into small leaves with bounded spill, and a root of its own for each label."""
+    rnd = np.random.default_rng(1)
+    rows = [(k, k % 2, np.float32(rnd.standard_normal(dim))) for k in range(2000)]
+    classes = rp_forest._classes(vectors(spark, rows).selectExpr("vec_id id", "label", "embedding v"))
+    leaves = rp_forest._leaves(classes, 2, 128, rp_forest.MARGIN, rp_forest.DENSE)
+    sizes = [r["count"] for r in leaves.groupBy("root", "tree", "leaf").count().collect()]
+    assert max(sizes) <= 400 and sum(sizes) <= 4 * 2 * 2000
+    assert {r["root"] for r in leaves.select("root").distinct().collect()} == {f"{dim}:0", f"{dim}:1"}
