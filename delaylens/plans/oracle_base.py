@@ -4,6 +4,7 @@ are pre-registered views). Each oracle query is ``with_(...) + SELECT``."""
 from __future__ import annotations
 
 from delaylens.functions.columns import AIRLINE_NAMES, UNKNOWN_AIRLINE
+from delaylens.plans import params as P
 from delaylens.sources.flights import CARRIER_CODES
 
 _codes = " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(CARRIER_CODES[:-1]))
@@ -81,8 +82,23 @@ RAW = """SELECT *,
   printf('%02d:00', (CRSDepTimeHour + 3) % 24) AS WheelsOnHourDis
 FROM flights"""
 
-CTES = {"flights": FLIGHTS, "trips": TRIPS, "raw": RAW}
-DEPENDS = {"flights": [], "trips": ["flights"], "raw": ["flights"]}
+_HOUR_DIS = "CRSDepTimeHourDis, WheelsOffHourDis, CRSArrTimeHourDis, WheelsOnHourDis"
+#: raw rows after the row-wise cleaning, raw calendar parts dropped
+SHAPED = f"""SELECT * EXCLUDE (Year, Month, DayofMonth, FlightDate, OriginCityName, DestCityName),
+  FlightDate AS DepDate,
+  string_split(OriginCityName, ', ')[1] AS OriginCity, string_split(OriginCityName, ', ')[2] AS OriginState,
+  string_split(DestCityName, ', ')[1] AS DestCity, string_split(DestCityName, ', ')[2] AS DestState,
+  {CARRIER_CASE} AS CarrierName FROM raw"""
+DERIVED = f"""CAST(year(DepDate) AS INTEGER) AS Year, CAST(month(DepDate) AS INTEGER) AS Month,
+  CAST(day(DepDate) AS INTEGER) AS Day, CAST(isodow(DepDate) - 1 AS INTEGER) AS DayOfWeek,
+  CAST(quarter(DepDate) AS INTEGER) AS Quarter, {season_case('month(DepDate)')} AS Season,
+  OriginCity || ' → ' || DestCity AS Route, {severity_case('DepDelayMinutes')} AS DelaySeverity"""
+#: the cleaned table that every model run starts from
+CLEANED = f"""SELECT * FROM (SELECT *, {DERIVED} FROM (SELECT DISTINCT * EXCLUDE (DepDelay, ArrDelay, {_HOUR_DIS}) FROM shaped))
+WHERE Year IS NULL OR Year NOT IN {P.EXCLUDE_YEARS}"""
+
+CTES = {"shaped": SHAPED, "cleaned": CLEANED, "flights": FLIGHTS, "trips": TRIPS, "raw": RAW}
+DEPENDS = {"shaped": ["raw"], "cleaned": ["shaped"], "flights": [], "trips": ["flights"], "raw": ["flights"]}
 
 
 def with_(*names: str, extra: dict[str, str] | None = None) -> str:

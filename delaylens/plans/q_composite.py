@@ -7,21 +7,18 @@ from pyspark.sql import functions as F
 from delaylens.operators import reports as R
 from delaylens.plans import modeling as MD
 from delaylens.plans.analysis import delay_analysis as _delay, impact_analysis as _impact
-from delaylens.plans.oracle_base import CARRIER_CASE, season_case, severity_case, with_
+from delaylens.plans.oracle_base import CARRIER_CASE, DERIVED, with_
 from delaylens.plans import params as P
-from delaylens.plans.inputs import trips
+from delaylens.plans.inputs import KEYS, trips
 from delaylens.plans.preprocess import preprocess_complete as _complete, preprocess_staged as _staged, write_handover
 from delaylens.session import scratch_path
+from delaylens.plans.q_ml import code_sql
 from delaylens.plans.q_reports import _top_sql, group_sql
 from delaylens.plans.registry import ORACLES, q
 from delaylens.plans.q_stats import ADVICE_SQL
 from delaylens.sources.flights import raw_flights
 
 HOUR_DIS = "CRSDepTimeHourDis, WheelsOffHourDis, CRSArrTimeHourDis, WheelsOnHourDis"
-DERIVE = f"""CAST(year(DepDate) AS INTEGER) AS Year, CAST(month(DepDate) AS INTEGER) AS Month,
-  CAST(day(DepDate) AS INTEGER) AS Day, CAST(isodow(DepDate) - 1 AS INTEGER) AS DayOfWeek,
-  CAST(quarter(DepDate) AS INTEGER) AS Quarter, {season_case('month(DepDate)')} AS Season,
-  OriginCity || ' → ' || DestCity AS Route, {severity_case('DepDelayMinutes')} AS DelaySeverity"""
 SPLIT = f"""FlightDate AS DepDate,
   string_split(OriginCityName, ', ')[1] AS OriginCity, string_split(OriginCityName, ', ')[2] AS OriginState,
   string_split(DestCityName, ', ')[1] AS DestCity, string_split(DestCityName, ', ')[2] AS DestState,
@@ -32,7 +29,7 @@ KEEP = f"WHERE Year IS NULL OR Year NOT IN {P.EXCLUDE_YEARS}"
 @q("preprocess_complete", with_("raw", extra={
     "b": f"SELECT * EXCLUDE (DepDelay, ArrDelay, {HOUR_DIS}, Year, Month, DayofMonth, FlightDate, OriginCityName, DestCityName), {SPLIT} FROM raw",
     "d": "SELECT DISTINCT * FROM b",
-    "g": f"SELECT *, {DERIVE} FROM d"}) + f"SELECT * FROM g {KEEP}")
+    "g": f"SELECT *, {DERIVED} FROM d"}) + f"SELECT * FROM g {KEEP}")
 def preprocess_complete(spark, sf):
     """The cleaned table (redundancy pass first, nulls kept), written
     as the Year-partitioned hand-over and read back."""
@@ -43,7 +40,7 @@ def preprocess_complete(spark, sf):
     "b": f"SELECT * EXCLUDE (Year, Month, DayofMonth, FlightDate, OriginCityName, DestCityName), {SPLIT} FROM raw",
     "d": "SELECT DISTINCT * FROM b",
     "f": "SELECT * REPLACE (COALESCE(DepDelayMinutes, 0) AS DepDelayMinutes, COALESCE(ArrDelayMinutes, 0) AS ArrDelayMinutes) FROM d",
-    "g": f"SELECT *, {DERIVE} FROM f"}) +
+    "g": f"SELECT *, {DERIVED} FROM f"}) +
    f"SELECT * EXCLUDE (DepDelay, ArrDelay, DayofWeek_raw, Marketing_Airline_Network, {HOUR_DIS}) FROM g {KEEP}")
 def preprocess_staged(spark, sf):
     """The staged variant (nulls filled, redundancy pass last), written
@@ -66,12 +63,39 @@ def delay_analysis(spark, sf):
     return _delay(spark, cleaned)["insights"]
 
 
-@q("ml_features")
+def _mean_by(key: str, name: str, more: str = "") -> str:
+    return (f"LEFT JOIN (SELECT {key}, avg(DepDelayMinutes) AS {name}{more} FROM cleaned WHERE {key} IS NOT NULL GROUP BY {key}) "
+            f"g_{key} USING ({key})")
+
+
+# every feature of P5 over the cleaned table, in the order of the vector
+ML_FEATURES = {
+    "HourOfDay": "CRSDepTimeHour", **{c: c for c in ["DayOfWeek", "Month", "Quarter"]},
+    "SeasonEncoded": "CASE Season WHEN 'Spring' THEN 0 WHEN 'Summer' THEN 1 WHEN 'Fall' THEN 2 WHEN 'Winter' THEN 3 END",
+    **{c: c for c in ["RouteFrequency", "RouteAvgDelay", "OriginAvgDelay", "DestAvgDelay", "Distance", "TaxiOut", "TaxiIn"]},
+    **{f"{c}_Binary": f"CASE WHEN {c} > 0 THEN 1 ELSE 0 END"
+       for c in ["WeatherDelay", "CarrierDelay", "NASDelay", "SecurityDelay", "LateAircraftDelay"]},
+    **{f"{c}_Encoded": code_sql(c) for c in ["Route", *MD.ENCODED, "CarrierName"]}}
+ML_SQL = with_("cleaned", extra={
+    "f": "SELECT " + ", ".join(KEYS) + ", Year, DepDelayMinutes, " + ", ".join(
+        f"COALESCE(CAST({c} AS DOUBLE), 0) AS {n}" for n, c in ML_FEATURES.items()) + " FROM cleaned "
+        + _mean_by("Route", "RouteAvgDelay", ", count(*) AS RouteFrequency") + " " + _mean_by("OriginCity", "OriginAvgDelay")
+        + " " + _mean_by("DestCity", "DestAvgDelay"),
+    "s": "SELECT " + ", ".join(f"avg({n}) AS m_{n}, stddev_samp({n}) AS d_{n}" for n in ML_FEATURES)
+         + f" FROM f WHERE Year IN {P.TRAIN_YEARS}"}) + (
+    "SELECT " + ", ".join(KEYS) + f", CASE WHEN Year IN {P.TRAIN_YEARS} THEN 'train' ELSE 'test' END AS split, DepDelayMinutes, "
+    + ", ".join(f"round(CASE WHEN d_{n} > 0 THEN ({n} - m_{n}) / d_{n} ELSE 0 END, 6) + 0.0e0 AS scaled_{n}" for n in ML_FEATURES)
+    + f" FROM f, s WHERE Year IN {P.TRAIN_YEARS + P.TEST_YEARS}")
+
+
+@q("ml_features", ML_SQL)
 def ml_features(spark, sf):
-    """P5 (rows-only): the scaled feature matrix."""
+    """P5: the scaled feature matrix, one column to each feature, to six places."""
     from pyspark.ml.functions import vector_to_array
-    m = MD.ml_features(spark, sf)["matrix"]
-    return m.withColumn("scaled", vector_to_array("scaled"))
+    out = MD.ml_features(spark, sf)
+    m = out["matrix"].withColumn("x", vector_to_array("scaled"))
+    return m.select(*KEYS, "split", "DepDelayMinutes", *[
+        (F.round(F.col("x")[k], 6) + F.lit(0.0)).alias(f"scaled_{n}") for k, n in enumerate(out["feature_names"])])
 
 
 @q("consumer_model_run")
@@ -116,7 +140,7 @@ def run_mode(spark, sf):
 _CLEANED = with_("raw", extra={
     "b": f"SELECT * EXCLUDE (DepDelay, ArrDelay, {HOUR_DIS}, Year, Month, DayofMonth, FlightDate, OriginCityName, DestCityName), {SPLIT} FROM raw",
     "d": "SELECT DISTINCT * FROM b",
-    "g": f"SELECT *, {DERIVE} FROM d",
+    "g": f"SELECT *, {DERIVED} FROM d",
     "trips": f"SELECT * FROM g {KEEP}"}).rstrip()
 _TEST = f"Year IN {P.TEST_YEARS}"
 

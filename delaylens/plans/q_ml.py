@@ -25,12 +25,19 @@ def _op_data(spark, sf):
     return M.time_split(MD.operational_data(spark, sf), P.TRAIN_YEARS, P.TEST_YEARS)
 
 
-@q("assemble")
+def code_sql(c: str) -> str:
+    """A column's label codes in SQL."""
+    return f"CAST(dense_rank() OVER (ORDER BY COALESCE({c}, 'nan')) - 1 AS DOUBLE)"
+
+
+@q("assemble", with_("cleaned") + f"SELECT {K_}, " + ", ".join(
+    f"COALESCE(CAST({c} AS DOUBLE), 0) AS features_{n}" for n, c in zip(MD.OPERATIONAL, [
+        "CRSDepTimeHour", "DayOfWeek", "Distance", *[code_sql(c) for c in MD.ENCODED]])) + " FROM cleaned")
 def assemble(spark, sf):
-    """J1 (rows-only): the operational feature vector per row (as an array)."""
+    """The operational feature vector per row, one column to each place of the vector."""
     df = MD.model_frame(spark, sf)
-    a = M.assemble(df, MD.OPERATIONAL)
-    return a.select(*KEYS, vector_to_array("features").alias("features"))
+    a = M.assemble(df, MD.OPERATIONAL).withColumn("x", vector_to_array("features"))
+    return a.select(*KEYS, *[F.col("x")[k].alias(f"features_{n}") for k, n in enumerate(MD.OPERATIONAL)])
 
 
 @q("time_split", with_("trips") + f"""

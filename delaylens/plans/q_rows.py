@@ -237,9 +237,11 @@ def period_label(spark, sf):
     return df.select(*KEYS, "Year", "Period", "PeriodShort")
 
 
-@q("select_available")
+@q("select_available", with_("trips") + """
+SELECT CRSDepTimeHour, DayOfWeek, Month, Distance, CAST(dense_rank() OVER (ORDER BY COALESCE(Route, 'nan')) - 1 AS DOUBLE) AS Route_Encoded,
+  CAST(dense_rank() OVER (ORDER BY COALESCE(Season, 'nan')) - 1 AS DOUBLE) AS Season_Encoded FROM trips""")
 def select_available(spark, sf):
-    """B25 (rows-only): wanted features that exist plus encoded columns."""
+    """Wanted features that exist plus encoded columns."""
     from delaylens.operators.ml import label_encode as enc
     df = enc(trips(spark, sf), ["Route", "Season"])
     return G.select_available(df, ["CRSDepTimeHour", "DayOfWeek", "Month", "NotAColumn", "Distance"],

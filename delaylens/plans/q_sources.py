@@ -9,10 +9,12 @@ from delaylens.operators.filters import filter_carrier
 from delaylens.operators.topk import preview
 from delaylens.plans import params as P
 from delaylens.plans.inputs import KEYS, fl, trips
-from delaylens.plans.oracle_base import with_
+from delaylens.plans.oracle_base import DERIVED, with_
 from delaylens.plans.registry import q
 from delaylens.session import scratch_path
 from delaylens.sources import files
+from delaylens.sources.flights import raw_flights
+from delaylens.streaming.incremental import incremental_load
 
 FLIGHT_COLS = ["FlightDate", "Marketing_Airline_Network", "OriginCityName", "DestCityName",
                "CRSDepTimeHour", "cause_slot", "DepDelay", "ArrDelay", "Distance", "TaxiOut",
@@ -45,6 +47,21 @@ def scan_csv_chunked(spark, sf):
     return files.scan_csv_chunked(spark, [a, b], df.schema)
 
 
+@q("incremental_csv_load", with_("shaped") + f"SELECT *, {DERIVED} FROM shaped")
+def incremental_csv_load(spark, sf):
+    """A3 as a file stream: the CSV parts before the gap are loaded, then those that
+    arrive later; the second load resumes from the first one's checkpoint and reads
+    the new files only. Rows are cleaned on the way and land in a table by Year."""
+    df = raw_flights(spark, sf)
+    y, source, out = F.year("FlightDate"), scratch_path(spark, "arrivals"), scratch_path(spark, "loaded")
+    progress = scratch_path(spark, "load-progress")
+    early = y < P.GAP_YEARS[0]
+    for name, part in (("early", early), ("late", F.coalesce(~early, F.lit(True)))):
+        files.sink_csv(df.where(part), f"{source}/{name}")
+        incremental_load(spark, source + "/*", df.schema, out, max_files_per_trigger=64, checkpoint=progress)
+    return spark.read.parquet(out).withColumn("Year", F.col("Year").cast("int"))
+
+
 @q("sample_rows", with_("flights") + f"""
 SELECT * FROM flights WHERE CAST('0x' || substr(md5('{P.SEED}' || '|' || {" || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), 'null')" for k in KEYS)}), 1, 12) AS BIGINT)
   / 281474976710656.0e0 < 0.1e0""")

@@ -26,3 +26,17 @@ def test_incremental_matches_batch(spark):
     assert sorted(got.columns) == cols
     assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
     assert want.select(*cols).exceptAll(got.select(*cols)).count() == 0
+
+
+def test_second_load_reads_only_new_files(spark):
+    """With the same checkpoint nothing is loaded twice, and an idle load adds nothing."""
+    raw = raw_flights(spark, SF)
+    src, out, progress = (scratch_path(spark, n) for n in ("again-src", "again-out", "again-progress"))
+    y, counts = F.year("FlightDate"), []
+    files.sink_csv(raw.where(y < 1997), src + "/part-a")
+    for arrival in (None, None, raw.where(y >= 1997)):
+        if arrival is not None:
+            files.sink_csv(arrival, src + "/part-b")
+        incremental_load(spark, src + "/*", raw.schema, out, checkpoint=progress)
+        counts.append(spark.read.parquet(out).count())
+    assert counts == [raw.where(y < 1997).count(), counts[0], raw.where(y.isNotNull()).count()]
