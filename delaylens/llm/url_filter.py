@@ -5,10 +5,12 @@ starts with the rule's path; the longest fitting rule decides. Urls that no
 rule fits are judged by boosted trees over lexical features: length, depth,
 digit ratio, character entropy, number of parameters and hyphens, and suffix
 statistics (the smoothed block rate of the host's last label among the labelled
-urls, and how many of them it rests on).
+rows, and how many of them it rests on).
 
-The trees are fitted on labelled urls, ``SAMPLE`` of each label at most (the
-first by a hash): a bounded, documented sample. ``judge`` takes any labelled
+The trees are fitted on distinct labelled urls, ``SAMPLE`` of each label at most
+(the first by a hash): a bounded, documented sample. A url that trains gets its
+suffix statistics from the other ``FOLDS - 1`` folds of urls only, so that its own
+label is never part of its features. ``judge`` takes any labelled
 table; without one the urls that rules decide serve as labels. Features, rules
 and scoring are built-in expressions and Spark ML; the statistics of all suffixes
 are a written table that is joined on (broadcast if a count shows it small),
@@ -24,6 +26,8 @@ that kind, or ``allow``, is the verdict. An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -35,6 +39,7 @@ from delaylens.session import materialize
 
 SAMPLE = 4000
 SMOOTHING = 20.0
+FOLDS = 5
 TREES, DEPTH = 12, 3
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FEATURES = ["length", "host_length", "depth", "labels", "digit_ratio", "entropy", "parameters", "hyphens", "suffix_rate", "suffix_known"]
@@ -77,10 +82,29 @@ def lexical(urls: DataFrame, url: str = "url") -> DataFrame:
         "suffix": F.substring_index("host", ".", -1)})
 
 
-def _with_suffix(rows: DataFrame, known: DataFrame, rate: float) -> DataFrame:
-    k = small_side(known)
-    return (rows.join(k, F.col("suffix") == F.col("known_suffix"), "left").drop("known_suffix")
-            .withColumns({"suffix_rate": F.coalesce("suffix_rate", F.lit(rate)), "suffix_known": F.coalesce("suffix_known", F.lit(0.0))}))
+def _fold() -> Column:
+    return F.pmod(F.xxhash64(F.lit("fold"), F.col("url")), F.lit(FOLDS)).cast("int")
+
+
+def suffix_counts(rows: DataFrame) -> DataFrame:
+    """Per suffix of labelled ``rows`` (url, host, label) the rows and blocked rows of each fold."""
+    fold = _fold()
+    return (rows.groupBy(F.substring_index("host", ".", -1).alias("known_suffix"))
+            .agg(*[F.count_if(fold == k).cast("double").alias(f"n{k}") for k in range(FOLDS)],
+                 *[F.sum(F.when(fold == k, F.col("label")).otherwise(0.0)).alias(f"b{k}") for k in range(FOLDS)]))
+
+
+def _with_suffix(rows: DataFrame, known: DataFrame, rate: float, out_of_fold: bool = False) -> DataFrame:
+    """``rows`` with ``suffix_rate`` and ``suffix_known``. ``out_of_fold`` leaves the row's own
+    fold out of both and scales the count to all folds."""
+    n, b = ([F.coalesce(f"{x}{k}", F.lit(0.0)) for k in range(FOLDS)] for x in "nb")
+    if out_of_fold:
+        n, b = ([F.when(_fold() == k, 0.0).otherwise(c) for k, c in enumerate(x)] for x in (n, b))
+    count = reduce(add, n)
+    return (rows.join(small_side(known), F.col("suffix") == F.col("known_suffix"), "left")
+            .withColumns({"suffix_rate": (reduce(add, b) + SMOOTHING * rate) / (count + SMOOTHING),
+                          "suffix_known": count * (FOLDS / (FOLDS - 1)) if out_of_fold else count})
+            .drop("known_suffix", *[f"{x}{k}" for x in "nb" for k in range(FOLDS)]))
 
 
 class UrlModel:
@@ -107,12 +131,11 @@ def fit(labelled: DataFrame, seed: int = 7) -> UrlModel:
     if len(counts) < 2:
         return UrlModel(None, 0.0, None, "block" if 1.0 in counts else "allow")
     rate = counts[1.0] / (counts[0.0] + counts[1.0])
-    known = materialize(rows.groupBy(F.substring_index("host", ".", -1).alias("known_suffix"))
-                        .agg(((F.sum("label") + SMOOTHING * rate) / (F.count(F.lit(1)) + SMOOTHING)).alias("suffix_rate"),
-                             F.count(F.lit(1)).cast("double").alias("suffix_known")), "url-suffixes")
+    known = materialize(suffix_counts(rows), "url-suffixes")
     place = F.xxhash64("url")
-    picked = [rows.where(F.col("label") == k).orderBy(place, "url").limit(SAMPLE) for k in (0.0, 1.0)]
-    few = _with_suffix(lexical(picked[0].unionByName(picked[1])), known, rate)
+    distinct = rows.groupBy("label", "url", "host", "path").agg(F.lit(1).alias("one")).drop("one")
+    picked = [distinct.where(F.col("label") == k).orderBy(place, "url").limit(SAMPLE) for k in (0.0, 1.0)]
+    few = _with_suffix(lexical(picked[0].unionByName(picked[1])), known, rate, out_of_fold=True)
     frame = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(few).select("features", "label").coalesce(1).cache()
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=seed, maxBins=32, cacheNodeIds=False).fit(frame)
     frame.unpersist()
