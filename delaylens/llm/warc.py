@@ -6,7 +6,8 @@ payloads of at least ``min_bytes`` bytes the one with the smallest id is a
 ``response`` and the others become ``revisit`` records, which keep the digest
 and length of the full payload and name the response they refer to, but
 carry no payload. The pages then meet the digests that occur more than once
-and every task streams its records into one file of the shared folder. The
+(broadcast while they are counted few, so that pages are not shuffled) and every
+task streams its records into one file of the shared folder. The
 manifest (one row per file) names the files of committed attempts only.
 
 Reader. A file is read front to back in blocks of ``BLOCK`` bytes. Each gzip
@@ -36,11 +37,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from delaylens.llm.common import small_batches
 from delaylens.llm.files import create, open_stream
 from delaylens.session import materialize, scratch_path
 
 BLOCK = 1 << 16
 ROWS_OUT = 1000
+BATCH_ROWS = 500
+#: repeated digests up to which their table (20 bytes and an id each) is broadcast
+SHARED_ROWS = 200_000
 DATE = "2024-01-01T00:00:00Z"      # fixed, so that reruns write the same bytes
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 
@@ -149,6 +154,25 @@ def read_record(parts: Iterator[bytes], keep: bool = False) -> dict:
     return fields | {"payload": b"".join(kept)} if keep else fields
 
 
+def _with_first(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """``rows`` with the ``first_id`` of their digest. ``shared`` (a written table: digest,
+    first_id, n) is broadcast if a count shows it small; then no page is shuffled. Else
+    digests that hold over one in ``SHARED_ROWS`` of the repeated pages are broadcast, as there
+    can be no more than that of them, and only the others are joined by a shuffle, in
+    which a page whose digest is already met goes by a key of its own."""
+    if shared.limit(SHARED_ROWS + 1).count() <= SHARED_ROWS:
+        return rows.join(F.broadcast(shared.drop("n")), "digest", "left")
+    floor = shared.agg(F.sum("n")).first()[0] / SHARED_ROWS
+    hot = shared.where(F.col("n") > floor).select(F.col("digest").alias("hot_digest"), F.col("first_id").alias("hot_id"))
+    cold = shared.where(F.col("n") <= floor).select(F.col("digest").alias("met"), F.col("first_id").alias("cold_id"))
+    own = F.encode(F.concat(F.lit("own "), F.xxhash64("page_id", "url").cast("string")), "utf-8")
+    met = rows.join(F.broadcast(hot), F.col("digest") == F.col("hot_digest"), "left")
+    # no key of its own equals a digest: those are 20 bytes without the leading word
+    met = met.withColumn("met", F.when(F.col("hot_digest").isNull(), F.col("digest")).otherwise(own))
+    return (met.join(cold, "met", "left").withColumn("first_id", F.coalesce("hot_id", "cold_id"))
+            .drop("met", "hot_digest", "hot_id", "cold_id"))
+
+
 def write_warc(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id", url_col: str = "url",
                html_col: str = "html") -> DataFrame:
     """Write the archives; returns the manifest (path, n_records), a written table."""
@@ -158,8 +182,8 @@ def write_warc(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id", ur
     digest = F.unhex(F.sha1(F.col("html").cast("binary")))
     shared = (rows.where(F.octet_length("html") >= min_bytes).groupBy(digest.alias("digest"))
               .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-              .where("n > 1").select("digest", "first_id"))
-    found = rows.withColumn("digest", digest).join(shared, "digest", "left")
+              .where("n > 1"))
+    found = _with_first(rows.withColumn("digest", digest), materialize(shared, "warc-shared"))
     marked = found.select("page_id", "url", "html",
                           F.when((F.octet_length("html") >= min_bytes) & (F.coalesce("page_id", F.col("first_id") - 1)
                                                                           != F.col("first_id")),
@@ -177,7 +201,8 @@ def write_warc(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id", ur
             out.close()
             yield pa.RecordBatch.from_pydict({"path": [name], "n_records": [n]})
 
-    return materialize(marked.mapInArrow(write, "path string, n_records long"), "warc-manifest")
+    with small_batches(pages.sparkSession, BATCH_ROWS):
+        return materialize(marked.mapInArrow(write, "path string, n_records long"), "warc-manifest")
 
 
 def read_warc(manifest: DataFrame) -> DataFrame:

@@ -39,6 +39,15 @@ def test_round_trip(spark, least):
     assert sum(r["n_records"] for r in manifest.collect()) == len(PAGES)
 
 
+@pytest.mark.parametrize("few", [1, 3])
+def test_round_trip_with_many_shared_digests(spark, monkeypatch, few):
+    """Beyond the broadcast bound hot digests are broadcast and the others joined."""
+    monkeypatch.setattr(warc, "SHARED_ROWS", few)
+    rows = PAGES + [(100 + i, None, "hot") for i in range(60)] + [(200 + i, "http://x", f"cold {i % 9}") for i in range(20)]
+    got = warc.read_warc(warc.write_warc(pages(spark, rows).repartition(3)))
+    assert sorted(map(tuple, got.collect()), key=str) == expected(rows)
+
+
 def test_archives_are_gzip_members_with_payloads(spark):
     manifest = warc.write_warc(pages(spark).coalesce(1))
     [path] = [r["path"] for r in manifest.collect()]
@@ -146,6 +155,33 @@ def test_all_suffixes_are_known(spark):
     assert got == {k: "block" if of(k) else "allow" for k in range(1200)}
 
 
+def test_sample_is_of_distinct_urls(spark, monkeypatch):
+    """A url that thousands of rows repeat takes one place of the sample."""
+    seen = {}
+    lexical = url_filter.lexical
+    monkeypatch.setattr(url_filter, "lexical", lambda rows, *a: seen.setdefault("rows", rows) and lexical(rows, *a))
+    monkeypatch.setattr(url_filter, "SAMPLE", 200)
+    urls_of = [("http://hot.org/", 0)] * 3000 + [(f"http://a{i}.org/{i}", 0) for i in range(300)] + [(f"http://b{i}.net/?x={i}", 1) for i in range(300)]
+    url_filter.fit(spark.createDataFrame(urls_of, "url string, label int"))
+    picked = [tuple(r) for r in seen["rows"].select("url", "label").collect()]
+    assert len(set(picked)) == len(picked) == 400
+
+
+def test_suffix_statistics_leave_out_the_own_fold(spark):
+    rows = spark.createDataFrame([(f"http://h{i}.{s}/", float(b), s) for i, (s, b) in enumerate(
+        [("one", 1)] + [("many", i % 2) for i in range(200)])], "url string, label double, suffix string")
+    host, path = url_filter.host_and_path("url")
+    rows = rows.withColumns({"host": host, "path": path})
+    known = url_filter.suffix_counts(rows)
+    fold = {r["url"]: r["f"] for r in rows.select("url", url_filter._fold().alias("f")).collect()}
+    plain_rows = rows.collect()
+    for out in (True, False):
+        for r in url_filter._with_suffix(rows, known, 0.25, out_of_fold=out).collect():
+            kept = [x["label"] for x in plain_rows if x["suffix"] == r["suffix"] and not (out and fold[x["url"]] == fold[r["url"]])]
+            assert r["suffix_rate"] == pytest.approx((sum(kept) + 5) / (len(kept) + 20))
+            assert r["suffix_known"] == pytest.approx(len(kept) * (1.25 if out else 1))
+
+
 def test_no_or_one_label(spark):
     assert {r["verdict"] for r in url_filter.judge(urls(spark), []).collect()} == {"allow"}
     assert {r["verdict"] for r in url_filter.judge(urls(spark), [("block", "net/fr/")]).collect()} == {"block"}
