@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from delaylens.functions.guards import numeric_columns
+from delaylens.operators import distinct
 
 RAW_WEEKDAY = "DayofWeek"
 RAW_WEEKDAY_RENAMED = "DayofWeek_raw"
@@ -64,6 +65,6 @@ def fill_features(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:
-    """D3: whole-row distinct (nulls compare equal). One shuffle on the
-    full row; a hot duplicated row is combined map-side first."""
-    return df.dropDuplicates()
+    """D3: whole-row distinct (nulls compare equal). 128-bit digests are shuffled,
+    whole rows only where a digest repeats."""
+    return distinct.drop_duplicates(df)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaylens.functions import columns as C
+from delaylens.functions.selection import exact_quantiles
 from delaylens.session import materialize
 
 
@@ -35,18 +36,19 @@ def range_filter(df: DataFrame, col: str, lo: float, hi: float) -> DataFrame:
 
 def high_risk_groups(stats: DataFrame, key: str, a: str = "Avg_Delay", b: str = "Major_Delay_Rate",
                      q: float = 0.8) -> DataFrame:
-    """Groups strictly above the ``q`` quantile in both metrics. The
-    group statistics are written once; both quantiles come from one aggregate
-    over them and enter the filter as one scalar struct."""
+    """Groups strictly above the ``q`` quantile in both metrics. The group
+    statistics are written once; both quantiles are selected in rounds over them."""
     stats = materialize(stats, "group-stats")
-    cut = stats.agg(F.struct(F.percentile(a, q).alias("a"), F.percentile(b, q).alias("b"))).scalar()
-    return stats.where((F.col(a) > cut.getField("a")) & (F.col(b) > cut.getField("b")))
+    cut = exact_quantiles(stats, {a: [q], b: [q]})
+    return stats.where((F.col(a) > F.lit(cut[a, q])) & (F.col(b) > F.lit(cut[b, q])))
 
 
 def outliers_above_quantile(df: DataFrame, col: str, q: float = 0.99) -> DataFrame:
-    """Count of values strictly above the ``q`` quantile."""
-    thr = df.agg(F.percentile(col, q)).scalar()
-    return df.agg(thr.alias("Threshold"), F.count_if(F.col(col) > thr).alias("Outliers"))
+    """Count of values strictly above the ``q`` quantile, which is selected in
+    rounds over the column, written once."""
+    values = materialize(df.select(col), "values")
+    cut = F.lit(exact_quantiles(values, {col: [q]})[col, q]).cast("double")
+    return values.agg(F.max(cut).alias("Threshold"), F.count_if(F.col(col) > cut).alias("Outliers"))
 
 
 def delayed_only(df: DataFrame, col: str = "DepDelayMinutes") -> DataFrame:

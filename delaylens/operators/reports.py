@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 
 from delaylens.functions import columns as C
 from delaylens.functions.guards import numeric_columns
+from delaylens.functions.selection import exact_quantiles
+from delaylens.operators import distinct
+from delaylens.session import materialize
 
 
 def _delay_aggs(delay: str, with_std: bool = False, with_max: bool = False) -> list[Column]:
@@ -58,18 +61,18 @@ def missing_report(df: DataFrame) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows repeating an earlier row (nulls compare equal) and %."""
-    per = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__c"))
-    return per.agg(
-        F.sum("__c").cast("bigint").alias("Total_Rows"),
-        (F.sum("__c") - F.count(F.lit(1))).cast("bigint").alias("Duplicate_Rows"),
-    ).select("Total_Rows", "Duplicate_Rows",
-             F.try_divide(F.col("Duplicate_Rows") * 100.0, F.col("Total_Rows")).alias("Duplicate_Percentage"))
+    """Rows repeating an earlier row (nulls compare equal) and %. Digests are
+    counted; whole rows are compared only where a digest repeats."""
+    per = distinct.duplicate_counts(df)
+    return per.select(F.col("rows").cast("bigint").alias("Total_Rows"),
+                      (F.col("rows") - F.col("distinct_rows")).cast("bigint").alias("Duplicate_Rows")).select(
+        "Total_Rows", "Duplicate_Rows",
+        F.try_divide(F.col("Duplicate_Rows") * 100.0, F.col("Total_Rows")).alias("Duplicate_Percentage"))
 
 
 def drop_duplicates_report(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """D3: whole-row distinct and a one-row removed-count report."""
-    out = df.dropDuplicates()
+    out = distinct.drop_duplicates(df)
     after = out.agg(F.count(F.lit(1))).scalar()
     rep = (df.agg(F.count(F.lit(1)).alias("Rows_Before"))
            .select("Rows_Before", after.alias("Rows_After"))
@@ -79,28 +82,22 @@ def drop_duplicates_report(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None, q: float = 0.99) -> DataFrame:
     """Min, max, mean, median, std and the count above the ``q``
-    quantile for numeric '*delay*' columns; one wide aggregate plus one
-    pass for the outlier counts."""
+    quantile for numeric '*delay*' columns. The columns are written once; medians
+    and quantiles are selected in rounds, the rest is one aggregate."""
     if cols is None:
         num = set(numeric_columns(df))
         cols = [c for c in df.columns if "delay" in c.lower() and c in num]
-    cols = list(cols)
-    stats = df.agg(*[F.struct(F.lit(c).alias("Column"),
-                              F.min(c).cast("double").alias("Min"),
-                              F.max(c).cast("double").alias("Max"),
-                              F.avg(c).alias("Mean"),
-                              F.median(c).cast("double").alias("Median"),
-                              F.stddev_samp(c).alias("Std"),
-                              F.percentile(c, q).alias("Q")).alias(f"__s{i}")
-                     for i, c in enumerate(cols)])
-    # outliers: a second pass over the rows against the quantiles; each pass is
-    # one aggregate whose values enter the next as one scalar struct
-    cut = stats.select(F.struct(*[F.col(f"__s{i}.Q").alias(f"q{i}") for i in range(len(cols))])).scalar()
-    out = df.agg(F.struct(*[F.count_if(F.col(c) > cut.getField(f"q{i}")).alias(f"o{i}")
-                            for i, c in enumerate(cols)])).scalar()
-    rows = F.array(*[F.struct(F.col(f"__s{i}.*"), out.getField(f"o{i}").alias("Outliers_Q99"))
-                     for i in range(len(cols))])
-    return stats.select(F.explode(rows).alias("r")).select("r.*").drop("Q")
+    values = materialize(df.select(*cols), "numeric-columns")
+    at = exact_quantiles(values, {c: [0.5, q] for c in cols})
+    stats = values.agg(*[F.struct(F.lit(c).alias("Column"),
+                                  F.min(c).cast("double").alias("Min"),
+                                  F.max(c).cast("double").alias("Max"),
+                                  F.avg(c).alias("Mean"),
+                                  F.lit(at[c, 0.5]).cast("double").alias("Median"),
+                                  F.stddev_samp(c).alias("Std"),
+                                  F.count_if(F.col(c) > F.lit(at[c, q]).cast("double")).alias("Outliers_Q99")).alias(f"__s{i}")
+                         for i, c in enumerate(cols)])
+    return stats.select(F.explode(F.array(*[F.col(f"__s{i}") for i in range(len(cols))])).alias("r")).select("r.*")
 
 
 # ---- D6-D11: carrier and cleaning summaries -------------------------------
