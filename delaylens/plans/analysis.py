@@ -71,6 +71,15 @@ def delay_analysis(spark: SparkSession, df: DataFrame, min_route_flights: int =
     return out
 
 
+#: key columns of the tables of P4 that hold no decomposition
+TABLE_KEYS = {
+    "route_stats": ["Route"], "top_routes": ["Ranking", "Rank", "Route"], "hourly_delays": ["CRSDepTimeHour"],
+    "worst_hours": ["CRSDepTimeHour"], "weekday_delays": ["DayOfWeek"], "season_delays": ["Season"],
+    "airport_delays": ["OriginCity"], "worst_airports": ["OriginCity"], "monthly_delays": ["Month"],
+    "quarterly_delays": ["Quarter"], "yearly_delays": ["Year"], "daily_series": ["d"], "filled_series": ["d"],
+}
+
+
 # Insight categories, finding templates and recommendations.
 INSIGHT_TEXT = {
     "route": ("Route Risk", "%d routes identified as high-risk",

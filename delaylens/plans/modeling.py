@@ -336,6 +336,13 @@ def regressor_comparison(spark: SparkSession, sf: str) -> dict:
     }
 
 
+def testing_tables(df: DataFrame) -> dict:
+    """The tables of P10 that need no model, over rows with their ``split``."""
+    test = df.where(F.col("split") == "test")
+    return {"hourly": R.hourly_delays(test), "weekday": R.weekday_delays(test), "causes": R.cause_report(df),
+            "problem_routes": T.problem_routes(df, 10, min_flights=P.MIN_ROUTE_FLIGHTS)}
+
+
 @memo_run
 def model_testing(spark: SparkSession, sf: str) -> dict:
     """P10: two-stage model (classifier, then minutes for predicted-delayed
@@ -357,11 +364,8 @@ def model_testing(spark: SparkSession, sf: str) -> dict:
         "regression": K.regression_metrics(s, "y", "predicted_minutes"),
         "regression_delayed": K.regression_metrics(s.where(F.col("y") > 0), "y", "predicted_minutes"),
         "residual_hist": R.histogram(res, "residual", 50),
-        "hourly": R.hourly_delays(df.where(F.col("split") == "test")),
-        "weekday": R.weekday_delays(df.where(F.col("split") == "test")),
-        "causes": R.cause_report(df),
+        **testing_tables(df),
         "hour_actual_vs_pred": R.hour_actual_vs_pred(s, "CRSDepTimeHour", "y", "predicted_minutes"),
-        "problem_routes": T.problem_routes(df, 10, min_flights=P.MIN_ROUTE_FLIGHTS),
         "examples": example_predictions(s, 10), "scored": s,
     }
 

@@ -18,12 +18,33 @@ from delaylens.plans import params as P
 from delaylens.sources.files import sink_parquet
 
 
+class Reports(dict):
+    """Reports by name; one given as a function is worked out when it is first asked for."""
+
+    def __getitem__(self, name):
+        value = super().__getitem__(name)
+        if callable(value):
+            value = value()
+            self[name] = value
+        return value
+
+    def get(self, name, default=None):
+        return self[name] if name in self else default
+
+    def items(self):
+        return [(k, self[k]) for k in self]
+
+    def values(self):
+        return [self[k] for k in self]
+
+
 def preprocess(df: DataFrame, fill_delay_nulls: bool = False, redundancy_pass: str = "before",
                exclude_years: Sequence[int] = P.EXCLUDE_YEARS) -> tuple[DataFrame, dict]:
     if redundancy_pass not in ("before", "after"):
         raise ValueError("redundancy_pass must be 'before' or 'after'")
     df = clean.ingest(df)
-    reports = {"missing_before": R.missing_report(df), "duplicates_before": R.duplicate_count(df)}
+    source = df
+    reports = Reports(missing_before=R.missing_report(df), duplicates_before=lambda: R.duplicate_count(source))
     if redundancy_pass == "before":
         df = clean.drop_redundant(df)
     df = clean.drop_raw_dateparts(df)
@@ -45,7 +66,7 @@ def preprocess(df: DataFrame, fill_delay_nulls: bool = False, redundancy_pass: s
     df = CF.exclude_years(df, exclude_years)
     reports["kpis"] = R.delay_kpis(df)
     reports["missing_after"] = R.missing_report(df)
-    reports["duplicates_after"] = R.duplicate_count(df)
+    reports["duplicates_after"] = lambda: R.duplicate_count(df)
     return df, reports
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from delaylens.operators import reports as R
+from delaylens.operators import ml as ML, reports as R
+from delaylens.operators.tables import one_table
 from delaylens.plans import modeling as MD
-from delaylens.plans.analysis import delay_analysis as _delay, impact_analysis as _impact
+from delaylens.plans.analysis import TABLE_KEYS, delay_analysis as _delay, impact_analysis as _impact
 from delaylens.plans.oracle_base import CARRIER_CASE, DERIVED, with_
 from delaylens.plans import params as P
 from delaylens.plans.inputs import KEYS, trips
@@ -15,7 +16,7 @@ from delaylens.session import scratch_path
 from delaylens.plans.q_ml import code_sql
 from delaylens.plans.q_reports import _top_sql, group_sql
 from delaylens.plans.registry import ORACLES, q
-from delaylens.plans.q_stats import ADVICE_SQL
+from delaylens.plans.q_stats import ADVICE_SQL, SERIES_SQL
 from delaylens.sources.flights import raw_flights
 
 HOUR_DIS = "CRSDepTimeHourDis, WheelsOffHourDis, CRSArrTimeHourDis, WheelsOnHourDis"
@@ -191,3 +192,64 @@ def operational_top_routes(spark, sf):
 def testing_hourly(spark, sf):
     """P10: hourly delays of the test years."""
     return R.hourly_delays(MD.cleaned_table(spark, sf).where(F.col("Year").isin(*P.TEST_YEARS)))
+
+
+# ---- all tables of P4 and P10 that need no model, as one ---------------------
+
+def _body(name: str, base: str = "trips") -> str:
+    """A report's SQL without its shared inputs, to stand inside another WITH."""
+    rest = ORACLES[name].split(with_(base).rstrip(), 1)[1].strip()
+    return "WITH " + rest[1:] if rest.startswith(",") else rest
+
+
+def _one_table_sql(tables: dict) -> str:
+    """``tables``: name -> (key columns, numeric columns, text columns)."""
+    rows = []
+    for name, (keys, numbers, texts) in tables.items():
+        key = " || '|' || ".join(f"COALESCE(CAST({k} AS VARCHAR), '-')" for k in keys)
+        for m in [*numbers, *texts]:
+            value = (f"CAST({m} AS DOUBLE)", "CAST(NULL AS VARCHAR)") if m in numbers else ("CAST(NULL AS DOUBLE)", f"CAST({m} AS VARCHAR)")
+            rows.append(f"SELECT '{name}' AS name, {key} AS key, '{m}' AS metric, {value[0]} AS value, {value[1]} AS text FROM t_{name}")
+    return "\nUNION ALL ".join(rows)
+
+
+_G = ["Flight_Count", "Avg_Delay", "Median_Delay"]
+_ROUTE = [*_G, "Delay_Std", "Max_Delay", "Days_Operated", "Delay_Frequency", "Major_Delay_Rate", "On_Time_Rate"]
+_FILLED = "WITH " + ", ".join(f"{k} AS ({v})" for k, v in SERIES_SQL.items()) + f""",
+g AS (SELECT count(y) FILTER (WHERE d BETWEEN DATE '{P.GAP_YEARS[0]}-01-01' AND DATE '{P.GAP_YEARS[-1]}-12-31') = 0 AS empty FROM s)
+SELECT interp.d, interp.y, interp.i, (y IS NULL AND y_filled IS NOT NULL) AS is_filled, CASE WHEN empty THEN 'linear' ELSE 'ffill' END AS method,
+  CASE WHEN empty THEN y_filled ELSE last_value(y IGNORE NULLS) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS y_filled
+FROM interp, g"""
+_P4 = {n: _body(n) for n in ["route_stats", "top_routes", "hourly_delays", "worst_hours", "weekday_delays", "season_delays", "airport_delays",
+                             "monthly_delays", "quarterly_delays", "yearly_delays"]}
+_P4["worst_airports"] = _top_sql("t_airport_delays", "Avg_Delay", 10, "OriginCity")
+_P4["daily_series"] = "WITH " + ", ".join(f"{k} AS ({v})" for k, v in SERIES_SQL.items()) + " SELECT d, y FROM s"
+_P4["filled_series"] = _FILLED
+_P4_COLUMNS = {n: (keys, {"route_stats": _ROUTE, "top_routes": _ROUTE, "monthly_delays": [*_G, "Delay_Std"], "daily_series": ["y"],
+                          "filled_series": ["y", "i", "y_filled"]}.get(n, _G),
+                   {"weekday_delays": ["DayName"], "monthly_delays": ["MonthName"], "quarterly_delays": ["QuarterName"],
+                    "filled_series": ["is_filled", "method"]}.get(n, [])) for n, keys in TABLE_KEYS.items()}
+
+
+@q("delay_analysis_tables", _CLEANED + "".join(f",\nt_{n} AS ({sql})" for n, sql in _P4.items()) + "\n" + _one_table_sql(_P4_COLUMNS))
+def delay_analysis_tables(spark, sf):
+    """Its thirteen tables without a decomposition, over the cleaned table, as one."""
+    out = _delay(spark, MD.cleaned_table(spark, sf))
+    return one_table({n: (out[n], keys) for n, keys in TABLE_KEYS.items()})
+
+
+_SPLIT_YEARS = f"Year IN {P.TRAIN_YEARS + P.TEST_YEARS}"
+_P10 = {"hourly": _hours(f"AND {_TEST}"),
+        "weekday": _body("weekday_delays").replace("WHERE DayOfWeek IS NOT NULL", f"WHERE DayOfWeek IS NOT NULL AND {_TEST}"),
+        "causes": _body("cause_report", "flights").replace("FROM flights", f"FROM trips WHERE {_SPLIT_YEARS}"),
+        "problem_routes": _body("problem_routes").replace("WHERE Route IS NOT NULL", f"WHERE Route IS NOT NULL AND {_SPLIT_YEARS}")}
+_P10_COLUMNS = {"hourly": (["CRSDepTimeHour"], _G, []), "weekday": (["DayOfWeek"], _G, ["DayName"]),
+                "causes": (["Cause"], ["Avg_Minutes", "Pct_Flights_Affected", "Total_Minutes", "Pct_Of_Delay_Minutes"], ["Action"]),
+                "problem_routes": (["Route"], ["Flight_Count", "Avg_Delay"], [])}
+
+
+@q("model_testing_tables", _CLEANED + "".join(f",\nt_{n} AS ({sql})" for n, sql in _P10.items()) + "\n" + _one_table_sql(_P10_COLUMNS))
+def model_testing_tables(spark, sf):
+    """P10: its four tables that need no model, over the rows of the time split, as one."""
+    out = MD.testing_tables(ML.time_split(MD.model_frame(spark, sf), P.TRAIN_YEARS, P.TEST_YEARS))
+    return one_table({n: (out[n], keys) for n, (keys, _, _) in _P10_COLUMNS.items()})
