@@ -107,3 +107,45 @@ def test_calibration_of_distinct_scores(spark):
         for x in (lo, hi):
             assert abs(model.predict(x) - t / w) < 1e-9
     assert len(want) < 200
+
+
+@pytest.fixture
+def dealt_parts(monkeypatch):
+    """Partitions of every frame that is dealt for a fit."""
+    parts, plain = [], FO.dealt
+    monkeypatch.setattr(FO, "dealt", lambda df, columns, n: parts.append(n) or plain(df, columns, n))
+    return parts
+
+
+def test_fits_take_at_most_a_partition_a_core(frame, dealt_parts, monkeypatch):
+    monkeypatch.setattr(FO, "TASK_ROWS", 10)
+    monkeypatch.setattr(FO, "NODE_ROWS", 1)
+    M.rf_classifier(4, 3).fit(frame)
+    M.gbt_classifier(4, 2, 0.3).fit(frame)
+    M.gbt_regressor(2, 2).fit(frame)
+    assert len(dealt_parts) == 3 and 1 < max(dealt_parts) <= FO.cores(frame)
+
+
+def test_deep_forests_take_fewer_partitions(frame, dealt_parts, monkeypatch):
+    monkeypatch.setattr(FO, "TASK_ROWS", 500)
+    monkeypatch.setattr(FO, "cores", lambda df: 8)
+    monkeypatch.setattr(FO, "GROVE_TREES", 2)
+    for depth in (2, 6):
+        model = M.rf_classifier(24, depth).fit(frame)
+        assert sum(model.sizes) == 24 and all(model.sizes)
+    assert dealt_parts == [6, 1]
+
+
+def test_forest_over_many_rows_grows_grove_by_grove(frame, monkeypatch):
+    monkeypatch.setattr(FO, "CORE_CELLS", 5 * 3000 // FO.cores(frame))
+    model = M.rf_classifier(24, 3).fit(frame)
+    assert 4 < len(model.groves) <= 24 and sum(model.sizes) == 24 == len(model.trees)
+
+
+def test_remembered_nodes_give_the_same_forest(frame, monkeypatch):
+    fits = []
+    for depth in (12, 1):
+        monkeypatch.setattr(FO, "CACHED_DEPTH", depth)
+        fits.append(M.rf_classifier(20, 7, weight="weight").fit(frame))
+    a, b = ([r["probability"] for r in f.transform(frame.orderBy("id").limit(100)).collect()] for f in fits)
+    assert a == b
