@@ -3,15 +3,16 @@
 Phrases are one to ``longest`` words of a piece of text; everything is counted per
 language. The table is cut into ``shards`` shards (its partitions in turn).
 
-1. Mine: every shard is mined completely, in narrow rows (shard, 64-bit hash of
-   language and phrase, count) that tasks combine before the shuffle. A phrase is
+1. Mine: every shard is mined completely, in narrow rows (shard, ``HASH_BITS``-bit hash
+   of language and phrase, count) that tasks combine before the shuffle. A phrase is
    locally frequent if its count reaches the support times the shard's share of all
    text. Shares add up to one, so a phrase with the support in the whole table is
    locally frequent in one shard at least. Words and pairs are mined first; a longer
    phrase is mined where both its parts of one word less are in the union below, as no
    phrase is more frequent than its parts.
-2. Unite: the union of the locally frequent phrases goes into a bitmap of ``2 ** BITS``
-   bits, a fixed size whatever the data hold. Equal bits let more through, never less.
+2. Unite: the union of the locally frequent phrases, less those whose counts over all
+   shards, added up, stay below the support, goes into a bitmap of ``2 ** BITS``
+   bits, a fixed size whatever the data hold. Equal hashes and bits let more through, never less.
 3. Count: the texts are read again; phrases in the bitmap are counted as strings,
    globally and exactly, and those below the support go.
 
@@ -30,6 +31,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +45,8 @@ from delaylens.session import materialize
 
 SHARDS = 4
 BITS = 26
+#: highest bits of a phrase's hash that are shuffled; the others are nought and compress away
+HASH_BITS = 48
 BATCH = 50_000
 
 
@@ -79,8 +84,10 @@ def local_supports(rows: DataFrame, support: int, shards: int) -> list[int]:
 
 def locally_frequent(docs: DataFrame, support: int = 10, shards: int = SHARDS, lengths: Sequence[int] = (1, 2),
                      known: dict[int, bytes] | None = None, text_col: str = "text", lang_col: str = "lang", bits: int = BITS) -> DataFrame:
-    """(shard, phrase_hash, n): phrases of the given lengths that a shard holds at its
-    lowered support or more; ``known`` are the unions of shorter ones."""
+    """(phrase_hash, n): phrases of the given lengths that a shard holds at its lowered
+    support or more, and all shards together (``n``) at the support; ``known`` are the
+    unions of shorter ones. Shards are counted side by side, so that their sum needs no
+    second shuffle."""
     rows = _texts(docs, text_col, lang_col).withColumn("shard", F.spark_partition_id() % shards)
     needs = local_supports(rows, support, shards)
     unions = known or {}
@@ -99,15 +106,17 @@ def locally_frequent(docs: DataFrame, support: int = 10, shards: int = SHARDS, l
             for level, h, _ in _levels(found, lang, max(lengths), below, bits):
                 if level.k not in lengths:
                     continue
-                h, n = h[level.counts > 0], level.counts[level.counts > 0]
+                h, n = h[level.counts > 0] & -(1 << 64 - HASH_BITS), level.counts[level.counts > 0]
                 for a in range(0, len(h), BATCH):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(h[a:a + BATCH]), shard), pa.int32()), pa.array(h[a:a + BATCH]),
                          pa.array(n[a:a + BATCH], pa.int64())], ["shard", "phrase_hash", "n"])
 
-    counts = rows.mapInArrow(mine, "shard int, phrase_hash long, n long").groupBy("shard", "phrase_hash").agg(F.sum("n").alias("n"))
-    need = F.element_at(F.array(*[F.lit(x) for x in needs]), F.col("shard") + 1)
-    return counts.where(F.col("n") >= need)
+    own = [f"n{s}" for s in range(shards)]
+    counts = (rows.mapInArrow(mine, "shard int, phrase_hash long, n long").groupBy("phrase_hash")
+              .agg(*[F.sum(F.when(F.col("shard") == s, F.col("n")).otherwise(0)).alias(c) for s, c in enumerate(own)]))
+    local = reduce(or_, (F.col(c) >= need for c, need in zip(own, needs)))
+    return counts.where(local).select("phrase_hash", sum((F.col(c) for c in own), F.lit(0)).alias("n")).where(F.col("n") >= support)
 
 
 def bitmap(hashes: DataFrame, bits: int = BITS) -> bytes:

@@ -77,6 +77,15 @@ def test_every_frequent_phrase_is_frequent_in_a_shard(spark):
     assert kept <= found < everything
 
 
+def test_union_holds_only_what_all_shards_bear_out(spark):
+    """A phrase frequent in one shard alone, and below the support in all, is neither counted nor shuffled as text."""
+    rows = [(i, "often seen" if i % 2 else "here there", "en") for i in range(80)] + [(900 + i, f"lone{i // 3}", "en") for i in range(90)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    counts = Counter(" ".join(w[i:i + k]) for _, t, _ in rows for w in pieces(t) for k in (1, 2) for i in range(len(w) - k + 1))
+    found = sorted(r["n"] for r in C.locally_frequent(frame, support=10, shards=4).collect())
+    assert found == sorted(n for n in counts.values() if n >= 10)
+
+
 def test_long_texts_are_counted_in_parts(monkeypatch):
     rng = random.Random(6)
     text = "".join(rng.choice(["ab", "cd", "é", "f"]) + rng.choice([" ", "  ", ". ", "\n"]) for _ in range(4000)) + "ab cd"
