@@ -149,3 +149,23 @@ def test_remembered_nodes_give_the_same_forest(frame, monkeypatch):
         fits.append(M.rf_classifier(20, 7, weight="weight").fit(frame))
     a, b = ([r["probability"] for r in f.transform(frame.orderBy("id").limit(100)).collect()] for f in fits)
     assert a == b
+
+
+@pytest.mark.parametrize("rows", [1, 40_000, 700_000, 1_056_690, 10_600_000, 63_000_000])
+@pytest.mark.parametrize("trees, depth", [(1, 5), (24, 12), (100, 15), (200, 10), (300, 12)])
+@pytest.mark.parametrize("have", [8, 12])
+def test_layout_bounds_what_grows_at_a_time(rows, trees, depth, have):
+    """Groves at a time keep within the cells of all cores, unless one tree a grove is too many already."""
+    parts, groves, beside = FO.layout(rows, trees, depth, have)
+    assert 1 <= parts <= have and 1 <= groves <= trees and 1 <= beside <= max(have, FO.OVERLAP) and beside <= groves
+    if groves < trees:
+        assert beside * rows * trees / groves <= FO.CORE_CELLS * have
+
+
+def test_large_forests_overlap():
+    """Where every core has rows of a grove, others grow beside it: they fill the time in which the driver works alone."""
+    for rows in (700_000, 1_056_690):
+        parts, groves, beside = FO.layout(rows, 300, 12, 12)
+        assert beside == FO.OVERLAP and groves >= beside
+    assert FO.layout(10_600_000, 200, 10, 12)[2] == 2
+    assert FO.layout(63_000_000, 200, 10, 12)[2] == 1      # too many rows for a second grove
