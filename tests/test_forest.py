@@ -169,3 +169,12 @@ def test_large_forests_overlap():
         assert beside == FO.OVERLAP and groves >= beside
     assert FO.layout(10_600_000, 200, 10, 12)[2] == 2
     assert FO.layout(63_000_000, 200, 10, 12)[2] == 1      # too many rows for a second grove
+
+
+@pytest.mark.parametrize("fit", [lambda: M.rf_classifier(4, 3), lambda: M.gbt_regressor(2, 2), lambda: M.gbt_classifier(4, 2, 0.3)])
+def test_no_task_sorts_more_rows_when_the_input_grows(frame, dealt_parts, monkeypatch, fit):
+    """Partitions beyond one a core once each would hold over ``PART_ROWS`` rows."""
+    monkeypatch.setattr(FO, "cores", lambda df: 2)
+    monkeypatch.setattr(FO, "PART_ROWS", 700)
+    fit().fit(frame)
+    assert dealt_parts == [5]
