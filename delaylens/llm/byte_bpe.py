@@ -40,7 +40,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.common import byte_slices, small_batches
+from delaylens.llm.common import byte_slices, give_back, small_batches, tidy
 from delaylens.llm.pieces import Pool, cut
 from delaylens.session import materialize
 
@@ -241,7 +241,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
                 ids = [own for own, _, _ in bpe(path, pattern).texts(part.column(1))]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return rows.mapInArrow(tidy(run), f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -258,7 +258,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                 content = [data[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(content, pa.binary())], ["doc_id", "content"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, content binary")
+    return rows.mapInArrow(tidy(run), f"doc_id {kind}, content binary")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -272,9 +272,10 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                 got = [(len(ids), hashlib.sha256(text).hexdigest(), hashlib.sha256(content).hexdigest())
                        for ids, text, content in bpe(path, pattern).texts(part.column(1))]
                 n, ids, content = zip(*got)
+                give_back()
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(content)],
                                                  ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     with small_batches(docs.sparkSession):
-        return materialize(rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"),
+        return materialize(rows.mapInArrow(tidy(run), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"),
                            "bpe-digests")

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from delaylens.llm.common import spare
+from delaylens.llm.common import spare, tidy
 
 SAMPLE = 1500
 MAX_TEXT = 16 << 10
@@ -149,7 +149,7 @@ def with_scores(docs: DataFrame, model: Model, name: str = "score", text_col: st
             x = np.array([model.feature((t.as_py() or "").encode("utf-8")) for t in texts], np.float64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(x))], [*batch.schema.names, name])
 
-    return docs.mapInArrow(score, schema)
+    return docs.mapInArrow(tidy(score), schema)
 
 
 def quality(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "doc_id",
