@@ -178,3 +178,15 @@ def test_no_task_sorts_more_rows_when_the_input_grows(frame, dealt_parts, monkey
     monkeypatch.setattr(FO, "PART_ROWS", 700)
     fit().fit(frame)
     assert dealt_parts == [5]
+
+
+def test_boosted_queries_grow_every_round_on_all_rows_and_sample_columns(frame, spark, monkeypatch):
+    """J8 as the original has it: no round and no row is held back, columns are sampled as rows are."""
+    from delaylens.plans import q_ml
+    seen = []
+    monkeypatch.setattr(q_ml, "_fit_score", lambda spark, sf, est, weighted=True: (seen.append(est), frame))
+    q_ml.boosted_classifier(spark, "")
+    [est] = seen
+    assert isinstance(est, FO.Boosted) and est.inner.getMaxIter() == 300
+    assert float(est.inner.getFeatureSubsetStrategy()) == 0.8 == est.inner.getSubsamplingRate()
+    assert M.gbt_classifier(7, 2, 0.5, weight="weight", early=False).fit(frame).getNumTrees == 7
